@@ -8,7 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 # The declared trip-file schema. ``cbd_congestion_fee`` is an
 # evolved column that later stages need, so it is declared here as well.
@@ -35,7 +43,25 @@ TRIP_SCHEMA_DDL = """
     year INT,
     cbd_congestion_fee DOUBLE
 """
-TRIP_SCHEMA = StructType.fromDDL(TRIP_SCHEMA_DDL)
+_DDL_TYPES = {
+    "BIGINT": LongType(),
+    "INT": IntegerType(),
+    "DOUBLE": DoubleType(),
+    "STRING": StringType(),
+    "TIMESTAMP": TimestampType(),
+}
+
+
+def schema_from_ddl(ddl: str) -> StructType:
+    """Flat ``name TYPE, ...`` DDL to a StructType (no session needed)."""
+    fields = []
+    for part in ddl.split(","):
+        name, typ = part.split()
+        fields.append(StructField(name, _DDL_TYPES[typ.upper()], True))
+    return StructType(fields)
+
+
+TRIP_SCHEMA = schema_from_ddl(TRIP_SCHEMA_DDL)
 
 DEDUP_KEYS = ("VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime")
 

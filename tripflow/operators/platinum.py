@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 
 ZONE = "pu_location_id"
 SERIES_KEYS = (ZONE, "trip_date", "pickup_hour")
-ONE_HOUR = F.expr("INTERVAL 1 HOUR")
 
 # Feature-store parameters.
 TOP_ZONE_PERCENTILE = 0.6
@@ -34,6 +33,10 @@ WEEKEND_DAYS = (1, 7)  # Spark dayofweek: 1 = Sunday, 7 = Saturday
 FILL_VALUES = {"trip_count": 0, "avg_fare": 0.0, "avg_distance": 0.0, "avg_passengers": 0.0}
 
 
+def one_hour() -> Column:
+    return F.make_dt_interval(F.lit(0), F.lit(1))
+
+
 def hourly_demand(trips: DataFrame, ts: str = "pickup_datetime") -> DataFrame:
     """Trips, mean fare, distance and passengers per zone and pickup
     hour. The date is recomputed from the pickup (Silver's ``trip_date`` is
@@ -91,7 +94,7 @@ def hourly_bounds(hourly: DataFrame) -> DataFrame:
 def hour_sequence(bounds: DataFrame) -> DataFrame:
     """One row per hour from start to end inclusive."""
     return bounds.select(
-        F.explode(F.sequence("start", "end", ONE_HOUR)).alias("timestamp_hour")
+        F.explode(F.sequence("start", "end", one_hour())).alias("timestamp_hour")
     )
 
 
@@ -104,7 +107,7 @@ def hour_zone_grid(zones: DataFrame, bounds: DataFrame) -> DataFrame:
     start = bounds.select("start").scalar()
     end = bounds.select("end").scalar()
     return zones.select(
-        F.col(ZONE), F.explode(F.sequence(start, end, ONE_HOUR)).alias("timestamp_hour")
+        F.col(ZONE), F.explode(F.sequence(start, end, one_hour())).alias("timestamp_hour")
     ).withColumns(
         {
             "trip_date": F.to_date("timestamp_hour"),

@@ -12,9 +12,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from tripflow.functions.columns import clip_nonneg
 from tripflow.functions.output import round_doubles
-from tripflow.operators import gold, platinum, silver
+from tripflow.operators import (
+    bronze,
+    demand,
+    evaluate,
+    forecast,
+    gold,
+    history,
+    model,
+    platinum,
+    profile,
+    silver,
+)
 from tripflow.plans import inputs
+from tripflow.session import scratch_path
+from tripflow.sources import fixtures, landing, tables
+from tripflow.streaming import bronze_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -67,8 +84,896 @@ for _name in gold.FACTS:
     _fact(_name)
 
 
+LO, HI = fixtures.TRIPS_VALID_YEARS
+DECLARED = [f.name for f in bronze.TRIP_SCHEMA.fields]
+
+
+def _renamed_defaults(spark, sf):
+    """Typed T with Silver's time renames and NULL defaults (P6 + P7)."""
+    return silver.fill_trip_defaults(silver.rename(inputs.typed_trips(spark, sf), silver.TIME_RENAMES))
+
+
+# --------------------------------------------------------------- Silver steps
+@register("rename")
+def q_rename(spark, sf):
+    """Time and id renames."""
+    df = silver.rename(silver.rename(inputs.typed_trips(spark, sf), silver.TIME_RENAMES), silver.ID_RENAMES)
+    return df.select("vendor_id", "pickup_datetime", "dropoff_datetime", "pu_location_id",
+                     "do_location_id", "ratecode_id")
+
+
+@register("fill_trip_defaults")
+def q_fill_trip_defaults(spark, sf):
+    """P7."""
+    return _renamed_defaults(spark, sf).select(
+        "VendorID", "pickup_datetime", "passenger_count", "RatecodeID", "store_and_fwd_flag",
+        "congestion_surcharge", "airport_fee", "cbd_congestion_fee")
+
+
+@register("add_trip_flags")
+def q_add_trip_flags(spark, sf):
+    """P8 (R7: a NULL charge term gives 0)."""
+    return silver.add_trip_flags(_renamed_defaults(spark, sf)).select(
+        "VendorID", "pickup_datetime", "extra", "mta_tax", "tolls_amount",
+        "is_airport_trip", "is_cbd_trip", "has_extra_charges")
+
+
+@register("filter_valid_trips")
+def q_filter_valid_trips(spark, sf):
+    """P9."""
+    return silver.filter_valid_trips(_renamed_defaults(spark, sf)).select(
+        "VendorID", "pickup_datetime", "dropoff_datetime", "fare_amount", "total_amount",
+        "trip_distance", "passenger_count")
+
+
+@register("add_calendar")
+def q_add_calendar(spark, sf):
+    """P10."""
+    df = _renamed_defaults(spark, sf).filter(F.col("dropoff_datetime").isNotNull())
+    return silver.add_calendar(df).select(
+        "pickup_datetime", "dropoff_datetime", "trip_date", "trip_year", "pickup_hour",
+        "pickup_day", "pickup_month", "pickup_year")
+
+
+@register("add_extra_charges")
+def q_add_extra_charges(spark, sf):
+    """P11."""
+    return silver.add_extra_charges(_renamed_defaults(spark, sf)).select(
+        "total_amount", "fare_amount", "extra_charges")
+
+
+@register("add_duration")
+def q_add_duration(spark, sf):
+    """P12."""
+    return silver.add_duration(_renamed_defaults(spark, sf)).select(
+        "pickup_datetime", "dropoff_datetime", "trip_duration_seconds", "trip_duration_minutes")
+
+
+@register("add_fare_per_mile")
+def q_add_fare_per_mile(spark, sf):
+    """P13."""
+    return silver.add_fare_per_mile(_renamed_defaults(spark, sf)).select(
+        "fare_amount", "trip_distance", "fare_per_mile")
+
+
+@register("add_distance_bucket")
+def q_add_distance_bucket(spark, sf):
+    """P15."""
+    return gold.add_distance_bucket(inputs.silver_trips(spark, sf)).select(
+        "trip_distance", "distance_bucket")
+
+
+# --------------------------------------------------------------- Bronze
+@register("enforce_schema")
+def q_enforce_schema(spark, sf):
+    """Declared types, absent declared columns as typed NULL."""
+    return inputs.typed_trips(spark, sf)
+
+
+@register("normalise_columns")
+def q_normalise_columns(spark, sf):
+    """P2 (+P1): a drifted file (``Airport_fee``, DOUBLE passenger count)
+    comes out with the declared names and types."""
+    raw = fixtures.raw_trips(spark, sf)
+    drifted = raw.withColumnsRenamed({"airport_fee": "Airport_fee"}).withColumn(
+        "passenger_count", F.col("passenger_count").cast("double"))
+    return bronze.enforce_schema(drifted).select(
+        "VendorID", "tpep_pickup_datetime", "passenger_count", "airport_fee")
+
+
+@register("add_ingest_metadata")
+def q_add_ingest_metadata(spark, sf):
+    """Load time present, source file kept."""
+    df = bronze.add_ingest_metadata(inputs.typed_trips(spark, sf))
+    return df.select("VendorID", "tpep_pickup_datetime", "source_file",
+                     F.col("bronze_ingestion_time").isNotNull().alias("has_ingestion_time"))
+
+
+@register("with_partition_year")
+def q_with_partition_year(spark, sf):
+    """P4."""
+    return bronze.with_partition_year(inputs.typed_trips(spark, sf)).select(
+        "VendorID", "tpep_dropoff_datetime", "year")
+
+
+def _year_split(spark, sf):
+    return bronze.split_valid(bronze.with_partition_year(inputs.typed_trips(spark, sf)), LO, HI)
+
+
+@register("split_valid_good")
+def q_split_valid_good(spark, sf):
+    """P5 good side."""
+    return _year_split(spark, sf)[0]
+
+
+@register("split_valid_bad")
+def q_split_valid_bad(spark, sf):
+    """P5 quarantine side (exact complement)."""
+    return _year_split(spark, sf)[1]
+
+
+@register("dedup_trips")
+def q_dedup_trips(spark, sf):
+    """A17 on the good side."""
+    return bronze.dedup_trips(_year_split(spark, sf)[0])
+
+
+@register("bronze_silver_yearly")
+def q_bronze_silver_yearly(spark, sf):
+    """Full chain: landed T -> Bronze (split, dedup) -> Silver -> A5."""
+    good, _ = bronze.bronze_transform(fixtures.raw_trips(spark, sf), LO, HI)
+    return gold.fact_trip_yearly_summary(silver.silver_transform(good))
+
+
+# --------------------------------------------------------------- dimensions
+@register("dim_location")
+def q_dim_location(spark, sf):
+    """P16 over fixture L."""
+    return inputs.zones(spark, sf)
+
+
+@register("read_zone_lookup")
+def q_read_zone_lookup(spark, sf):
+    """Fixture L written as a headed CSV, read back with the declared
+    schema, projected to the dimension."""
+    path = scratch_path(spark, "zone_lookup_csv")
+    fixtures.raw_zone_lookup(spark, sf).write.option("header", True).csv(path)
+    return gold.dim_location(gold.read_zone_lookup(spark, path))
+
+
+# --------------------------------------------------------------- history views
+def _facts(spark, sf, name):
+    return gold.FACTS[name](inputs.silver_trips(spark, sf))
+
+
+def _fact_payment(spark, sf):
+    return history.enrich_payment(_facts(spark, sf, "fact_payment_summary"), gold.dim_payment_type(spark))
+
+
+def _fact_vendor(spark, sf):
+    return history.enrich_vendor(_facts(spark, sf, "fact_vendor_summary"), gold.dim_vendor(spark))
+
+
+def _fact_location(spark, sf):
+    return history.enrich_location(_facts(spark, sf, "fact_location_summary"), inputs.zones(spark, sf))
+
+
+# The year selection used by the filter query.
+SELECTED_YEARS = (1995, 1996, 1997)
+
+
+@register("filter_years")
+def q_filter_years(spark, sf):
+    """P17 on the yearly fact."""
+    return history.filter_years(_facts(spark, sf, "fact_trip_yearly_summary"), SELECTED_YEARS)
+
+
+@register("enrich_payment")
+def q_enrich_payment(spark, sf):
+    """J1."""
+    return _fact_payment(spark, sf)
+
+
+@register("enrich_vendor")
+def q_enrich_vendor(spark, sf):
+    """J2."""
+    return _fact_vendor(spark, sf)
+
+
+@register("enrich_location")
+def q_enrich_location(spark, sf):
+    """J3."""
+    return _fact_location(spark, sf)
+
+
+@register("kpis")
+def q_kpis(spark, sf):
+    """A19."""
+    return history.kpis(_facts(spark, sf, "fact_trip_yearly_summary"))
+
+
+@register("kpis_weighted")
+def q_kpis_weighted(spark, sf):
+    """A19, trip-weighted variant."""
+    return history.kpis_weighted(_facts(spark, sf, "fact_trip_yearly_summary"))
+
+
+@register("yearly_trend")
+def q_yearly_trend(spark, sf):
+    """K6."""
+    return history.yearly_trend(_facts(spark, sf, "fact_trip_yearly_summary"))
+
+
+@register("yoy_change")
+def q_yoy_change(spark, sf):
+    """W3."""
+    return history.yoy_change(_facts(spark, sf, "fact_trip_yearly_summary"))
+
+
+@register("payment_mix")
+def q_payment_mix(spark, sf):
+    """A20 + W6."""
+    return history.payment_mix(_fact_payment(spark, sf))
+
+
+@register("payment_value")
+def q_payment_value(spark, sf):
+    """A21."""
+    return history.payment_value(_fact_payment(spark, sf))
+
+
+@register("vendor_summary")
+def q_vendor_summary(spark, sf):
+    """A22."""
+    return history.vendor_summary(_fact_vendor(spark, sf))
+
+
+@register("distance_summary")
+def q_distance_summary(spark, sf):
+    """A23."""
+    return history.distance_summary(_facts(spark, sf, "fact_distance_summary"))
+
+
+@register("distance_highlights")
+def q_distance_highlights(spark, sf):
+    """K4 on A23."""
+    return history.distance_highlights(_facts(spark, sf, "fact_distance_summary"))
+
+
+@register("hourly_trips")
+def q_hourly_trips(spark, sf):
+    """A24."""
+    return history.hourly_trips(_facts(spark, sf, "fact_trip_time_summary"))
+
+
+@register("peak_hour")
+def q_peak_hour(spark, sf):
+    """K4 on A24."""
+    return history.peak_hour(_facts(spark, sf, "fact_trip_time_summary"))
+
+
+@register("borough_trips")
+def q_borough_trips(spark, sf):
+    """A25 + W6."""
+    return history.borough_trips(_fact_location(spark, sf))
+
+
+@register("top_zones_by_revenue")
+def q_top_zones_by_revenue(spark, sf):
+    """K1."""
+    return history.top_zones_by_revenue(_fact_location(spark, sf))
+
+
+@register("premium_zones")
+def q_premium_zones(spark, sf):
+    """K2."""
+    return history.premium_zones(_fact_location(spark, sf))
+
+
 # --------------------------------------------------------------- Platinum
+def _sh(spark, sf):
+    return inputs.silver_hourly(spark, sf)
+
+
+def _hourly(spark, sf):
+    return platinum.hourly_demand(_sh(spark, sf))
+
+
+def _top_zones(spark, sf):
+    return platinum.top_zones(_sh(spark, sf))
+
+
+def _grid(spark, sf):
+    return platinum.hour_zone_grid(_top_zones(spark, sf).select(platinum.ZONE),
+                                   platinum.hour_bounds(_sh(spark, sf)))
+
+
+def _dense(spark, sf):
+    return platinum.densify(_grid(spark, sf), _hourly(spark, sf))
+
+
+def _ds(spark, sf):
+    return inputs.demand_series(spark, sf)
+
+
+@register("zone_totals")
+def q_zone_totals(spark, sf):
+    """A11."""
+    return platinum.zone_totals(_sh(spark, sf))
+
+
+@register("zone_threshold")
+def q_zone_threshold(spark, sf):
+    """A12."""
+    return platinum.zone_threshold(platinum.zone_totals(_sh(spark, sf)))
+
+
+@register("top_zones")
+def q_top_zones(spark, sf):
+    """A13."""
+    return _top_zones(spark, sf)
+
+
+@register("hour_bounds")
+def q_hour_bounds(spark, sf):
+    """A14."""
+    return platinum.hour_bounds(_sh(spark, sf))
+
+
+@register("hour_sequence")
+def q_hour_sequence(spark, sf):
+    """A15."""
+    return platinum.hour_sequence(platinum.hour_bounds(_sh(spark, sf)))
+
+
+@register("hourly_demand")
+def q_hourly_demand(spark, sf):
+    """A16."""
+    return _hourly(spark, sf)
+
+
+@register("hour_zone_grid")
+def q_hour_zone_grid(spark, sf):
+    """J5 (no cross join)."""
+    return _grid(spark, sf)
+
+
+@register("semi_zones")
+def q_semi_zones(spark, sf):
+    """J7."""
+    return platinum.semi_zones(_sh(spark, sf), _top_zones(spark, sf)).select(
+        "pu_location_id", "pickup_datetime", "fare_amount")
+
+
+@register("densify")
+def q_densify(spark, sf):
+    """J6 + P20."""
+    return _dense(spark, sf)
+
+
+@register("fill_missing_hours")
+def q_fill_missing_hours(spark, sf):
+    """P20: only the zero-filled hours."""
+    g = _grid(spark, sf)
+    raw = g.join(_hourly(spark, sf), on=list(platinum.SERIES_KEYS), how="left")
+    return platinum.fill_missing_hours(raw.filter(F.col("trip_count").isNull()))
+
+
+@register("add_series_calendar")
+def q_add_series_calendar(spark, sf):
+    """P19."""
+    return platinum.add_series_calendar(_dense(spark, sf))
+
+
+@register("add_lags")
+def q_add_lags(spark, sf):
+    """W1."""
+    return _ds(spark, sf).select(*platinum.SERIES_KEYS, "trip_count", "lag_1h", "lag_24h", "lag_168h")
+
+
+@register("add_rolling_mean")
+def q_add_rolling_mean(spark, sf):
+    """W2."""
+    return platinum.add_rolling_mean(_ds(spark, sf)).select(
+        *platinum.SERIES_KEYS, "trip_count", "rolling_mean_24h")
+
+
 @register("demand_series")
 def q_demand_series(spark, sf):
     """Silver(H) -> top zones -> grid -> densify -> calendar -> lags."""
-    return inputs.demand_series(spark, sf)
+    return _ds(spark, sf)
+
+
+@register("order_series")
+def q_order_series(spark, sf):
+    """K5."""
+    return platinum.order_series(_ds(spark, sf))
+
+
+# --------------------------------------------------------------- demand views
+def _enriched(spark, sf):
+    return demand.enrich_series(_ds(spark, sf), inputs.zones(spark, sf))
+
+
+@register("enrich_series")
+def q_enrich_series(spark, sf):
+    """J4."""
+    return _enriched(spark, sf)
+
+
+@register("filter_zone")
+def q_filter_zone(spark, sf):
+    """P18 for the selector's default zone (first id)."""
+    ds = _ds(spark, sf)
+    return demand.filter_zone(ds, demand.default_zone(ds))
+
+
+@register("with_series_ts")
+def q_with_series_ts(spark, sf):
+    """P22."""
+    return demand.with_series_ts(_ds(spark, sf)).select(*platinum.SERIES_KEYS, "datetime")
+
+
+@register("map_values")
+def q_map_values(spark, sf):
+    """Day-type, weekday and month labels."""
+    return demand.calendar_labels(_ds(spark, sf)).select(
+        *platinum.SERIES_KEYS, "is_weekend", "day_type", "dow_name", "month_name", "month_label")
+
+
+@register("distinct_sorted")
+def q_distinct_sorted(spark, sf):
+    """The zone selector's (zone, id) list."""
+    return demand.distinct_sorted(_enriched(spark, sf), ["zone", "pu_location_id"])
+
+
+@register("hour_profile")
+def q_hour_profile(spark, sf):
+    """A26."""
+    return demand.hour_profile(_ds(spark, sf))
+
+
+@register("typical_week")
+def q_typical_week(spark, sf):
+    """A27."""
+    return demand.typical_week(_ds(spark, sf))
+
+
+@register("week_extremes")
+def q_week_extremes(spark, sf):
+    """K4 on A27."""
+    return demand.week_extremes(_ds(spark, sf))
+
+
+@register("season_band")
+def q_season_band(spark, sf):
+    """P26 on A28's monthly means."""
+    return demand.monthly_seasonality(_ds(spark, sf))
+
+
+@register("monthly_seasonality")
+def q_monthly_seasonality(spark, sf):
+    """A28 figures."""
+    return demand.seasonality_summary(_ds(spark, sf))
+
+
+@register("borough_demand")
+def q_borough_demand(spark, sf):
+    """A29."""
+    return demand.borough_demand(_enriched(spark, sf))
+
+
+@register("zone_kpis")
+def q_zone_kpis(spark, sf):
+    """A30."""
+    return demand.zone_kpis(_ds(spark, sf))
+
+
+@register("yoy_monthly")
+def q_yoy_monthly(spark, sf):
+    """A31."""
+    return demand.yoy_monthly(_ds(spark, sf))
+
+
+@register("demand_heatmap")
+def q_demand_heatmap(spark, sf):
+    """A32."""
+    return demand.demand_heatmap(_ds(spark, sf))
+
+
+@register("recent_monthly")
+def q_recent_monthly(spark, sf):
+    """A34."""
+    return demand.recent_monthly(_ds(spark, sf))
+
+
+@register("data_through")
+def q_data_through(spark, sf):
+    """A36."""
+    return demand.data_through(_ds(spark, sf))
+
+
+@register("demand_hotspots")
+def q_demand_hotspots(spark, sf):
+    """K3."""
+    return demand.demand_hotspots(_enriched(spark, sf))
+
+
+# --------------------------------------------------------------- evaluation
+# Hold-out length for fixture H (30 days; lag_168h uses 7).
+HOLDOUT_DAYS = 7
+
+
+def _split(spark, sf):
+    return evaluate.time_split(_ds(spark, sf), HOLDOUT_DAYS)
+
+
+def _naive_preds(spark, sf):
+    return evaluate.prediction_frame(evaluate.seasonal_naive(_split(spark, sf)[1]))
+
+
+@register("drop_warmup")
+def q_drop_warmup(spark, sf):
+    """P21."""
+    return evaluate.drop_warmup(_ds(spark, sf))
+
+
+@register("time_split_train")
+def q_time_split_train(spark, sf):
+    """M1 train side."""
+    return _split(spark, sf)[0]
+
+
+@register("time_split_test")
+def q_time_split_test(spark, sf):
+    """M1 test side."""
+    return _split(spark, sf)[1]
+
+
+@register("seasonal_naive")
+def q_seasonal_naive(spark, sf):
+    """M10 (with P24 clipping) on the hold-out."""
+    return _naive_preds(spark, sf)
+
+
+@register("clip_nonneg")
+def q_clip_nonneg(spark, sf):
+    """P24 on the week-over-week change of each hour."""
+    ds = _ds(spark, sf).filter(F.col("lag_168h").isNotNull())
+    return ds.select(*platinum.SERIES_KEYS,
+                     clip_nonneg(F.col("trip_count") - F.col("lag_168h")).alias("growth"))
+
+
+@register("add_demand_bucket")
+def q_add_demand_bucket(spark, sf):
+    """P25."""
+    return evaluate.add_demand_bucket(_naive_preds(spark, sf))
+
+
+@register("forecast_metrics")
+def q_forecast_metrics(spark, sf):
+    """A37 on the seasonal-naive hold-out predictions."""
+    return evaluate.forecast_metrics(_naive_preds(spark, sf))
+
+
+@register("mape_by_bucket")
+def q_mape_by_bucket(spark, sf):
+    """A38."""
+    return evaluate.mape_by_bucket(_naive_preds(spark, sf))
+
+
+@register("zone_metrics")
+def q_zone_metrics(spark, sf):
+    """A39."""
+    return evaluate.zone_metrics(_naive_preds(spark, sf))
+
+
+@register("actual_vs_predicted")
+def q_actual_vs_predicted(spark, sf):
+    """M11 for the selector's default zone."""
+    preds = _naive_preds(spark, sf)
+    return evaluate.actual_vs_predicted(preds, demand.default_zone(preds))
+
+
+# --------------------------------------------------------------- model (property-checked)
+_MODELS: dict = {}
+
+
+def trained_model(spark, sf):
+    """M3 on the fixture's split, trained once per session and folder."""
+    key = (id(spark), sf)
+    if key not in _MODELS:
+        train, test = _split(spark, sf)
+        tm = model.train_demand_model(train, test)
+        path = scratch_path(spark, "demand_model")
+        model.save_model(tm, path)
+        _MODELS[key] = (tm, path)
+    return _MODELS[key]
+
+
+@register("feature_pipeline")
+def q_feature_pipeline(spark, sf):
+    """M2: indexed zone and assembled feature vector (as an array)."""
+    train, _ = _split(spark, sf)
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+
+    stages = model.feature_pipeline()
+    out = Pipeline(stages=stages).fit(train).transform(train)
+    return out.select(*platinum.SERIES_KEYS, model.ZONE_INDEX,
+                      vector_to_array("features").alias("features"))
+
+
+@register("train_demand_model")
+def q_train_demand_model(spark, sf):
+    """M3: validation loss per boosting round and the chosen round."""
+    tm, _ = trained_model(spark, sf)
+    rows = [(i + 1, float(v), i + 1 == tm.best_iteration) for i, v in enumerate(tm.validation_loss)]
+    if not rows:
+        rows = [(tm.best_iteration, None, True)]
+    return spark.createDataFrame(rows, "iteration INT, validation_loss DOUBLE, is_best BOOLEAN")
+
+
+@register("score")
+def q_score(spark, sf):
+    """M4: hold-out predictions, clipped at zero."""
+    tm, _ = trained_model(spark, sf)
+    return evaluate.prediction_frame(model.score(tm.model, _split(spark, sf)[1]))
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf):
+    """M5."""
+    tm, _ = trained_model(spark, sf)
+    return model.feature_importance(tm, spark)
+
+
+@register("save_load_model")
+def q_save_load_model(spark, sf):
+    """M6: the reloaded pipeline scores the hold-out; ``same`` compares
+    with the in-memory model."""
+    tm, path = trained_model(spark, sf)
+    test = _split(spark, sf)[1]
+    a = model.score(tm.model, test).select(*platinum.SERIES_KEYS, F.col("prediction").alias("p1"))
+    b = model.score(model.load_model(path), test).select(*platinum.SERIES_KEYS, F.col("prediction").alias("p2"))
+    return a.join(b, on=list(platinum.SERIES_KEYS)).withColumn("same", F.col("p1") == F.col("p2"))
+
+
+# --------------------------------------------------------------- forecast
+def _zones_of(ds):
+    return ds.select(platinum.ZONE).distinct()
+
+
+@register("future_grid")
+def q_future_grid(spark, sf):
+    """M9: all series zones x the 2,160 hours after the last hour."""
+    ds = _ds(spark, sf)
+    return forecast.future_grid(_zones_of(ds), forecast.forecast_start(ds))
+
+
+@register("seed_rows")
+def q_seed_rows(spark, sf):
+    """W4."""
+    return forecast.seed_rows(_ds(spark, sf))
+
+
+@register("seed_averages")
+def q_seed_averages(spark, sf):
+    """W5."""
+    return forecast.seed_averages(_ds(spark, sf))
+
+
+@register("forecast")
+def q_forecast(spark, sf):
+    """M7: 90-day recursive forecast for every zone (property-checked)."""
+    tm, path = trained_model(spark, sf)
+    return forecast.forecast(tm.model, path, _ds(spark, sf))
+
+
+def _history_frame(spark, sf):
+    """A (zone, datetime, trip_count) frame from the series, the input
+    shape of the projection roll-ups."""
+    return demand.with_series_ts(_ds(spark, sf)).select(platinum.ZONE, "datetime", "trip_count")
+
+
+@register("weekly_projection")
+def q_weekly_projection(spark, sf):
+    """A33 on a deterministic (zone, hour, trips) frame."""
+    return forecast.weekly_projection(_history_frame(spark, sf))
+
+
+@register("driver_requirement")
+def q_driver_requirement(spark, sf):
+    """A35 monthly rows."""
+    return forecast.driver_requirement(_history_frame(spark, sf))
+
+
+@register("driver_summary")
+def q_driver_summary(spark, sf):
+    """A35 figures."""
+    return forecast.driver_summary(forecast.driver_requirement(_history_frame(spark, sf)))
+
+
+@register("forecast_weekly")
+def q_forecast_weekly(spark, sf):
+    """A33 on the model's forecast (property-checked)."""
+    tm, path = trained_model(spark, sf)
+    return forecast.weekly_projection(forecast.forecast(tm.model, path, _ds(spark, sf)))
+
+
+# --------------------------------------------------------------- tables and files
+def _io(spark, name):
+    return tables.TableIO(spark, scratch_path(spark, name))
+
+
+def _bronze_good(spark, sf):
+    return bronze.dedup_trips(_year_split(spark, sf)[0])
+
+
+@register("bronze_table")
+def q_bronze_table(spark, sf):
+    """S6 + S3: Bronze appended partitioned by year, read back."""
+    io = _io(spark, "bronze")
+    io.append(_bronze_good(spark, sf), "yellow_taxi", partition_by="year", partitions=3)
+    return io.read("yellow_taxi").select(*DECLARED, "source_file")
+
+
+@register("quarantine_table")
+def q_quarantine_table(spark, sf):
+    """Rejected rows (NULL year lands in the default partition)."""
+    io = _io(spark, "quarantine")
+    io.append(_year_split(spark, sf)[1], "yellow_taxi_quarantine", partition_by="year")
+    return io.read("yellow_taxi_quarantine").select(*DECLARED, "source_file")
+
+
+@register("silver_table")
+def q_silver_table(spark, sf):
+    """Silver overwritten partitioned by trip_year; a second overwrite
+    of the same partitions leaves the table unchanged."""
+    io = _io(spark, "silver")
+    df = inputs.silver_trips(spark, sf).select(*SILVER_COLUMNS)
+    io.overwrite(df, "yellow_taxi", partition_by="trip_year", partitions=8)
+    io.overwrite(df, "yellow_taxi", partition_by="trip_year", partitions=8)
+    return io.read("yellow_taxi").select(*SILVER_COLUMNS)
+
+
+@register("write_dim")
+def q_write_dim(spark, sf):
+    """S9."""
+    io = _io(spark, "gold")
+    io.write_dim(inputs.zones(spark, sf), "dim_location")
+    return io.read("dimensions/dim_location")
+
+
+@register("write_fact")
+def q_write_fact(spark, sf):
+    """S10."""
+    io = _io(spark, "gold")
+    io.write_fact(_facts(spark, sf, "fact_trip_yearly_summary"), "fact_trip_yearly_summary")
+    return io.read("facts/fact_trip_yearly_summary")
+
+
+@register("write_features")
+def q_write_features(spark, sf):
+    """S11."""
+    io = _io(spark, "platinum")
+    io.write_features(_ds(spark, sf), "demand_series")
+    return io.read("demand_series")
+
+
+@register("write_evaluation")
+def q_write_evaluation(spark, sf):
+    """The per-zone metric table written and read back."""
+    io = _io(spark, "evaluation")
+    preds = _naive_preds(spark, sf)
+    imp = spark.createDataFrame([("lag_168h", 1.0)], "feature STRING, importance DOUBLE")
+    paths = io.write_evaluation(preds, evaluate.zone_metrics(preds), imp)
+    return spark.read.parquet(paths["forecast_metrics"])
+
+
+def _land_trips(spark, sf) -> str:
+    """Write fixture T as landed files, one folder per year."""
+    path = scratch_path(spark, "landing")
+    raw = fixtures.raw_trips(spark, sf).drop("source_file")
+    raw.withColumn("year", F.year("tpep_dropoff_datetime")).write.partitionBy("year").parquet(path)
+    return path
+
+
+@register("read_landing")
+def q_read_landing(spark, sf):
+    """The landed dataset in one read, with each row's file."""
+    df = landing.read_landing(spark, _land_trips(spark, sf))
+    cols = [c for c in fixtures.raw_trips(spark, sf).columns if c != "source_file"]
+    return df.select(*cols, F.col("source_file").isNotNull().alias("has_source_file"))
+
+
+@register("read_landing_files")
+def q_read_landing_files(spark, sf):
+    """Two files with conflicting types/spellings read as one table."""
+    root = scratch_path(spark, "landing_drift")
+    raw = fixtures.raw_trips(spark, sf).drop("source_file")
+    old = F.year("tpep_dropoff_datetime") <= 1995
+    raw.filter(old).withColumnsRenamed({"airport_fee": "Airport_fee"}).withColumn(
+        "passenger_count", F.col("passenger_count").cast("double")).write.parquet(f"{root}/a")
+    raw.filter(~old | F.col("tpep_dropoff_datetime").isNull()).write.parquet(f"{root}/b")
+    files = [r.file_name for r in landing.landed_files(spark, root).collect()]
+    cols = [c for c in DECLARED if c != "year"]
+    return landing.read_landing_files(spark, files).select(*cols)
+
+
+@register("new_files")
+def q_new_files(spark, sf):
+    """Landed files minus those recorded in the ledger
+    (property-checked: file names are generated)."""
+    root = _land_trips(spark, sf)
+    files = landing.landed_files(spark, root)
+    ledger = tables.FileLedger(spark, scratch_path(spark, "ledger")).init()
+    ledger.append(files.filter(F.col("file_name").contains("year=1992")))
+    return landing.new_files(files, ledger.read())
+
+
+@register("file_ledger")
+def q_file_ledger(spark, sf):
+    """Ledger created, appended, read; latest time (property)."""
+    root = _land_trips(spark, sf)
+    ledger = tables.FileLedger(spark, scratch_path(spark, "ledger")).init()
+    ledger.append(landing.landed_files(spark, root))
+    return ledger.latest()
+
+
+@register("landing_progress")
+def q_landing_progress(spark, sf):
+    """S16 over file names built from T's dropoff months, plus T's own
+    source names, which do not follow the pattern and are skipped."""
+    t = inputs.typed_trips(spark, sf).filter(F.col("tpep_dropoff_datetime").isNotNull())
+    ym = F.date_format("tpep_dropoff_datetime", "yyyy-MM")
+    names = t.select(F.concat(F.lit("year="), F.year("tpep_dropoff_datetime").cast("string"),
+                              F.lit("/yellow_tripdata_"), ym, F.lit(".parquet")).alias("file_name"))
+    names = names.unionByName(t.select(F.col("source_file").alias("file_name")))
+    return landing.landing_progress(names, start="2025-01-01")
+
+
+@register("stream_bronze")
+def q_stream_bronze(spark, sf):
+    """Landed files loaded by an availableNow file stream into
+    batch-partitioned Bronze (property-checked)."""
+    landing_dir = _land_trips(spark, sf)
+    root = scratch_path(spark, "stream")
+    t = bronze_stream.stream_bronze(spark, landing_dir, root, f"{root}/_checkpoint", LO, HI)
+    return spark.read.parquet(t["bronze"]).select(*DECLARED)
+
+
+# --------------------------------------------------------------- profiling
+@register("row_counts")
+def q_row_counts(spark, sf):
+    """A1: rows per stage."""
+    good, _ = _year_split(spark, sf)
+    return profile.row_counts(
+        landing=fixtures.raw_trips(spark, sf),
+        bronze=bronze.dedup_trips(good),
+        silver=inputs.silver_trips(spark, sf),
+        platinum=_ds(spark, sf),
+    )
+
+
+# The Silver columns profiled by A2.
+PROFILE_COLUMNS = ("passenger_count", "trip_distance", "fare_amount", "total_amount",
+                   "trip_duration_seconds", "fare_per_mile")
+
+
+@register("profile_describe")
+def q_profile_describe(spark, sf):
+    """A2."""
+    return profile.profile_describe(inputs.silver_trips(spark, sf), PROFILE_COLUMNS)
+
+
+@register("profile_summary")
+def q_profile_summary(spark, sf):
+    """A3 (approximate quartiles; property-checked)."""
+    return profile.profile_summary(inputs.silver_trips(spark, sf), ["fare_per_mile"])
+
+
+@register("profile_distinct")
+def q_profile_distinct(spark, sf):
+    """A4 (HyperLogLog estimates; property-checked)."""
+    return profile.profile_distinct(inputs.typed_trips(spark, sf))
