@@ -940,7 +940,7 @@ def q_stream_bronze(spark, sf):
     landing_dir = _land_trips(spark, sf)
     root = scratch_path(spark, "stream")
     t = bronze_stream.stream_bronze(spark, landing_dir, root, f"{root}/_checkpoint", LO, HI)
-    return spark.read.parquet(t["bronze"]).select(*DECLARED)
+    return bronze_stream.read_table(spark, t["bronze"]).select(*DECLARED)
 
 
 # --------------------------------------------------------------- profiling

@@ -25,7 +25,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from tripflow.operators.bronze import bronze_transform
+from tripflow.operators.bronze import TRIP_SCHEMA, bronze_transform
 from tripflow.sources.landing import read_landing_files
 
 BINARY_FILE_SCHEMA = StructType(
@@ -38,6 +38,30 @@ BINARY_FILE_SCHEMA = StructType(
 )
 
 
+# Bronze and quarantine rows as written by a batch; declared so that a table
+# whose batches produced no rows yet still reads (as empty).
+TABLE_SCHEMA = StructType(
+    list(TRIP_SCHEMA.fields)
+    + [
+        StructField("bronze_ingestion_time", TimestampType(), True),
+        StructField("source_file", StringType(), True),
+        StructField("batch_id", LongType(), True),
+    ]
+)
+LEDGER_SCHEMA = StructType(
+    [
+        StructField("file_name", StringType(), True),
+        StructField("processed_time", TimestampType(), True),
+        StructField("batch_id", LongType(), True),
+    ]
+)
+
+
+def read_table(spark: SparkSession, path: str, ledger: bool = False) -> DataFrame:
+    """Read a table written by the stream with its declared schema."""
+    return spark.read.schema(LEDGER_SCHEMA if ledger else TABLE_SCHEMA).parquet(path)
+
+
 def _overwrite(df: DataFrame, path: str, partition_by) -> None:
     (
         df.write.mode("overwrite")
