@@ -23,10 +23,11 @@ def R(x: str, n: int = 4) -> str:
 
 
 def rounded(sql: str, doubles: list[str] | tuple[str, ...]) -> str:
-    """Round the named double columns of ``sql``'s result to 4 places."""
+    """Round the named double columns of ``sql``'s result to 9 places (drops
+    summation-order noise), then to 4, as the Spark side does."""
     if not doubles:
         return sql
-    repl = ", ".join(f"{R(c)} AS {c}" for c in doubles)
+    repl = ", ".join(f"{R(R(c, 9))} AS {c}" for c in doubles)
     return f"SELECT * REPLACE ({repl}) FROM ({sql}) q"
 
 

@@ -74,8 +74,23 @@ FIXTURE_TABLES = {
 _FIXTURE_SQL = {"T": TRIPS_SQL, "H": HOURLY_SQL, "L": ZONES_SQL}
 
 
+def rebalance_small_scan(df: DataFrame) -> DataFrame:
+    """Spread an under-split scan over the cluster.
+
+    A file written as one row group is read by one task, so every row-level
+    step before the first shuffle would run on one core. When the scan has
+    fewer splits than the default parallelism, a round-robin repartition
+    spreads the rows; a large table (many files or row groups) already has
+    more splits than cores and is returned untouched, without a shuffle.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return rebalance_small_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def _fixture(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
