@@ -549,3 +549,5 @@ add("profile_describe", ST_CTES, " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", count({c}) AS count, avg({c}::DOUBLE) AS mean, stddev_samp({c}::DOUBLE) AS stddev, "
     f"min({c}::DOUBLE) AS min, max({c}::DOUBLE) AS max FROM ST" for c in PROFILE_COLUMNS),
     ("mean", "stddev", "min", "max"))
+
+ORACLE["fact_grouping_sets"] = ORACLE["fact_trip_time_summary"]

@@ -977,3 +977,27 @@ def q_profile_summary(spark, sf):
 def q_profile_distinct(spark, sf):
     """A4 (HyperLogLog estimates; property-checked)."""
     return profile.profile_distinct(inputs.typed_trips(spark, sf))
+
+
+# --------------------------------------------------------------- one-pass Gold and the full run
+@register("fact_grouping_sets")
+def q_fact_grouping_sets(spark, sf):
+    """The six facts from one GROUPING SETS pass; the time fact (the
+    largest) is returned and checked, the other five in tests."""
+    agg = gold.fact_grouping_sets(inputs.silver_trips(spark, sf))
+    return gold.split_facts(agg)["fact_trip_time_summary"]
+
+
+@register("medallion_gold")
+def q_medallion_gold(spark, sf):
+    """Landed T files -> Bronze -> Silver -> Gold tables; the yearly fact as
+    written (property-checked: dedup scope is the landed file)."""
+    from tripflow.plans.medallion import Medallion, land_files
+
+    root = scratch_path(spark, "medallion")
+    land = land_files(fixtures.raw_trips(spark, sf).drop("source_file"), f"{root}/landing")
+    m = Medallion(spark, f"{root}/tables")
+    m.load_bronze(land, LO, HI)
+    m.build_silver()
+    m.build_gold(fixtures.raw_zone_lookup(spark, sf))
+    return m.fact("fact_trip_yearly_summary")
