@@ -43,6 +43,10 @@ FEATURE_COLS = [
 ]
 TARGET = "trip_count"
 ZONE_INDEX = "zone_index"
+# Boosting runs one job per tree level; on a small feature table the cost is
+# task overhead, so the training rows are packed into partitions of about
+# this many rows (never more partitions than the cluster's parallelism).
+ROWS_PER_TRAIN_PARTITION = 100_000
 
 
 @dataclass
@@ -117,7 +121,11 @@ def train_demand_model(
     # maxBins must cover every zone category (labels + the unseen bucket).
     max_bins = max(32, len(indexer_model.labels) + 1)
     prep = PipelineModel([indexer_model, stages[1]])
-    train_x = prep.transform(train).select("features", TARGET).persist()
+    cached = prep.transform(train).select("features", TARGET).persist()
+    n_rows = cached.count()
+    parts = max(1, min(train.sparkSession.sparkContext.defaultParallelism,
+                       -(-n_rows // ROWS_PER_TRAIN_PARTITION)))
+    train_x = cached.coalesce(parts)
     try:
         gbt = _regressor(p, max_bins, p.max_iter).fit(train_x)
         losses: list = []
@@ -129,7 +137,7 @@ def train_demand_model(
             if best < p.max_iter:
                 gbt = _regressor(p, max_bins, best).fit(train_x)
     finally:
-        train_x.unpersist()
+        cached.unpersist()
     return TrainedModel(PipelineModel([indexer_model, stages[1], gbt]), best, losses, p.features)
 
 
