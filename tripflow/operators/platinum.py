@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripflow.session import checkpoint_root
+
 ZONE = "pu_location_id"
 SERIES_KEYS = (ZONE, "trip_date", "pickup_hour")
 
@@ -185,10 +187,21 @@ def series_ts(date_col: str = "trip_date", hour_col: str = "pickup_hour") -> Col
 
 
 def demand_series(
-    trips: DataFrame, p: float = TOP_ZONE_PERCENTILE, lags=LAGS
+    trips: DataFrame, p: float = TOP_ZONE_PERCENTILE, lags=LAGS, materialize: bool = True
 ) -> DataFrame:
-    """Silver trips -> the Platinum feature table."""
+    """Silver trips -> the Platinum feature table.
+
+    The hourly aggregate feeds five consumers (zone totals, the percentile
+    threshold, both hour bounds, the densifying join). With ``materialize``
+    it is checkpointed once into ``spark.checkpoint.dir`` (reliable,
+    shared storage), so Silver is scanned exactly once and a lost executor
+    recomputes from the checkpoint, not from the trips. The checkpoint holds
+    zones x hours rows, never trip rows.
+    """
     hourly = hourly_demand(trips)
+    if materialize:
+        checkpoint_root(trips.sparkSession)
+        hourly = hourly.checkpoint(eager=True)
     zones = select_top_zones(zone_totals(hourly, count_col="trip_count"), p)
     grid = hour_zone_grid(zones.select(ZONE), hourly_bounds(hourly))
     series = add_series_calendar(densify(grid, hourly))
