@@ -224,3 +224,13 @@ def test_medallion_end_to_end(spark):
     trained, path = m2.train_and_evaluate(7, model.ModelParams(max_iter=3, max_depth=3))
     m2.build_forecast(trained, path, hours=48)
     assert m2.io.read("forecast").count() == 48 * m2.demand_series().select("pu_location_id").distinct().count()
+
+
+def test_read_landing_files_fast_path_for_agreeing_files(spark):
+    root = scratch_path(spark, "landing_same")
+    raw = fixtures.raw_trips(spark, SMALL).drop("source_file")
+    raw.write.parquet(root)
+    files = [r.file_name for r in landing.landed_files(spark, root).collect()]
+    df = landing.read_landing_files(spark, files)
+    assert df.count() == raw.count()
+    assert "source_file" in df.columns and dict(df.dtypes)["tpep_pickup_datetime"] == "timestamp"

@@ -551,3 +551,4 @@ add("profile_describe", ST_CTES, " UNION ALL ".join(
     ("mean", "stddev", "min", "max"))
 
 ORACLE["fact_grouping_sets"] = ORACLE["fact_trip_time_summary"]
+add("drop", [T, TT], "SELECT * EXCLUDE (source_file) FROM TT", T_DOUBLES)

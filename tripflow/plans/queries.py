@@ -156,6 +156,12 @@ def q_add_fare_per_mile(spark, sf):
         "fare_amount", "trip_distance", "fare_per_mile")
 
 
+@register("drop")
+def q_drop(spark, sf):
+    """The source-file column dropped."""
+    return inputs.typed_trips(spark, sf).drop("source_file")
+
+
 @register("add_distance_bucket")
 def q_add_distance_bucket(spark, sf):
     """P15."""

@@ -31,13 +31,33 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
     return _with_source(spark.read.option("mergeSchema", True).parquet(path))
 
 
+def _single_read(spark: SparkSession, paths) -> DataFrame | None:
+    """One scan over all files when their schemas merge cleanly (same types,
+    no names differing only by case); None when they conflict."""
+    try:
+        df = spark.read.option("mergeSchema", True).parquet(*paths)
+        lowered = [c.lower() for c in df.columns]
+        if len(set(lowered)) != len(lowered):
+            return None
+        return df
+    except Exception:  # noqa: BLE001 - incompatible physical types
+        return None
+
+
 def read_landing_files(spark: SparkSession, paths) -> DataFrame:
     """Read files whose schemas may conflict.
 
-    Files are grouped by their own schema (a footer read each); each group
-    is one scan, normalised and typed to the declared schema, and the groups
-    are aligned by column name.
+    Fast path: one merged scan when the files agree. Otherwise files are
+    grouped by their own schema (a footer read each); each group is one scan,
+    normalised and typed to the declared schema, and the groups are aligned
+    by column name.
     """
+    paths = list(paths)
+    if not paths:
+        raise ValueError("no files to read")
+    merged = _single_read(spark, paths)
+    if merged is not None:
+        return enforce_schema(_with_source(merged))
     groups: "OrderedDict[str, list[str]]" = OrderedDict()
     for p in paths:
         key = spark.read.parquet(p).schema.json()
