@@ -1,10 +1,15 @@
-"""Benchmark the headline queries; prints one JSON line.
+"""Benchmark the headline work; prints one JSON line.
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
-Each query is materialised with the ``noop`` sink (full execution, nothing
-collected). SQL-style queries report the median of ``BENCH_RUNS`` warm runs;
-model training and the forecast run once.
+Two kinds of timings:
+
+* ``q_*``: registered queries, fully materialised with the ``noop`` sink
+  (nothing collected), median of ``BENCH_RUNS`` warm runs.
+* table stages of a medallion run (land, Bronze load, Silver, six facts,
+  Gold one pass, Platinum), each written as a table in the shared folder as
+  a real run would; median of ``BENCH_RUNS`` runs on fresh folders. Model
+  training and the 90-day forecast of every zone run once.
 """
 
 from __future__ import annotations
@@ -18,10 +23,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from tripflow.operators import bronze, evaluate, forecast, gold, model  # noqa: E402
-from tripflow.plans import inputs  # noqa: E402
+from tripflow.operators import evaluate, gold  # noqa: E402
+from tripflow.plans.medallion import Medallion, land_files  # noqa: E402
 from tripflow.plans.queries import HOLDOUT_DAYS, REGISTRY  # noqa: E402
 from tripflow.session import local_session, scratch_path  # noqa: E402
 from tripflow.sources import fixtures  # noqa: E402
@@ -29,89 +32,94 @@ from tripflow.sources import fixtures  # noqa: E402
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+QUERIES = (
+    "silver_trips", "fact_trip_yearly_summary", "fact_trip_time_summary", "dedup_trips",
+    "demand_series", "payment_mix", "top_zones_by_revenue", "hour_profile", "zone_metrics",
+    "row_counts",
+)
 
 
 def materialise(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def timed(fn, runs: int = RUNS) -> float:
-    times = []
-    for _ in range(runs):
-        t0 = time.perf_counter()
-        fn()
-        times.append(time.perf_counter() - t0)
-    return round(statistics.median(times), 3)
+def clock(fn) -> float:
+    t0 = time.perf_counter()
+    fn()
+    return time.perf_counter() - t0
 
 
-def main() -> None:
-    spark = local_session(cores=CPUS, shuffle_partitions=int(CPUS) * 2, app="tripflow-bench")
-    sf = SF_DIR
-    q: dict[str, float] = {}
+def median(xs) -> float:
+    return round(statistics.median(xs), 3)
 
-    # Warm-up: JVM, codegen caches, file listing.
-    materialise(REGISTRY["fact_trip_yearly_summary"](spark, sf))
 
-    q["silver"] = timed(lambda: materialise(inputs.silver_trips(spark, sf)))
+def medallion_run(spark, sf: str) -> dict:
+    """One trip-side run from landed files to Gold tables."""
+    root = scratch_path(spark, "bench_medallion")
+    t = {}
+    t["land_trips"] = clock(lambda: land_files(
+        fixtures.raw_trips(spark, sf).drop("source_file"), f"{root}/landing"))
+    m = Medallion(spark, f"{root}/tables")
+    lo, hi = fixtures.TRIPS_VALID_YEARS
+    t["bronze_load_split_dedup"] = clock(lambda: m.load_bronze(f"{root}/landing", lo, hi))
+    t["silver_table"] = clock(m.build_silver)
 
     def six_facts():
-        silver = inputs.silver_trips(spark, sf)
         for fn in gold.FACTS.values():
-            materialise(fn(silver))
+            materialise(fn(m.silver()))
 
-    q["six_facts"] = timed(six_facts)
+    t["six_facts_from_silver"] = clock(six_facts)
+    t["gold_one_pass_tables"] = clock(lambda: m.build_gold(fixtures.raw_zone_lookup(spark, sf)))
+    return t
 
-    def six_facts_one_pass():
-        agg = gold.fact_grouping_sets(inputs.silver_trips(spark, sf)).persist()
-        for df in gold.split_facts(agg).values():
-            materialise(df)
-        agg.unpersist()
 
-    q["six_facts_one_pass"] = timed(six_facts_one_pass)
+def main() -> None:
+    spark = local_session(cores=CPUS, shuffle_partitions=int(CPUS) * 2, app="tripflow-bench")
+    sf = SF_DIR
+    out: dict[str, float] = {}
 
-    def bronze_split_dedup():
-        good, bad = bronze.bronze_transform(fixtures.raw_trips(spark, sf), *fixtures.TRIPS_VALID_YEARS)
-        materialise(good)
-        materialise(bad)
+    # Warm-up: JVM, codegen caches, file listing.
+    materialise(REGISTRY["fact_trip_yearly_summary"](spark, sf))
 
-    q["bronze_split_dedup"] = timed(bronze_split_dedup)
-    q["demand_series"] = timed(lambda: materialise(inputs.demand_series(spark, sf)))
-    for name in ("payment_mix", "top_zones_by_revenue", "hour_profile", "zone_metrics", "row_counts"):
-        q[name] = timed(lambda n=name: materialise(REGISTRY[n](spark, sf)))
+    for name in QUERIES:
+        out[f"q_{name}"] = median([clock(lambda n=name: materialise(REGISTRY[n](spark, sf)))
+                                   for _ in range(RUNS)])
 
-    # Model: train once on a persisted series, score, forecast every zone.
-    series = inputs.demand_series(spark, sf).persist()
-    materialise(series)
-    train, test = evaluate.time_split(series, HOLDOUT_DAYS)
-    t0 = time.perf_counter()
-    tm = model.train_demand_model(train, test)
-    q["model_training"] = round(time.perf_counter() - t0, 3)
-    path = scratch_path(spark, "bench_model")
-    model.save_model(tm, path)
+    runs = [medallion_run(spark, sf) for _ in range(RUNS)]
+    for k in runs[0]:
+        out[k] = median([r[k] for r in runs])
 
-    scored = evaluate.prediction_frame(model.score(tm.model, test))
-    naive = evaluate.prediction_frame(evaluate.seasonal_naive(test))
-    m_model = evaluate.forecast_metrics(scored).first()
-    m_naive = evaluate.forecast_metrics(naive).first()
+    # Hourly side: landed H -> Bronze -> Silver -> Platinum, then the model.
+    root = scratch_path(spark, "bench_hourly")
+    land_files(fixtures.raw_hourly_trips(spark, sf), f"{root}/landing")
+    m = Medallion(spark, f"{root}/tables")
+    m.load_bronze(f"{root}/landing", 1900, 2100)
+    m.build_silver()
+    out["platinum_demand_series_table"] = round(clock(m.build_platinum), 3)
 
     t0 = time.perf_counter()
-    fc = forecast.forecast(tm.model, path, series)
-    materialise(fc)
-    q["forecast_2160h_all_zones"] = round(time.perf_counter() - t0, 3)
-    n_fc = fc.count()
-    series.unpersist()
-
-    m = re.search(r"sf([0-9.]+)", sf)
-    out = {
-        "metric": "total_query_seconds",
-        "value": round(sum(q.values()), 3),
+    trained, path = m.train_and_evaluate(HOLDOUT_DAYS)
+    out["model_training_and_evaluation"] = round(time.perf_counter() - t0, 3)
+    out["forecast_2160h_all_zones"] = round(clock(lambda: m.build_forecast(trained, path)), 3)
+
+    series = m.demand_series()
+    _, test = evaluate.time_split(series, HOLDOUT_DAYS)
+    preds = m.io.read("model_evaluation/demand_predictions")
+    m_model = evaluate.forecast_metrics(preds).first()
+    m_naive = evaluate.forecast_metrics(evaluate.prediction_frame(evaluate.seasonal_naive(test))).first()
+    n_fc = m.io.read("forecast").count()
+
+    match = re.search(r"sf([0-9.]+)", sf)
+    print(json.dumps({
+        "metric": "total_seconds",
+        "value": round(sum(out.values()), 3),
         "unit": "sec",
-        "queries": q,
-        "sf": float(m.group(1)) if m else sf,
+        "queries": out,
+        "sf": float(match.group(1)) if match else sf,
         "cpus": int(CPUS),
         "runs": RUNS,
         "model": {
-            "best_iteration": tm.best_iteration,
+            "best_iteration": trained.best_iteration,
             "mae": round(m_model["mae"], 4),
             "rmse": round(m_model["rmse"], 4),
             "naive_mae": round(m_naive["mae"], 4),
@@ -119,8 +127,7 @@ def main() -> None:
             "forecast_rows": n_fc,
         },
         "spark": spark.version,
-    }
-    print(json.dumps(out))
+    }))
     spark.stop()
 
 

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from tripflow.functions.columns import month_label
 from tripflow.operators.model import ZONE_INDEX, gbt_stage, model_features
 from tripflow.operators.platinum import ZONE, add_series_calendar, one_hour, series_ts
+from tripflow.session import ship_package
 
 # Forecast and capacity-planning parameters.
 HORIZON_HOURS = 90 * 24
@@ -224,7 +225,13 @@ def forecast(
         ZONE, "trip_date", "pickup_hour", "trip_count", *AVG_COLS,
         forecast_start(series).alias("_start"),
     )
-    return seeds.groupBy(ZONE).applyInPandas(fn, FORECAST_SCHEMA)
+    # The input is tiny but each group is thousands of sequential steps, so
+    # spread zones over the cluster explicitly: a shuffle sized by data would
+    # be coalesced by AQE into a task or two. The grouping reuses this
+    # partitioning (no second exchange).
+    parallel = series.sparkSession.sparkContext.defaultParallelism
+    ship_package(series.sparkSession)
+    return seeds.repartition(parallel, ZONE).groupBy(ZONE).applyInPandas(fn, FORECAST_SCHEMA)
 
 
 def weekly_projection(fc: DataFrame, ts: str = "datetime") -> DataFrame:

@@ -74,3 +74,32 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused table location under the shared folder."""
     return f"{checkpoint_root(spark)}/tripflow/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tripflow`` importable in executor Python workers.
+
+    Functions run by ``applyInPandas`` are pickled by reference, so workers
+    must import this package. The package is zipped on the driver and handed
+    to ``SparkContext.addPyFile``, which distributes it to every executor
+    (the same as ``--py-files``). Done once per SparkContext.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="tripflow-pyfiles-"), "tripflow.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _, files in os.walk(pkg):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(root, name)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(target)
+    _SHIPPED.add(key)
