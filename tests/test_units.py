@@ -201,3 +201,14 @@ def test_tied_top_k_breaks_on_key(spark):
         "avg_trip_value DOUBLE, zone STRING, borough STRING")
     top = history.top_zones_by_revenue(fact, 1).collect()
     assert top[0].zone == "Za"
+
+
+def test_since_bound_keeps_grid_from_stretching(spark):
+    base = dt.datetime(2024, 1, 1)
+    rows = [(7, base + dt.timedelta(hours=h), 10.0, 2.0, 1) for h in range(5)]
+    rows.append((7, dt.datetime(2010, 1, 1), 10.0, 2.0, 1))  # stray ancient pickup
+    trips = spark.createDataFrame(
+        rows, "pu_location_id BIGINT, pickup_datetime TIMESTAMP, fare_amount DOUBLE, trip_distance DOUBLE, "
+        "passenger_count BIGINT").withColumn("pickup_hour", F.hour("pickup_datetime"))
+    assert platinum.demand_series(trips, since="2023-12-31").count() == 5
+    assert platinum.demand_series(trips).count() > 100_000

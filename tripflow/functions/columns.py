@@ -59,12 +59,12 @@ def clip_nonneg(c) -> Column:
     return F.greatest(_col(c).cast("double"), F.lit(0.0))
 
 
-def share(c, over=None) -> Column:
-    """Value over the total of the (small, aggregated) frame."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy() if over is None else Window.partitionBy(*over)
-    return F.try_divide(_col(c), F.sum(_col(c)).over(w))
+def with_share(df, c: str, name: str):
+    """Value over the frame's total. The total is a scalar subquery (one
+    aggregate), not an unpartitioned window, so no single task ever holds
+    the frame."""
+    total = df.select(F.sum(F.col(c))).scalar()
+    return df.withColumn(name, F.try_divide(F.col(c), total))
 
 
 def capitalize(c) -> Column:

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripflow.functions.columns import capitalize, share
+from tripflow.functions.columns import capitalize, with_share
 from tripflow.operators.gold import DISTANCE_ORDER
 
 
@@ -104,10 +104,12 @@ def payment_mix(fact_payment: DataFrame) -> DataFrame:
         .groupBy("payment_name")
         .agg(F.sum("total_trips").alias("total_trips"))
     )
+    # One row per payment name (bounded by the payment dictionary), so the
+    # ranking window is tiny.
     rank = F.row_number().over(
         Window.orderBy(F.col("total_trips").desc(), F.col("payment_name"))
     )
-    return mix.select("*", share("total_trips").alias("trip_share"), rank.alias("rank"))
+    return with_share(mix, "total_trips", "trip_share").withColumn("rank", rank)
 
 
 def payment_value(fact_payment: DataFrame) -> DataFrame:
@@ -184,7 +186,7 @@ def borough_trips(fact_location: DataFrame) -> DataFrame:
         .groupBy("borough")
         .agg(F.sum("total_trips").alias("total_trips"))
     )
-    return b.select("*", share("total_trips").alias("trip_share"))
+    return with_share(b, "total_trips", "trip_share")
 
 
 def top_zones_by_revenue(fact_location: DataFrame, k: int = 10) -> DataFrame:

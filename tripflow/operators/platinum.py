@@ -187,7 +187,11 @@ def series_ts(date_col: str = "trip_date", hour_col: str = "pickup_hour") -> Col
 
 
 def demand_series(
-    trips: DataFrame, p: float = TOP_ZONE_PERCENTILE, lags=LAGS, materialize: bool = True
+    trips: DataFrame,
+    p: float = TOP_ZONE_PERCENTILE,
+    lags=LAGS,
+    materialize: bool = True,
+    since=None,
 ) -> DataFrame:
     """Silver trips -> the Platinum feature table.
 
@@ -197,7 +201,13 @@ def demand_series(
     shared storage), so Silver is scanned exactly once and a lost executor
     recomputes from the checkpoint, not from the trips. The checkpoint holds
     zones x hours rows, never trip rows.
+
+    ``since`` (off by default) drops pickups before that time: the grid spans
+    first to last pickup, so one stray ancient pickup would otherwise add
+    years x zones empty rows.
     """
+    if since is not None:
+        trips = trips.filter(F.col("pickup_datetime") >= F.lit(since).cast("timestamp"))
     hourly = hourly_demand(trips)
     if materialize:
         checkpoint_root(trips.sparkSession)

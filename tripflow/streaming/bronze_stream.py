@@ -75,15 +75,16 @@ def bronze_batch(spark: SparkSession, bronze: str, quarantine: str, ledger: str,
     """The ``foreachBatch`` body."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
         # The batch is a list of new file paths (bounded by maxFilesPerTrigger).
         paths = [r.path for r in batch.select("path").collect()]
         if not paths:
             return
-        good, bad = bronze_transform(read_landing_files(spark, paths), lo, hi)
+        good, bad = bronze_transform(read_landing_files(session, paths), lo, hi)
         tag = F.lit(batch_id).cast("long").alias("batch_id")
         _overwrite(good.select("*", tag), bronze, ["batch_id", "year"])
         _overwrite(bad.select("*", tag), quarantine, ["batch_id", "year"])
-        files = spark.createDataFrame([(p,) for p in paths], "file_name STRING")
+        files = session.createDataFrame([(p,) for p in paths], "file_name STRING")
         _overwrite(
             files.select("file_name", F.current_timestamp().alias("processed_time"), tag),
             ledger,
