@@ -234,3 +234,20 @@ def test_read_landing_files_fast_path_for_agreeing_files(spark):
     df = landing.read_landing_files(spark, files)
     assert df.count() == raw.count()
     assert "source_file" in df.columns and dict(df.dtypes)["tpep_pickup_datetime"] == "timestamp"
+
+
+def test_leak_free_model_trains_and_forecasts(spark):
+    series = model.add_lagged_averages(inputs.demand_series(spark, SMALL))
+    train, test = evaluate.time_split(series, 7)
+    fit, valid = model.validation_split(train, 3)
+    p = model.ModelParams.leak_free(max_iter=3, max_depth=3)
+    tm = model.train_demand_model(fit, valid, p)
+    assert "avg_fare" not in model.model_features(tm.model)
+    assert "avg_fare_lag_1h" in model.model_features(tm.model)
+    assert valid.agg(F.min("datetime")).first()[0] > fit.agg(F.max("datetime")).first()[0]
+    path = scratch_path(spark, "leak_free_model")
+    model.save_model(tm, path)
+    fc = forecast.forecast(tm.model, path, series, hours=24)
+    assert fc.filter(F.col("trip_count") < 0).count() == 0 and fc.count() > 0
+    scored = model.score(tm.model, test)
+    assert scored.count() == test.count()

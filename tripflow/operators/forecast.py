@@ -183,8 +183,11 @@ def make_forecaster(trees: TreeArrays, features: list, zone_labels: list, hours:
         x = np.zeros(len(cols))
         x[pos[ZONE_INDEX]] = label_index.get(str(zone), unseen)
         for c in AVG_COLS:
-            if c in pos:
-                x[pos[c]] = avgs[c]
+            # Same-hour and previous-hour averages both hold the seed means
+            # over the whole horizon (predicted hours carry no averages).
+            for name in (c, f"{c}_lag_1h"):
+                if name in pos:
+                    x[pos[name]] = avgs[c]
         out = np.empty(hours)
         for step in range(hours):
             for c, v in cal.items():

@@ -42,6 +42,10 @@ FEATURE_COLS = [
     "avg_passengers",
 ]
 TARGET = "trip_count"
+# Same-hour averages are only known after the hour; the leak-free list uses
+# the previous hour's instead (see ``add_lagged_averages``).
+AVG_FEATURES = ("avg_fare", "avg_distance", "avg_passengers")
+LEAK_FREE_FEATURES = [f"{c}_lag_1h" if c in AVG_FEATURES else c for c in FEATURE_COLS]
 ZONE_INDEX = "zone_index"
 # Boosting runs one job per tree level; on a small feature table the cost is
 # task overhead, so the training rows are packed into partitions of about
@@ -66,6 +70,28 @@ class ModelParams:
     early_stop: bool = True
     features: list = field(default_factory=lambda: list(FEATURE_COLS))
 
+    @classmethod
+    def leak_free(cls, **kw) -> "ModelParams":
+        """Features known before the predicted hour only."""
+        return cls(features=list(LEAK_FREE_FEATURES), **kw)
+
+
+def add_lagged_averages(series: DataFrame) -> DataFrame:
+    """Previous-hour averages per zone (for the leak-free feature list).
+    Apply to the whole series before splitting."""
+    from tripflow.operators.platinum import series_window
+
+    w = series_window()
+    return series.withColumns({f"{c}_lag_1h": F.lag(c, 1).over(w) for c in AVG_FEATURES})
+
+
+def validation_split(train: DataFrame, days: int) -> tuple[DataFrame, DataFrame]:
+    """Carve the last ``days`` of the training rows off as validation, so
+    early stopping never looks at the test set."""
+    last = train.select(F.max("datetime")).scalar()
+    cutoff = last - F.make_dt_interval(F.lit(days))
+    return train.filter(F.col("datetime") <= cutoff), train.filter(F.col("datetime") > cutoff)
+
 
 def assembled_inputs(features) -> list[str]:
     return [ZONE_INDEX if c == ZONE else c for c in features]
