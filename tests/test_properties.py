@@ -251,3 +251,33 @@ def test_leak_free_model_trains_and_forecasts(spark):
     assert fc.filter(F.col("trip_count") < 0).count() == 0 and fc.count() > 0
     scored = model.score(tm.model, test)
     assert scored.count() == test.count()
+
+
+def test_null_zone_is_never_ranked_or_gridded(spark):
+    sh = inputs.silver_hourly(spark, SMALL)
+    busiest = sh.groupBy("pu_location_id").count().orderBy(F.desc("count")).first()[0]
+    # Make the busiest zone NULL: it must drop out of totals and the grid.
+    nulled = sh.withColumn("pu_location_id", F.when(F.col("pu_location_id") == busiest, None)
+                           .otherwise(F.col("pu_location_id")))
+    assert platinum.zone_totals(nulled).filter(F.col("pu_location_id").isNull()).count() == 0
+    ds = platinum.demand_series(nulled)
+    assert ds.filter(F.col("pu_location_id").isNull()).count() == 0 and ds.count() > 0
+
+
+def test_dedup_with_a_hot_key_holding_a_third_of_rows(spark):
+    typed = bronze.with_partition_year(inputs.typed_trips(spark, SMALL))
+    hot = F.col("VendorID") % 3 == 0
+    df = typed.withColumns({
+        "VendorID": F.when(hot, F.lit(1)).otherwise(F.col("VendorID")),
+        "tpep_pickup_datetime": F.when(hot, F.lit("2024-01-01 00:00:00").cast("timestamp"))
+        .otherwise(F.col("tpep_pickup_datetime")),
+        "tpep_dropoff_datetime": F.when(hot, F.lit("2024-01-01 00:30:00").cast("timestamp"))
+        .otherwise(F.col("tpep_dropoff_datetime")),
+        "source_file": F.when(hot, F.lit("hot.parquet")).otherwise(F.col("source_file")),
+    })
+    n_hot = df.filter(F.col("source_file") == "hot.parquet").count()
+    assert n_hot > 0
+    out = bronze.dedup_trips(df)
+    assert out.filter(F.col("source_file") == "hot.parquet").count() == 1
+    keys = ["VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "source_file"]
+    assert out.count() == df.select(*keys).distinct().count()
