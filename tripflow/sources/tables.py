@@ -1,9 +1,14 @@
 """Table sinks and sources by path, and the processed-file ledger.
 
 Parquet directories stand in for the managed tables (no Delta package is
-installed). Writes are idempotent where the reference's were not:
-overwrites of partitioned tables use dynamic partition overwrite, so a
-re-run replaces only the partitions it produces.
+installed). Overwrites of partitioned tables use dynamic partition overwrite,
+so a re-run replaces only the partitions it produces.
+
+Partitioned writes cluster rows by the partition column with the
+``REBALANCE`` hint rather than ``repartition(n, col)``: a hash repartition
+by year sends a whole year (possibly a third of the data) to one task,
+while a rebalance lets adaptive execution split oversized partitions and
+merge small ones at run time, so output files stay even.
 """
 
 from __future__ import annotations
@@ -38,8 +43,7 @@ class TableIO:
     def append(self, df: DataFrame, name: str, partition_by=None, partitions: int | None = None) -> str:
         """Append, optionally partitioned (NULL partition values land
         in the default partition)."""
-        if partitions and partition_by:
-            df = df.repartition(partitions, *_as_list(partition_by))
+        df = _cluster(df, partition_by, partitions)
         w = df.write.mode("append")
         if partition_by:
             w = w.partitionBy(*_as_list(partition_by))
@@ -49,10 +53,7 @@ class TableIO:
     def overwrite(self, df: DataFrame, name: str, partition_by=None, partitions: int | None = None) -> str:
         """Overwrite; with ``partition_by`` only the partitions present
         in ``df`` are replaced (dynamic partition overwrite)."""
-        if partitions and partition_by:
-            df = df.repartition(partitions, *_as_list(partition_by))
-        elif partitions:
-            df = df.repartition(partitions)
+        df = _cluster(df, partition_by, partitions)
         w = df.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*_as_list(partition_by)).option("partitionOverwriteMode", "dynamic")
@@ -118,3 +119,12 @@ class FileLedger:
 
 def _as_list(x):
     return [x] if isinstance(x, str) else list(x)
+
+
+def _cluster(df: DataFrame, partition_by, partitions: int | None) -> DataFrame:
+    """Rows of one output partition together, skew split at run time."""
+    if partition_by:
+        return df.hint("rebalance", *_as_list(partition_by))
+    if partitions:
+        return df.repartition(partitions)
+    return df

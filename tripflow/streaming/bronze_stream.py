@@ -63,8 +63,10 @@ def read_table(spark: SparkSession, path: str, ledger: bool = False) -> DataFram
 
 
 def _overwrite(df: DataFrame, path: str, partition_by) -> None:
+    # Cluster by the partition columns, letting AQE split a hot year.
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", *partition_by)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
