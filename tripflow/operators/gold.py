@@ -224,20 +224,24 @@ def _gid(keys) -> int:
     return sum(1 << (n - 1 - i) for i, k in enumerate(_ALL_KEYS) if k not in keys)
 
 
+# Measures of each fact, in its builder's column order.
+_REV = ("total_trips", "total_revenue", "avg_trip_value")
+_FEES = ("total_airport_fee", "total_congestion_fee", "total_cbd_fee")
+FACT_MEASURES = {
+    "fact_trip_yearly_summary": (*_REV, "total_distance", "avg_distance", "avg_fare_per_mile",
+                                 "avg_passengers", *_FEES),
+    "fact_payment_summary": (*_REV, "avg_fare_per_mile"),
+    "fact_location_summary": (*_REV, "avg_distance", "avg_fare_per_mile"),
+    "fact_distance_summary": (*_REV, "avg_fare_per_mile", "avg_distance"),
+    "fact_trip_time_summary": (*_REV, "avg_distance", "avg_fare_per_mile", "avg_passengers"),
+    "fact_vendor_summary": (*_REV, "avg_distance", "avg_fare_per_mile", "avg_passengers", *_FEES),
+}
+
+
 def split_facts(agg: DataFrame) -> dict:
     """The six fact tables out of ``fact_grouping_sets``, each with the same
     columns as its single-fact builder."""
-    out = {}
-    for name, keys in FACT_KEYS.items():
-        measures = [c for c in FACTS[name](agg.sparkSession.createDataFrame(
-            [], _FACT_INPUT_DDL)).columns if c not in keys]
-        out[name] = agg.filter(F.col("gid") == _gid(keys)).select(*keys, *measures)
-    return out
-
-
-_FACT_INPUT_DDL = (
-    "trip_year INT, payment_type BIGINT, pu_location_id BIGINT, pickup_month INT, "
-    "pickup_day INT, pickup_hour INT, vendor_id BIGINT, total_amount DOUBLE, "
-    "trip_distance DOUBLE, fare_per_mile DOUBLE, passenger_count BIGINT, airport_fee DOUBLE, "
-    "congestion_surcharge DOUBLE, cbd_congestion_fee DOUBLE"
-)
+    return {
+        name: agg.filter(F.col("gid") == _gid(keys)).select(*keys, *FACT_MEASURES[name])
+        for name, keys in FACT_KEYS.items()
+    }
