@@ -820,16 +820,16 @@ def _bronze_good(spark, sf):
 def q_bronze_table(spark, sf):
     """S6 + S3: Bronze appended partitioned by year, read back."""
     io = _io(spark, "bronze")
-    io.append(_bronze_good(spark, sf), "yellow_taxi", partition_by="year", partitions=3)
-    return io.read("yellow_taxi").select(*DECLARED, "source_file")
+    io.append(_bronze_good(spark, sf), "trips", partition_by="year", partitions=3)
+    return io.read("trips").select(*DECLARED, "source_file")
 
 
 @register("quarantine_table")
 def q_quarantine_table(spark, sf):
     """Rejected rows (NULL year lands in the default partition)."""
     io = _io(spark, "quarantine")
-    io.append(_year_split(spark, sf)[1], "yellow_taxi_quarantine", partition_by="year")
-    return io.read("yellow_taxi_quarantine").select(*DECLARED, "source_file")
+    io.append(_year_split(spark, sf)[1], "trips_quarantine", partition_by="year")
+    return io.read("trips_quarantine").select(*DECLARED, "source_file")
 
 
 @register("silver_table")
@@ -838,9 +838,9 @@ def q_silver_table(spark, sf):
     of the same partitions leaves the table unchanged."""
     io = _io(spark, "silver")
     df = inputs.silver_trips(spark, sf).select(*SILVER_COLUMNS)
-    io.overwrite(df, "yellow_taxi", partition_by="trip_year", partitions=8)
-    io.overwrite(df, "yellow_taxi", partition_by="trip_year", partitions=8)
-    return io.read("yellow_taxi").select(*SILVER_COLUMNS)
+    io.overwrite(df, "trips", partition_by="trip_year", partitions=8)
+    io.overwrite(df, "trips", partition_by="trip_year", partitions=8)
+    return io.read("trips").select(*SILVER_COLUMNS)
 
 
 @register("write_dim")
