@@ -43,6 +43,8 @@ def local_session(
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Remove reliable-checkpoint files once their DataFrame is unreachable.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("TRIPFLOW_DRIVER_MEMORY", "16g"))
     )
     for key, value in REQUIRED_CONF.items():
