@@ -94,3 +94,34 @@ def test_zone_metrics_equal_python(spark, rows):
         assert abs(got[z].mape - mape) <= 0.006 * max(1, mape)
         if n < 2:
             assert got[z].r2 is None
+
+
+names = st.one_of(
+    st.builds(lambda y, m: f"year={y}/yellow_tripdata_{y}-{m:02d}.parquet",
+              st.integers(2019, 2026), st.integers(1, 12)),
+    st.sampled_from(["notes.txt", "year=2025/yellow_tripdata_2025-xx.parquet", "other.parquet"]),
+)
+
+
+@SETTINGS
+@given(st.lists(names, max_size=12))
+def test_landing_progress_equals_python(spark, files):
+    from tripflow.sources import landing
+
+    months = []
+    for f in files:
+        base = f.rsplit("/", 1)[-1]
+        if base.startswith("yellow_tripdata_") and base.endswith(".parquet"):
+            part = base[len("yellow_tripdata_"):-len(".parquet")]
+            try:
+                months.append(dt.datetime.strptime(part, "%Y-%m"))
+            except ValueError:
+                pass
+    df = spark.createDataFrame([(f,) for f in files], "file_name STRING")
+    r = landing.landing_progress(df, start="2025-01-01").first()
+    if months:
+        last = max(months)
+        nxt = dt.date(last.year + last.month // 12, last.month % 12 + 1, 1)
+        assert r.latest_month == last.date() and r.next_month == nxt
+    else:
+        assert r.latest_month is None and r.next_month == dt.date(2025, 1, 1)

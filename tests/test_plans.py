@@ -34,3 +34,26 @@ def test_dedup_combines_map_side(spark):
 def test_facts_aggregate_partially_before_shuffle(spark):
     p = plan(REGISTRY["fact_location_summary"](spark, SMALL))
     assert "partial_sum" in p and "Exchange hashpartitioning" in p
+
+
+def test_demand_series_reads_trips_once(spark):
+    """After the hourly aggregate is checkpointed, the series plan scans no
+    files: totals, threshold, bounds, grid and join all read the checkpoint."""
+    p = plan(inputs.demand_series(spark, SMALL))
+    assert "FileScan" not in p and "Scan ExistingRDD" in p
+
+
+def test_partitioned_writes_rebalance(spark):
+    from tripflow.sources.tables import _cluster
+
+    df = inputs.silver_trips(spark, SMALL)
+    p = plan(_cluster(df, "trip_year", 8))
+    assert "REBALANCE_PARTITIONS_BY_COL" in p
+
+
+def test_one_pass_facts_scan_once(spark):
+    from tripflow.operators import gold
+
+    p = plan(gold.fact_grouping_sets(inputs.silver_trips(spark, SMALL)))
+    assert p.count("FileScan parquet") == 1 and "Expand" in p
+    assert p.count("Exchange hashpartitioning") == 1
