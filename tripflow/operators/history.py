@@ -121,6 +121,15 @@ def payment_value(fact_payment: DataFrame) -> DataFrame:
     )
 
 
+def payment_value_weighted(fact_payment: DataFrame) -> DataFrame:
+    """Trip-weighted variant of A21: revenue over trips per payment name."""
+    return (
+        fact_payment.filter(F.col("payment_name").isNotNull())
+        .groupBy("payment_name")
+        .agg(F.try_divide(F.sum("total_revenue"), F.sum("total_trips")).alias("avg_trip_value"))
+    )
+
+
 def vendor_summary(fact_vendor: DataFrame) -> DataFrame:
     """By vendor name, revenue descending."""
     return (

@@ -552,3 +552,6 @@ add("profile_describe", ST_CTES, " UNION ALL ".join(
 
 ORACLE["fact_grouping_sets"] = ORACLE["fact_trip_time_summary"]
 add("drop", [T, TT], "SELECT * EXCLUDE (source_file) FROM TT", T_DOUBLES)
+add("payment_value_weighted", HIST, "SELECT payment_name, "
+    f"{DIV('sum(total_revenue)', 'sum(total_trips)')} AS avg_trip_value FROM EP "
+    "WHERE payment_name IS NOT NULL GROUP BY payment_name", ("avg_trip_value",))

@@ -328,6 +328,12 @@ def q_payment_value(spark, sf):
     return history.payment_value(_fact_payment(spark, sf))
 
 
+@register("payment_value_weighted")
+def q_payment_value_weighted(spark, sf):
+    """A21, trip-weighted variant."""
+    return history.payment_value_weighted(_fact_payment(spark, sf))
+
+
 @register("vendor_summary")
 def q_vendor_summary(spark, sf):
     """A22."""
