@@ -6,12 +6,45 @@ digest columns from what the operator returns.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
-from tripflow.llm import quality_rules
+from pyspark.sql import functions as F
+
+from tripflow.llm import bpe, line_dedup, mixing, quality_rules
 from tripflow.llm.words import documents
 
 
+def vocabulary() -> str:
+    """The public tokenizer's file; its folder is not part of the repository."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(documents(spark, sf_dir))
+    return out.select("doc_id", "n_lines", "n_removed", "text")
+
+
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.taken(mixing.mix(documents(spark, sf_dir)))
+    return out.select(F.col("_id").alias("doc_id"), "source", "size", "source_size", "target", "taken")
+
+
+def digest(text: Column) -> Column:
+    return F.sha2(text.cast("binary"), 256)
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bpe.encode_documents(documents(spark, sf_dir), vocabulary())
+    return out.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        digest(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
+        digest(F.col("decoded")).alias("decoded_sha256"),
+    )
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(documents(spark, sf_dir))
     return judged.select(
@@ -21,7 +54,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_line_dedup": op4_line_dedup,
+    "op6_mix_sources": op6_mix_sources,
     "op8_quality_rules": op8_quality_rules,
+    "op9_bpe": op9_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_line_dedup": line_dedup.SQL,
+}
