@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tripflow.llm import bpe, line_dedup, mixing, quality_rules
-from tripflow.llm.words import documents
+from tripflow.llm import bpe, line_dedup, mixing, quality_classifier, quality_rules
+from tripflow.llm.words import crc_mod, documents
 
 
 def vocabulary() -> str:
@@ -53,11 +53,21 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = crc_mod("doc_id", 4) == 2
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality_classifier.train(docs, labels.where(~held_out))
+    out = quality_classifier.score(docs, model)
+    return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op6_mix_sources": op6_mix_sources,
     "op8_quality_rules": op8_quality_rules,
     "op9_bpe": op9_bpe,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -126,17 +126,26 @@ def pieces(offsets: np.ndarray, limit: int = PIECE_BYTES) -> Iterator[tuple[int,
         lo = hi
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True):
-    """Hashes of all words of some texts, in order, and each text's word offsets."""
-    if lower:
-        data = _LOWER[data]
+def word_bounds(data: np.ndarray, offsets: np.ndarray):
+    """First and last + 1 byte of every word of some texts, in order, and the
+    offsets of each text's words."""
     n = len(data)
     solid = np.zeros(n + 2, dtype=bool)
     solid[1:-1] = ~_SPACE[data]
-    edge = np.zeros(n + 1, dtype=bool)  # a text's first byte begins a word
+    edge = np.zeros(n + 1, dtype=bool)  # words end where a text ends
     edge[offsets] = True
-    inner = solid[1:]
-    start = np.flatnonzero(inner & (~solid[:-1] | edge))
-    end = np.flatnonzero(solid[:-1] & (~inner | edge))
-    h = range_hash(prefix_sums(data), start, end)
-    return h, np.searchsorted(start, offsets)
+    start = np.flatnonzero(solid[1:] & (~solid[:-1] | edge))
+    end = np.flatnonzero(solid[:-1] & (~solid[1:] | edge))
+    return start, end, np.searchsorted(start, offsets)
+
+
+def lowered(data: np.ndarray) -> np.ndarray:
+    """A-Z in lower case."""
+    return _LOWER[data]
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray):
+    """Hashes of all words of some texts, lower-cased, and each text's offsets."""
+    data = lowered(data)
+    start, end, by_text = word_bounds(data, offsets)
+    return range_hash(prefix_sums(data), start, end), by_text
