@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tripflow.llm import bpe, line_dedup, mixing, quality_classifier, quality_rules
+from tripflow.llm import bpe, line_dedup, mixing, nearest, quality_classifier, quality_rules
 from tripflow.llm.words import crc_mod, documents
 
 
@@ -45,6 +45,11 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return nearest.neighbours(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(documents(spark, sf_dir))
     return judged.select(
@@ -65,6 +70,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op6_mix_sources": op6_mix_sources,
+    "op7_nearest": op7_nearest,
     "op8_quality_rules": op8_quality_rules,
     "op9_bpe": op9_bpe,
     "op10_quality_classifier": op10_quality_classifier,
@@ -72,4 +78,5 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op4_line_dedup": line_dedup.SQL,
+    "op7_nearest": nearest.SQL,
 }
