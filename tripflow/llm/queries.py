@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tripflow.llm import bpe, line_dedup, mixing, nearest, quality_classifier, quality_rules
+from tripflow.llm import bpe, html_text, line_dedup, lm_score, mixing, nearest, quality_classifier, quality_rules
 from tripflow.llm.words import crc_mod, documents
 
 
@@ -21,6 +21,19 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = F.coalesce(crc_mod("doc_id", 10), F.lit(0))
+    held_out = fold == 0
+    folds = F.when(held_out, lm_score.SCORED).when(fold == 1, lm_score.DELETED).otherwise(lm_score.KEPT)
+    out = lm_score.score_documents(documents(spark, sf_dir), folds)
+    return out.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return out.select("page_id", F.length("text").cast("long").alias("n_chars"), F.size(F.split("text", "\n")).cast("long").alias("n_lines"), "text")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(documents(spark, sf_dir))
     return out.select("doc_id", "n_lines", "n_removed", "text")
@@ -68,6 +81,8 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_lm_score": op2_lm_score,
+    "op3_html_text": op3_html_text,
     "op4_line_dedup": op4_line_dedup,
     "op6_mix_sources": op6_mix_sources,
     "op7_nearest": op7_nearest,
