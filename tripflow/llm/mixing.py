@@ -31,14 +31,6 @@ SHARD_SLOTS = 4096
 ROUNDS = 16
 #: Slots are generated in runs of this many, spread over all tasks.
 RUN = 1 << 16
-_P = (1 << 31) - 1
-
-
-def _noise(x: Column, key: Column) -> Column:
-    """A pseudorandom number below 2**31 - 1; plain integer arithmetic."""
-    y = (x % _P * 48271 + key % _P * 16807 + 11) % _P
-    z = (y * y + x % _P + 7) % _P
-    return (z * 69621 + y) % _P
 
 
 def permuted(x: Column, n: Column, key: Column) -> Column:
@@ -48,12 +40,11 @@ def permuted(x: Column, n: Column, key: Column) -> Column:
     both see swaps them, so each round is a bijection for every n.
     """
     def swap(acc: Column, r: Column) -> Column:
-        k = (_noise(r * 2, key) * _P + _noise(r * 2 + 1, key)) % n
-        other = (k - acc + n) % n
-        coin = F.floor(_noise(F.greatest(acc, other), key + r * 7919) / 1024) % 2
+        other = F.pmod(F.pmod(F.xxhash64(r, key), n) - acc, n)
+        coin = F.xxhash64(F.greatest(acc, other), key, r).bitwiseAND(F.lit(1).cast("long"))
         return F.when(coin == 1, other).otherwise(acc)
 
-    return F.aggregate(F.sequence(F.lit(1).cast("long"), F.lit(ROUNDS).cast("long")), x, swap)
+    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), x, swap)
 
 
 @dataclass
