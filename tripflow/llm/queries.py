@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tripflow.llm import bpe, html_text, line_dedup, lm_score, mixing, nearest, quality_classifier, quality_rules
+from tripflow.llm import bpe, html_text, jaccard_join, line_dedup, lm_score, mixing, nearest, quality_classifier, quality_rules
 from tripflow.llm.words import crc_mod, documents
 
 
@@ -39,6 +39,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_groups(documents(spark, sf_dir), n=3, percent=90)
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.taken(mixing.mix(documents(spark, sf_dir)))
     return out.select(F.col("_id").alias("doc_id"), "source", "size", "source_size", "target", "taken")
@@ -84,6 +88,7 @@ QUERIES = {
     "op2_lm_score": op2_lm_score,
     "op3_html_text": op3_html_text,
     "op4_line_dedup": op4_line_dedup,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_mix_sources": op6_mix_sources,
     "op7_nearest": op7_nearest,
     "op8_quality_rules": op8_quality_rules,
