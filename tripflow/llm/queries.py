@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tripflow.llm import bpe, html_text, jaccard_join, line_dedup, lm_score, mixing, nearest, quality_classifier, quality_rules
+from tripflow.llm import bpe, html_text, jaccard_join, line_dedup, lm_score, mixing, nearest, quality_classifier, quality_rules, suffix_dedup
 from tripflow.llm.words import crc_mod, documents
 
 
@@ -21,6 +21,12 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.dedup_bytes(documents(spark, sf_dir))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     fold = F.coalesce(crc_mod("doc_id", 10), F.lit(0))
     held_out = fold == 0
@@ -85,6 +91,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_lm_score": op2_lm_score,
     "op3_html_text": op3_html_text,
     "op4_line_dedup": op4_line_dedup,
