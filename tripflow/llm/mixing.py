@@ -62,7 +62,8 @@ class Mix:
     def takes(self) -> DataFrame:
         """Spans joined with how often the mix uses their block."""
         used = self.slots.groupBy("s", "block").agg(F.count("*").alias("times"))
-        return self.spans.join(used, ["s", "block"])
+        # Both sides grow with the words, whatever the planner makes of them.
+        return self.spans.join(used.hint("merge"), ["s", "block"])
 
 
 def source_targets(sized: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -129,11 +130,12 @@ def placed(sized: DataFrame, sources: DataFrame) -> DataFrame:
 
 def deal(sources: DataFrame, seed: int, shard_slots: int = SHARD_SLOTS) -> DataFrame:
     """Shard, place in the shard, source and block of every slot."""
+    tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     last = lambda n, by: F.floor((n - 1) / by).cast("long")
     runs = (
         sources.where("n_slots > 0")
         .withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), last(F.col("n_slots"), RUN))))
-        .repartition("s", "run")
+        .repartition(tasks, "s", "run")
     )
     end = F.least((F.col("run") + 1) * RUN, F.col("n_slots")) - 1
     j = F.col("j")
@@ -177,7 +179,7 @@ def taken(m: Mix) -> DataFrame:
         .select("s", "start", F.col("_id").alias("_id2"), "taken")
     )
     d = m.documents
-    full = d.where("size > 0").join(counts, (d["s"] == counts["s"]) & (d["start"] == counts["start"]) & d["_id"].eqNullSafe(counts["_id2"]), "left")
+    full = d.where("size > 0").join(counts.hint("merge"), (d["s"] == counts["s"]) & (d["start"] == counts["start"]) & d["_id"].eqNullSafe(counts["_id2"]), "left")
     fields = [d[c] for c in ("_id", "source", "size", "source_size", "target")]
     return full.select(*fields, F.coalesce(counts["taken"], F.lit(0).cast("long")).alias("taken")).unionByName(
         d.where("size = 0").select(*fields, F.lit(0).cast("long").alias("taken"))
@@ -197,7 +199,7 @@ def mixed_documents(docs: DataFrame, m: Mix, id_col: str = "doc_id", text_col: s
         .select("_row", F.col(f"_row.{id_col}").alias("_id"), F.xxhash64(F.col(f"_row.{text_col}")).alias("_th"))
         .dropDuplicates(["_id", "_th"])
     )
-    joined = rows.join(lent, rows["_id"].eqNullSafe(lent["_id2"]) & (rows["_th"] == lent["_th2"]))
+    joined = rows.join(lent.hint("merge"), rows["_id"].eqNullSafe(lent["_id2"]) & (rows["_th"] == lent["_th2"]))
     body = F.regexp_replace(f"_row.{text_col}", f"^{WS_CLASS}+", "")
     ws, solid = WS_CLASS, WORD_PATTERN[:-1]
     used = F.filter("_lent", lambda x: x["times"] > F.col("_use"))

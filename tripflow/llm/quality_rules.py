@@ -20,7 +20,7 @@ from math import exp, log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.llm.words import WORD_PATTERN, words_of, written
+from tripflow.llm.words import WORD_PATTERN, words_of
 
 
 @dataclass(frozen=True)
@@ -54,8 +54,11 @@ SYMBOLS = "#*$%&|<>"
 STOPS = ".!?"
 
 
-def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Counts of every whole text.
+def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """Counts of every whole text, beside the input's row as struct ``row``.
+
+    ``_pin``: a filter that names it stays above the counts; pushed below, it
+    would compute them again for every use.
 
     ``n_words``, ``word_chars`` (code points in words), ``n_symbols``,
     ``n_dup_lines`` (lines with a word that equal an earlier line),
@@ -65,15 +68,15 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     text = F.coalesce(F.col(text_col), F.lit(""))
     without = lambda chars: (F.length("_marks") - F.length(F.translate("_marks", chars, ""))).cast("long")
     first = (
-        docs.select(F.col(id_col).alias("_id"), text.alias("_text"))
+        docs.select(F.struct("*").alias("row"), text.alias("_text"))
         .select(
-            "_id",
+            "row",
             words_of(F.col("_text")).alias("_words"),
             F.filter(F.split("_text", "\n"), lambda x: x.rlike(WORD_PATTERN)).alias("_lines"),
             F.regexp_replace("_text", rf"[^{SYMBOLS}{STOPS}\p{{Lu}}]+", "").alias("_marks"),
         )
         .select(
-            "_id", "_words",
+            "row", "_words",
             F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes"),
             F.size("_words").cast("long").alias("n_words"),
             F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
@@ -105,7 +108,7 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         .withColumn("n_distinct", F.size(F.array_distinct(h)).cast("long"))
         .withColumn("n_repeat_words", F.size(F.array_distinct(F.flatten(covered))).cast("long"))
         .drop("_words", "_hashes", "_bits", "_keys", "_twins")
-        .withColumnRenamed("_id", id_col)
+        .withColumn("_pin", F.monotonically_increasing_id())
     )
 
 
@@ -151,17 +154,19 @@ class Accuracies:
         return 1 / (1 + F.exp(-odds))
 
 
-def estimate(votes: DataFrame, max_rounds: int = 40, tolerance: float = 1e-4, strength: float = 20.0, false_alarms: float = 0.01) -> Accuracies:
-    """Expectation-maximisation over vote patterns.
+def learn(votes: DataFrame, max_rounds: int = 40, tolerance: float = 1e-4, strength: float = 20.0, false_alarms: float = 0.01) -> Accuracies:
+    """Expectation-maximisation over vote patterns of what the base lets pass:
+    the rest needs no verdict and would fill the bad class.
 
-    Documents with equal votes are one row with a count: at most 3 ** 8 rows
-    whatever the corpus holds, which the driver works through. ``strength`` documents'
+    Documents with equal votes are one row with a count: at most 2 * 3 ** 8
+    rows whatever the corpus holds, which the driver works through. ``strength`` documents'
     worth of prior belief keep every probability inside (0, 1), also on an
     empty table, and a rule is trusted to fail at most ``false_alarms`` of the
     good documents, which keeps the two classes from changing places.
     """
     names = [f"v_{r}" for r in RULES]
-    patterns = [r.asDict() for r in votes.groupBy(*names).agg(F.count("*").alias("n")).collect()]
+    counts = votes.groupBy(*names, "base_failed").agg(F.count("*").alias("n")).collect()
+    patterns = [r.asDict() for r in counts if not r["base_failed"]]
     start_good, start_bad = 1 - false_alarms, 0.8
     now = Accuracies(start_bad, dict.fromkeys(RULES, start_good), dict.fromkeys(RULES, start_bad))
     for _ in range(max_rounds):
@@ -187,20 +192,23 @@ def estimate(votes: DataFrame, max_rounds: int = 40, tolerance: float = 1e-4, st
     return now
 
 
-def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 50, least: float = 0.5) -> DataFrame:
-    """Measures, votes, ``quality`` (posterior probability), ``base_failed`` and
-    ``kept`` of every document.
-
-    ``base_failed``: fewer than ``min_words`` words, or more than half of them
-    in repeated windows. ``kept``: base passed and ``quality`` >= ``least``.
-    """
-    measured = with_ratios(measures(docs, id_col, text_col))
-    voted = written(measured.withColumns({f"v_{r}": b.vote() for r, b in RULES.items()}), "quality_votes")
+def votes(docs: DataFrame, text_col: str = "text", min_words: int = 50) -> DataFrame:
+    """Measures, every rule's vote, and ``base_failed``: fewer than
+    ``min_words`` words, or more than half of them in repeated windows."""
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    # What the base rejects needs no verdict and would fill the bad class.
-    accuracies = estimate(voted.where(~failed))
-    return (
-        voted.withColumn("base_failed", failed)
-        .withColumn("quality", accuracies.posterior())
-        .withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= least))
-    )
+    measured = with_ratios(measures(docs, text_col))
+    return measured.withColumns({f"v_{r}": b.vote() for r, b in RULES.items()} | {"base_failed": failed})
+
+
+def judge(voted: DataFrame, accuracies: Accuracies, least: float = 0.5) -> DataFrame:
+    """``voted`` with ``quality``, the posterior probability of "good", and
+    ``kept``: base passed and ``quality`` >= ``least``."""
+    judged = voted.withColumn("quality", accuracies.posterior())
+    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= least))
+
+
+def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the rules keep. The texts are measured twice,
+    to learn and to judge, and never shuffled."""
+    voted = votes(docs, text_col)
+    return judge(voted, learn(voted)).where("kept AND _pin >= 0").select("row.*")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.llm import bpe, html_text, jaccard_join, line_dedup, lm_score, mixing, nearest, quality_classifier, quality_rules, suffix_dedup
-from tripflow.llm.words import crc_mod, documents
+from tripflow.llm.words import crc_mod, documents, written
 
 
 def vocabulary() -> str:
@@ -74,7 +74,9 @@ def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality_rules.judge(documents(spark, sf_dir))
+    voted = quality_rules.votes(documents(spark, sf_dir)).withColumn("doc_id", F.col("row.doc_id")).drop("row")
+    voted = written(voted, "quality_votes")
+    judged = quality_rules.judge(voted, quality_rules.learn(voted))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "quality",
