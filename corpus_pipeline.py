@@ -10,22 +10,59 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm import quality_rules
+from tripflow.llm import bpe, jaccard_join, line_dedup, mixing, quality_rules
+from tripflow.llm.queries import digest, vocabulary
 from tripflow.llm.words import documents, written
 
 
+def _with_text(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """The given columns, with the length of a changed text."""
+    if "n_chars" in columns:
+        docs = docs.withColumn("n_chars", F.length("text").cast("long"))
+    return docs.select(*columns)
+
+
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    kept = quality_rules.judge(docs).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"]), "left_semi")
+    return quality_rules.keep_good(docs)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, without the lines of windows that occur earlier."""
+    return _with_text(line_dedup.dedup_lines(docs), docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by five-word shingles at 80 %: the one
+    with the smallest id. Documents without an id are in no group."""
+    groups = jaccard_join.join_groups(docs, n=5, percent=80)
+    first = groups.where("component_id = doc_id").select(F.col("doc_id").alias("_id")).distinct()
+    known = docs.join(first.hint("merge"), docs["doc_id"] == first["_id"], "left_semi").dropDuplicates(["doc_id"])
+    return known.unionByName(docs.where("doc_id IS NULL"))
+
+
+def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: a row for each time words of a document are used, with those
+    words. A document of a source that is used in part may have no row."""
+    return _with_text(mixing.mixed_documents(docs, mixing.mix(docs)), docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text of the mix, and a digest of their decoding."""
+    coded = bpe.encode_documents(docs, vocabulary())
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", digest(F.col("decoded")).alias("decoded_sha256"))
 
 
 STAGES = [
     ("quality_rules", drop_low_quality),
+    ("line_dedup", drop_repeated_lines),
+    ("jaccard_join", drop_near_copies),
+    ("mix_sources", mix_to_targets),
+    ("bpe", encode),
 ]
 
-#: The verdict of a fitted model is not SQL; the tests hold the stages against
-#: plain versions.
+#: The verdict of a fitted model and a pseudorandom mix are not SQL; the tests
+#: hold the stages against plain versions.
 ORACLE_SQL = None
 
 
