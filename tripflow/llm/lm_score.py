@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from tripflow.llm.words import U64, mix, pieces, text_buffer, word_hashes, written
 from tripflow.session import ship_package
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 10 << 20
 KEY_BITS = 48
 END, START = U64(0x5851F42D4C957F2D), U64(0x14057B7EF767814F)
 BUCKETS = 48
