@@ -6,7 +6,8 @@ the two words before, ...), a shape n-gram once for each grade of its share of
 the text. Indicators are scaled by the log ratio of their smoothed counts in the
 two classes, counted over all labelled training documents, and a linear
 hinge-loss model is fitted to unit-length rows by dual coordinate descent on a
-sample of at most ``FIT_ROWS`` labelled documents. A sigmoid fitted to margins of
+sample of about ``FIT_ROWS`` labelled documents (all, if there are fewer), drawn
+by a hash of the id. A sigmoid fitted to margins of
 rows left out of the descent turns the margin into a probability.
 
 Defined results: NULL and empty text have no indicators and get the score of a
@@ -24,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.llm.words import U64, mix, pieces, prefix_sums, range_hash, text_buffer, word_bounds
+from tripflow.llm.words import U64, mix, pieces, prefix_sums, range_hash, text_buffer, word_bounds, written
 from tripflow.session import ship_package
 
 #: Labelled documents that the descent sees; counts see all of them.
@@ -163,9 +164,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     that may teach."""
     ship_package(docs.sparkSession)
     known = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y"))
-    rows = (
+    rows = written(
         docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-        .join(known, "_id").select(F.xxhash64("_id").alias("_order"), "_y", "_text")
+        .join(known, "_id").select(F.xxhash64("_id").alias("_order"), "_y", "_text"),
+        "classifier_rows",
     )
 
     def count(batches):
@@ -223,8 +225,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         a, b = sigmoid_fit(margin[both], y[both])
         yield pa.RecordBatch.from_arrays([pa.array([weight.tolist()]), pa.array([a]), pa.array([b])], names=["weight", "slope", "offset"])
 
-    sample = rows.orderBy("_order", "_y", F.xxhash64("_text")).limit(fit_rows).select("_y", "_text")
-    model = sample.coalesce(1).mapInArrow(fit, "weight array<double>, slope double, offset double").first()
+    # The same share of the hash's range as of the rows.
+    share = min(1.0, fit_rows / (n0 + n1))
+    drawn = rows.where(F.col("_order") <= int(-(2**63) + share * (2**64 - 2048)))
+    sample = drawn.repartition(1).sortWithinPartitions("_order", "_y", F.xxhash64("_text")).select("_y", "_text")
+    model = sample.mapInArrow(fit, "weight array<double>, slope double, offset double").first()
     return Model(ratio, np.array(model["weight"]), model["slope"], model["offset"])
 
 

@@ -85,9 +85,9 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    held_out = crc_mod("doc_id", 4) == 2
+    held_out = F.coalesce(crc_mod("doc_id", 4), F.lit(0)) == 2
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    model = quality_classifier.train(docs, labels.where(~held_out))
+    model = quality_classifier.train(docs.where(~held_out), labels.where(~held_out))
     out = quality_classifier.score(docs, model)
     return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
