@@ -166,7 +166,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y"))
     rows = written(
         docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-        .join(known, "_id").select(F.xxhash64("_id").alias("_order"), "_y", "_text"),
+        .join(known.hint("merge"), "_id").select(F.xxhash64("_id").alias("_order"), "_y", "_text"),
         "classifier_rows",
     )
 
