@@ -13,7 +13,9 @@ is lost, whatever the data.
 
 Equal rows are one row (a class) from the start. In a large group of similar
 rows each is first set against the one that shares most signatures with all;
-what that connects needs no further pairs, so groups don't make all their pairs.
+what that connects needs no further pairs. Rows that meet across groups are
+compared by counts of equal signatures, in squares of ``SQUARE`` rows, and only
+pairs that the bound leaves open go on to the product.
 
 Defined results: NULL or empty text, or one without words, has the empty set
 and links with nothing; a text of fewer words than n is one n-gram; rows that
@@ -235,16 +237,20 @@ def _meet(bits: int):
     return run
 
 
+_ROWS = "id long, up int, size long, need long, opened array<long>, every binary"
+
+
 def _open(p: int):
-    """The rarest signatures of a block's rows, as many as the bound leaves
-    open; none of a row that shares too few."""
+    """Of each row that shares enough signatures: all that it shares, and the
+    rarest of them, as many as the bound leaves open."""
     def run(own, answers):
         import pyarrow as pa
 
         bounds = Bounds(p)
-        empty = pa.table({"sig": pa.array([], pa.int64()), "id": pa.array([], pa.int64())})
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
+        names = [x.split()[0] for x in _ROWS.split(", ")]
         if not answers.num_rows:
-            return empty
+            return pa.table({x: pa.array([], k) for x, k in zip(names, kinds, strict=True)})
         read = lambda t, c, kind: np.concatenate([np.frombuffer(x, kind) for x in t.column(c).to_pylist()])
         key, row, count = read(answers, "keys", np.uint64), read(answers, "rows", np.uint32), read(answers, "counts", np.uint32)
         members, shared = None, None
@@ -263,12 +269,44 @@ def _open(p: int):
         sizes = np.array(members["n"], dtype=np.int64)
         need = np.stack([bounds.of(sizes, up)[2] for up in (0, 1)], axis=1).ravel()
         order = np.lexsort((key, count, row))
-        key, row = key[order], row[order].astype(np.int64)
-        found = np.bincount(row, minlength=len(need))
-        place = np.arange(len(row)) - np.searchsorted(row, row)
-        use = place <= (found - need)[row]
-        ids = pa.array(members["ids"], pa.int64()).take(pa.array(row[use] >> 1))
-        return pa.table({"sig": key[use].astype(np.int64), "id": ids})
+        key, row = key[order].astype(np.int64), row[order].astype(np.int64)
+        ends = np.searchsorted(row, np.arange(len(need) + 1))
+        live = np.flatnonzero(np.diff(ends) >= need).tolist()
+        out = [
+            (members["ids"][r >> 1], r & 1, int(sizes[r >> 1]), int(need[r]), key[ends[r]: ends[r + 1] - need[r] + 1], key[ends[r]: ends[r + 1]].tobytes())
+            for r in live
+        ]
+        cols = list(zip(*out, strict=True)) if out else [[]] * 6
+        return pa.table({x: pa.array(c, k) for x, c, k in zip(names, cols, kinds, strict=True)})
+
+    return run
+
+
+#: Rows of one block in a product of signatures.
+SQUARE = 2048
+
+
+def _across(p: int):
+    """Pairs of a block of rows, in different groups so far, whose sizes and
+    counts of equal signatures leave p % open."""
+    def run(table):
+        import pyarrow as pa
+
+        node, g, size, need = (table.column(c).to_numpy() for c in ("node", "g", "size", "need"))
+        lists = [np.frombuffer(x, np.int64) for x in table.column("every").to_pylist()]
+        key = np.concatenate(lists)
+        row = np.repeat(np.arange(len(lists)), list(map(len, lists)))
+        order = np.argsort(key, kind="stable")
+        key, row = key[order], row[order]
+        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        equal = np.zeros((len(lists), len(lists)), dtype=np.uint16)
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(key)], strict=True):
+            if b - a > 1:
+                equal[np.ix_(row[a:b], row[a:b])] += 1
+        least = np.maximum(need[:, None], need)
+        near = 100 * np.minimum(size[:, None], size) >= p * np.maximum(size[:, None], size)
+        i, j = np.nonzero((equal >= least) & near & (g[:, None] != g) & (node[:, None] < node))
+        return pa.table({"a": node[i], "b": node[j]})
 
     return run
 
@@ -296,11 +334,11 @@ def product(pairs: DataFrame, docs: DataFrame, n: int, p: int) -> DataFrame:
     """``pairs`` (a, b) whose documents (_id, _text) reach p %."""
     asked = pairs.select(F.col("a").alias("_asked")).union(pairs.select("b")).distinct()
     sets = written(
-        docs.join(asked, docs["_id"] == asked["_asked"], "left_semi").mapInArrow(_sets(n), "_id long, grams binary"), "join_sets"
+        docs.join(asked.hint("merge"), docs["_id"] == asked["_asked"], "left_semi").mapInArrow(_sets(n), "_id long, grams binary"), "join_sets"
     )
     left = sets.select(F.col("_id").alias("a"), F.col("grams").alias("ga"))
     right = sets.select(F.col("_id").alias("b"), F.col("grams").alias("gb"))
-    rows = pairs.join(left, "a").join(right, "b").select("a", "b", "ga", "gb")
+    rows = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").select("a", "b", "ga", "gb")
     return rows.mapInArrow(_multiply(p), "a long, b long, linked boolean").where("linked").select("a", "b").distinct()
 
 
@@ -318,39 +356,48 @@ def join_groups(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "d
     classes = members.where("n > 0").groupBy("n", "f1", "f2").agg(F.min("id").alias("node"))
     answers = first.where(F.col("kind") >= _SENT).select("kind", "block", "keys", "rows", "times").groupBy("kind").applyInArrow(_meet(bits), _ANSWER)
     own = first.where(F.col("kind") < _SENT).select("kind", "block", "ids", "n", "keys", "rows")
-    met = own.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_open(percent), "sig long, id long")
-    of_id = members.where("n > 0").join(classes, ["n", "f1", "f2"]).select("id", "node")
-    found = written(met.join(of_id, "id").select("sig", "node").distinct(), "join_signatures")
+    met = own.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_open(percent), _ROWS)
+    # Joins are merges whatever the sizes, so that a plan does not change with them.
+    of_id = members.where("n > 0").join(classes.hint("merge"), ["n", "f1", "f2"]).select("id", "node")
+    opened = written(
+        met.join(of_id.hint("merge"), "id").drop("id").dropDuplicates(["node", "up"]), "join_rows"
+    )
+    found = opened.select(F.explode("opened").alias("sig"), "node", "up")
     times = found.groupBy("sig").agg(F.count("*").alias("times")).where("times > 1")
-    shared = written(found.join(times, "sig"), "join_shared")
+    shared = written(found.join(times.hint("merge"), "sig"), "join_shared")
     # Every row against the one that shares most with all, among those it meets.
     weight = shared.groupBy("node").agg(F.sum("times").alias("weight"))
-    hub = shared.join(weight, "node").groupBy("sig").agg(F.max(F.struct("weight", (-F.col("node")).alias("m"))).alias("h"))
-    meets = shared.join(hub.select("sig", (-F.col("h.m")).alias("hub")), "sig").where("hub <> node")
+    hub = shared.join(weight.hint("merge"), "node").groupBy("sig").agg(F.max(F.struct("weight", (-F.col("node")).alias("m"))).alias("h"))
+    meets = shared.join(hub.select("sig", (-F.col("h.m")).alias("hub")).hint("merge"), "sig").where("hub <> node")
     best = meets.groupBy("node", "hub").agg(F.count("*").alias("c")).groupBy("node").agg(F.max(F.struct("c", (-F.col("hub")).alias("m"))).alias("h"))
     tried = written(
         best.select(F.least("node", -F.col("h.m")).alias("a"), F.greatest("node", -F.col("h.m")).alias("b")).distinct(), "join_tried"
     )
     links = written(product(tried, rows, n, percent), "join_links")
     near = connected(links)
-    # What meets across the groups so far and was not tried.
-    label = shared.join(near.withColumnRenamed("id", "node"), "node", "left").select("sig", "node", F.coalesce("component", "node").alias("g"))
-    mixed = label.groupBy("sig").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo <> hi").select("sig")
-    rest = label.join(mixed, "sig")
-    other = rest.select("sig", F.col("node").alias("b"), F.col("g").alias("gb"))
+    # What meets across the groups so far, square by square of a signature's rows.
+    label = shared.join(near.withColumnRenamed("id", "node").hint("merge"), "node", "left").withColumn("g", F.coalesce("component", "node"))
+    several = label.groupBy("sig").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo <> hi").select("sig")
+    sides = F.ceil(F.col("times") / SQUARE).cast("long")
+    mine = F.pmod(F.xxhash64("node"), sides)
+    squares = (
+        label.join(several.hint("merge"), "sig").withColumn("mine", mine)
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), sides - 1)))
+        .select("sig", "node", "up", "g", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
+    )
     across = (
-        rest.withColumnRenamed("node", "a").join(other, "sig").where((F.col("a") < F.col("b")) & (F.col("g") != F.col("gb")))
-        .select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+        squares.join(opened.select("node", "up", "size", "need", "every").hint("merge"), ["node", "up"])
+        .groupBy("sig", "i", "j").applyInArrow(_across(percent), "a long, b long").distinct()
+        .join(tried.hint("merge"), ["a", "b"], "left_anti")
     )
-    across = written(across, "join_across")
-    more = written(product(across, rows, n, percent), "join_more") if across.limit(1).count() else links.limit(0)
+    more = written(product(written(across, "join_across"), rows, n, percent), "join_more")
     # Documents that repeat an id tie their classes together.
     ties = of_id.where("id <> node").select(F.col("node").alias("a"), F.col("id").alias("b"))
     repeated = members.where("n > 0").groupBy("id").agg(F.count("*").alias("c")).where("c > 1 AND id IS NOT NULL").select(F.col("id").alias("b"))
     final = connected(links.union(more).union(ties.join(repeated, "b", "left_semi")))
     return (
-        members.join(classes, ["n", "f1", "f2"], "left")
-        .join(final.withColumnRenamed("id", "node"), "node", "left")
+        members.join(classes.hint("merge"), ["n", "f1", "f2"], "left")
+        .join(final.withColumnRenamed("id", "node").hint("merge"), "node", "left")
         .select(
             F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
             F.when(F.col("id").isNotNull(), F.coalesce("component", "node", "id")).alias("component_id"),
