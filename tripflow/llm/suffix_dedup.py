@@ -40,8 +40,8 @@ GRAM = 32
 #: Places of an anchor in a string: 0 .. LEFT bytes before it.
 LEFT = LENGTH - GRAM
 WIDTH = LEFT + LENGTH
-BLOCK_BYTES = 16 << 20
-CHUNK = 4 << 20
+BLOCK_BYTES = 6 << 20
+CHUNK = 2 << 20
 KEY_BITS = 48
 #: Bytes of a shard's arrays in memory; what goes beyond is on disk.
 MEMORY_BYTES = 256 << 20
@@ -82,7 +82,7 @@ class Texts:
         ends = self.offsets[1:]
         np.add.at(across, np.maximum(ends - LENGTH + 1, self.offsets[:-1]), 1)
         np.add.at(across, ends, -1)
-        bad = np.cumsum(across[:-1]) > 0 if n else np.zeros(0, dtype=bool)
+        bad = np.cumsum(across[:-1], dtype=np.int32) > 0 if n else np.zeros(0, dtype=bool)
         at, keys = [], []
         for a in range(0, max(n - LENGTH + 1, 0), CHUNK):
             part = self.data[a: a + CHUNK + LENGTH - 1]
@@ -363,7 +363,7 @@ def _cut(bits: int):
         level[:-1] += hit[:-1]
         if n >= LENGTH:
             level[LENGTH:] -= hit[: n + 1 - LENGTH]
-        gone = np.cumsum(level[:-1]) > 0
+        gone = np.cumsum(level[:-1], dtype=np.int32) > 0
         edge = np.zeros(n + 1, dtype=bool)
         edge[texts.offsets] = True
         begins = np.flatnonzero(gone & np.concatenate([[True], ~gone[:-1] | edge[1:-1]])) if n else np.zeros(0, np.int64)
