@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 # Label maps and canonical orders used by the views.
 DAY_TYPE = {0: "Weekday", 1: "Weekend"}
 DOW_ORDER = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")
-MONTH_ORDER = ("Jan", "Feb", "Mar", "Apr", "May", "Jun",
-               "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 
 
 def _col(c) -> Column:
@@ -49,14 +47,10 @@ def month_number_name(c) -> Column:
     return F.date_format(F.make_date(F.lit(2000), _col(c), F.lit(1)), "MMM")
 
 
-def spark_dow_from_monday0(c) -> Column:
-    """Monday=0 weekday -> Spark's 1 = Sunday ... 7 = Saturday."""
-    return (_col(c) + 1) % 7 + 1
-
-
 def clip_nonneg(c) -> Column:
-    """Predictions below zero become zero."""
-    return F.greatest(_col(c).cast("double"), F.lit(0.0))
+    """Predictions below zero become zero; a missing one stays missing."""
+    x = _col(c).cast("double")
+    return F.when(x < 0, 0.0).otherwise(x)
 
 
 def with_share(df, c: str, name: str):

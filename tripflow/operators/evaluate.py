@@ -118,12 +118,12 @@ def mape_by_bucket(preds: DataFrame) -> DataFrame:
 
 def zone_metrics(preds: DataFrame) -> DataFrame:
     """The A37 metrics per zone, rounded half-to-even to 2/2/4/2 places,
-    as ``zone_id``."""
+    as ``zone_id``, the smallest error first."""
     m = preds.groupBy(F.col(ZONE).alias("zone_id")).agg(*_metric_cols())
     return m.select(
         "zone_id",
         *[F.bround(F.col(c), n).alias(c) for c, n in ZONE_METRIC_PLACES.items()],
-    )
+    ).orderBy("mae", "zone_id")
 
 
 def actual_vs_predicted(preds: DataFrame, zone_id) -> DataFrame:

@@ -1,15 +1,16 @@
 """90-day recursive forecast and its roll-ups.
 
 Step t of the forecast needs the prediction of step t-1 (it feeds the lag
-features), so the horizon is inherently sequential per zone, but zones are
-independent. The plan is therefore ``groupBy(zone).applyInPandas``: every
-zone forecasts in parallel in its own task. An MLlib model cannot be called
-from a Python worker, so the fitted trees are exported once as small NumPy
-arrays (bounded by trees x 2^(depth+1) nodes) and shipped with the function;
-each step walks all trees at once with vectorised index arithmetic.
-
-Each group holds one zone's seed (at most ``seed_rows`` hours) and emits
-``hours`` rows, so group size is bounded by parameters, not by data volume.
+features), so the horizon is sequential, but zones are independent. Zones are
+dealt to tasks; a task holds its zones' hours as the rows of one array, seed
+hours first, and advances all of them one hour at a time. An MLlib model cannot
+be called from a Python worker, so the fitted trees are exported once as small
+NumPy arrays (bounded by trees x 2^(depth+1) nodes) and shipped with the
+function, like the calendar of the horizon.
+
+A group holds ``ZONES_PER_TASK`` zones' seeds (at most ``seed_rows`` hours each)
+and emits ``hours`` rows for each, so its size is bounded by parameters, not by
+data volume.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tripflow.functions.columns import month_label
 from tripflow.operators.model import ZONE_INDEX, gbt_stage, model_features
-from tripflow.operators.platinum import ZONE, add_series_calendar, one_hour, series_ts
+from tripflow.operators.platinum import LAGS, ZONE, add_series_calendar, one_hour, series_ts
 from tripflow.session import ship_package
 
 # Forecast and capacity-planning parameters.
@@ -33,6 +34,8 @@ SEED_ROWS = 500
 SEED_AVG_ROWS = 24
 PEAK_FACTOR = 1.5
 DEFAULT_TRIPS_PER_DRIVER_HOUR = 2.0
+#: Zones whose hours one task advances together.
+ZONES_PER_TASK = 16
 AVG_COLS = ("avg_fare", "avg_distance", "avg_passengers")
 
 
@@ -50,20 +53,19 @@ class TreeArrays:
     weight: np.ndarray  # tree weights
     depth: int
 
-    def predict_one(self, x: np.ndarray) -> float:
-        t = np.arange(self.feature.shape[0])
-        node = np.zeros_like(t)
+    def predict(self, x: np.ndarray) -> np.ndarray:
+        """Predictions of the rows of ``x``: all trees step down at once."""
+        rows, trees = np.arange(len(x))[:, None], np.arange(self.feature.shape[0])[None, :]
+        node = np.zeros((len(x), self.feature.shape[0]), dtype=np.int64)
         for _ in range(self.depth + 1):
-            f = self.feature[t, node]
-            leaf = f < 0
-            xv = x[np.where(leaf, 0, f)]
-            cat_idx = np.clip(xv.astype(np.int64), 0, self.cat_left.shape[2] - 1)
-            go_left = np.where(
-                self.is_cat[t, node], self.cat_left[t, node, cat_idx], xv <= self.threshold[t, node]
-            )
-            nxt = np.where(go_left, self.left[t, node], self.right[t, node])
-            node = np.where(leaf, node, nxt)
-        return float(np.dot(self.weight, self.value[t, node]))
+            split = self.feature[trees, node]
+            inner = split >= 0
+            value = x[rows, np.where(inner, split, 0)]
+            category = np.clip(value.astype(np.int64), 0, self.cat_left.shape[2] - 1)
+            to_left = np.where(self.is_cat[trees, node], self.cat_left[trees, node, category], value <= self.threshold[trees, node])
+            child = np.where(to_left, self.left[trees, node], self.right[trees, node])
+            node = np.where(inner, child, node)
+        return self.value[trees, node] @ self.weight
 
 
 def export_trees(model: PipelineModel, path: str) -> TreeArrays:
@@ -142,71 +144,66 @@ def future_grid(zones: DataFrame, start, hours: int = HORIZON_HOURS) -> DataFram
     return add_series_calendar(grid)
 
 
-def _calendar(ts: pd.DatetimeIndex) -> dict:
-    hour = ts.hour.to_numpy()
-    dow_py = ts.dayofweek.to_numpy()  # Monday = 0
-    return {
-        "pickup_hour": hour,
-        "day_of_week": (dow_py + 1) % 7 + 1,
-        "month": ts.month.to_numpy(),
-        "trip_year": ts.year.to_numpy(),
-        "is_weekend": (dow_py >= 5).astype(int),
-        "is_rush_hour": (((hour >= 7) & (hour <= 10)) | ((hour >= 16) & (hour <= 19))).astype(int),
-        "is_night": ((hour >= 22) | (hour <= 5)).astype(int),
-    }
-
-
-def _lag(buf: list, n: int, fallback: float) -> float:
-    """M8: value ``n`` steps back, or the fallback when missing."""
-    if len(buf) < n:
-        return fallback
-    v = buf[-n]
-    return float(v) if v is not None and not np.isnan(v) else fallback
-
-
-def make_forecaster(trees: TreeArrays, features: list, zone_labels: list, hours: int):
-    """The per-zone function run by ``applyInPandas``. The first forecast
-    hour arrives as the ``_start`` column (same value in every group)."""
-    label_index = {lbl: i for i, lbl in enumerate(zone_labels)}
-    unseen = len(zone_labels)
-    cols = [ZONE_INDEX if c == ZONE else c for c in features]
-    pos = {c: i for i, c in enumerate(cols)}
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["trip_date", "pickup_hour"])
-        zone = pdf[ZONE].iloc[0]
-        future = pd.date_range(start=pd.Timestamp(pdf["_start"].iloc[0]), periods=hours, freq="h")
-        cal = _calendar(future)
-        buf = [float(v) for v in pdf["trip_count"]]
-        real = pdf.tail(SEED_AVG_ROWS)
-        avgs = {c: float(real[c].dropna().mean()) for c in AVG_COLS}
-        x = np.zeros(len(cols))
-        x[pos[ZONE_INDEX]] = label_index.get(str(zone), unseen)
+def horizon_calendar(spark: SparkSession, start, hours: int) -> pd.DataFrame:
+    """P19's calendar of the forecast hours (one row an hour, ``hours`` rows)."""
+    one = spark.range(1).select(F.col("id").alias(ZONE))
+    return future_grid(one, start, hours).orderBy("datetime").drop(ZONE).toPandas()
+
+
+def make_forecaster(trees: TreeArrays, features: list, zone_labels: list, calendar: pd.DataFrame):
+    """The function over one task's zones run by ``applyInPandas``.
+
+    M8: a lag that the array doesn't hold, or holds as missing, is the last
+    hour's value, and 0 where that is missing too."""
+    number = {label: i for i, label in enumerate(zone_labels)}
+    column = {ZONE_INDEX if c == ZONE else c: k for k, c in enumerate(features)}
+    hours = len(calendar)
+    fixed = {c: calendar[c].to_numpy(dtype=float) for c in calendar.columns if c in column}
+
+    def run(seeds: pd.DataFrame) -> pd.DataFrame:
+        seeds = seeds.sort_values([ZONE, "trip_date", "pickup_hour"])
+        zones, row = np.unique(seeds[ZONE].to_numpy(), return_inverse=True)
+        counts = np.bincount(row)
+        width = int(counts.max())
+        place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts) + (width - counts)[row]
+        series = np.full((len(zones), width + hours), np.nan)
+        series[row, place] = seeds["trip_count"].to_numpy(dtype=float)
+        recent = seeds[place >= width - SEED_AVG_ROWS]
+        means = recent.groupby(ZONE)[list(AVG_COLS)].mean().reindex(zones)
+
+        x = np.zeros((len(zones), len(column)))
+        x[:, column[ZONE_INDEX]] = [number.get(str(z), len(number)) for z in zones]
         for c in AVG_COLS:
             # Same-hour and previous-hour averages both hold the seed means
             # over the whole horizon (predicted hours carry no averages).
             for name in (c, f"{c}_lag_1h"):
-                if name in pos:
-                    x[pos[name]] = avgs[c]
-        out = np.empty(hours)
-        for step in range(hours):
-            for c, v in cal.items():
-                if c in pos:
-                    x[pos[c]] = v[step]
-            lag1 = _lag(buf, 1, 0.0)
-            lags = {"lag_1h": lag1, "lag_24h": _lag(buf, 24, lag1), "lag_168h": _lag(buf, 168, lag1)}
-            for c, v in lags.items():
-                if c in pos:
-                    x[pos[c]] = v
-            pred = max(trees.predict_one(x), 0.0)
-            out[step] = pred
-            buf.append(pred)
-        return pd.DataFrame({ZONE: zone, "datetime": future, "trip_count": out})
+                if name in column:
+                    x[:, column[name]] = means[c]
+        lags = np.zeros((len(LAGS), len(zones), hours))
+        missing = np.full(len(zones), np.nan)
+        for t in range(hours):
+            now = width + t
+            other = np.zeros(len(zones))
+            for k, back in enumerate(LAGS):
+                held = series[:, now - back] if back <= now else missing
+                lags[k, :, t] = np.where(np.isnan(held), other, held)
+                other = lags[0, :, t]
+                if f"lag_{back}h" in column:
+                    x[:, column[f"lag_{back}h"]] = lags[k, :, t]
+            for c, values in fixed.items():
+                x[:, column[c]] = values[t]
+            series[:, now] = np.maximum(trees.predict(x), 0.0)
+        out = {ZONE: np.repeat(zones, hours), "datetime": np.tile(calendar["datetime"].to_numpy(), len(zones)), "trip_count": series[:, width:].ravel()}
+        out |= {f"lag_{n}h": lags[k].ravel() for k, n in enumerate(LAGS)}
+        return pd.DataFrame(out | {c: np.repeat(means[c].to_numpy(), hours) for c in AVG_COLS})
 
     return run
 
 
-FORECAST_SCHEMA = f"{ZONE} BIGINT, datetime TIMESTAMP, trip_count DOUBLE"
+FORECAST_SCHEMA = (
+    f"{ZONE} BIGINT, datetime TIMESTAMP, trip_count DOUBLE, "
+    + ", ".join(f"lag_{n}h DOUBLE" for n in LAGS) + ", " + ", ".join(f"{c} DOUBLE" for c in AVG_COLS)
+)
 
 
 def forecast(
@@ -216,25 +213,34 @@ def forecast(
     hours: int = HORIZON_HOURS,
     seed: int = SEED_ROWS,
 ) -> DataFrame:
-    """M7: recursive hourly forecast for every zone, in parallel.
+    """M7: recursive hourly forecast for every zone, with the lags and means
+    each hour was predicted from.
 
-    The start hour is the global last hour + 1, attached to the seed rows as
-    a scalar subquery; only the exported trees are read on the driver.
+    The driver reads the exported trees, the number of zones and the calendar
+    of the horizon (``hours`` rows).
     """
+    spark = series.sparkSession
     trees = export_trees(model, model_path)
-    labels = list(model.stages[0].labels)
-    fn = make_forecaster(trees, model_features(model), labels, hours)
+    calendar = horizon_calendar(spark, forecast_start(series), hours)
+    fn = make_forecaster(trees, model_features(model), list(model.stages[0].labels), calendar)
+    tasks = max(1, -(-series.select(ZONE).distinct().count() // ZONES_PER_TASK))
     seeds = seed_rows(series, seed).select(
         ZONE, "trip_date", "pickup_hour", "trip_count", *AVG_COLS,
-        forecast_start(series).alias("_start"),
+        F.pmod(F.xxhash64(ZONE), F.lit(tasks)).alias("_task"),
+    )
+    ship_package(spark)
+    # The seeds are tiny but a group is thousands of steps: a shuffle sized by
+    # data would be merged into a task or two, so the number is given.
+    return seeds.repartition(tasks, "_task").groupBy("_task").applyInPandas(
+        lambda rows: fn(rows.drop(columns="_task")), FORECAST_SCHEMA
     )
-    # The input is tiny but each group is thousands of sequential steps, so
-    # spread zones over the cluster explicitly: a shuffle sized by data would
-    # be coalesced by AQE into a task or two. The grouping reuses this
-    # partitioning (no second exchange).
-    parallel = series.sparkSession.sparkContext.defaultParallelism
-    ship_package(series.sparkSession)
-    return seeds.repartition(parallel, ZONE).groupBy(ZONE).applyInPandas(fn, FORECAST_SCHEMA)
+
+
+def with_features(fc: DataFrame) -> DataFrame:
+    """The forecast's hours with every feature of the model: P19's calendar
+    beside the lags and means that the forecast carries."""
+    hours = fc.withColumns({"trip_date": F.to_date("datetime"), "pickup_hour": F.hour("datetime")})
+    return add_series_calendar(hours).withColumns({f"{c}_lag_1h": F.col(c) for c in AVG_COLS})
 
 
 def weekly_projection(fc: DataFrame, ts: str = "datetime") -> DataFrame:

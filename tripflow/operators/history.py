@@ -189,13 +189,16 @@ def peak_hour(fact_time: DataFrame) -> DataFrame:
 
 
 def borough_trips(fact_location: DataFrame) -> DataFrame:
-    """A25 + W6: trips per borough and share of the named total."""
+    """A25 + W6: trips per borough, share of the named total, and rank, most
+    trips first (one row a borough, so the window is small)."""
     b = (
         fact_location.filter(F.col("borough").isNotNull())
         .groupBy("borough")
         .agg(F.sum("total_trips").alias("total_trips"))
     )
-    return with_share(b, "total_trips", "trip_share")
+    rank = F.row_number().over(Window.orderBy(F.col("total_trips").desc(), "borough"))
+    shares = with_share(b, "total_trips", "trip_share")
+    return shares.withColumn("borough_rank", rank).orderBy("borough_rank")
 
 
 def top_zones_by_revenue(fact_location: DataFrame, k: int = 10) -> DataFrame:

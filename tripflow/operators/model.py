@@ -5,10 +5,12 @@ id enters as a categorical feature through ``StringIndexer`` metadata, so the
 trees split on zone sets instead of a one-hot explosion.
 
 Differences from the single-machine trainer this replaces (stated, not
-hidden): MLlib grows depth-wise trees (depth 7 ~ 127 leaves), has no L1/L2
-leaf penalty and no built-in patience. The best round is found with
-``evaluateEachIteration`` on the validation rows and the ensemble is refit to
-that many rounds (same seed, so the first rounds are the same trees).
+hidden): MLlib grows depth-wise trees (depth 7 ~ 127 leaves) and has no L1/L2
+leaf penalty. Trees fit the squared error, whose leaves are the residual means,
+so a round moves a prediction by a share of what is missing, whatever the size
+of the counts. All rounds up to the bound are grown; the validation loss of each
+is read off, the best round before ``patience`` rounds without a better one is
+chosen, and the fitted ensemble is cut there.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.functions.columns import clip_nonneg
@@ -47,26 +49,23 @@ TARGET = "trip_count"
 AVG_FEATURES = ("avg_fare", "avg_distance", "avg_passengers")
 LEAK_FREE_FEATURES = [f"{c}_lag_1h" if c in AVG_FEATURES else c for c in FEATURE_COLS]
 ZONE_INDEX = "zone_index"
-# Boosting runs one job per tree level; on a small feature table the cost is
-# task overhead, so the training rows are packed into partitions of about
-# this many rows (never more partitions than the cluster's parallelism).
-ROWS_PER_TRAIN_PARTITION = 100_000
 
 
 @dataclass
 class ModelParams:
-    """Boosting settings. ``max_iter`` is kept modest because MLlib rounds
-    are one distributed job each; ``early_stop`` picks the best round on the
-    validation rows."""
+    """Boosting settings. ``max_iter`` bounds the rounds (each is a handful of
+    distributed jobs); ``patience`` is how many rounds without a better
+    validation loss end the search for the best one."""
 
-    max_iter: int = 40
-    step_size: float = 0.05
+    max_iter: int = 100
+    patience: int = 50
+    step_size: float = 0.1
     max_depth: int = 7
     min_instances_per_node: int = 20
     subsampling_rate: float = 0.8
     feature_subset: str = "0.8"
     seed: int = 42
-    loss: str = "absolute"
+    loss: str = "squared"
     early_stop: bool = True
     features: list = field(default_factory=lambda: list(FEATURE_COLS))
 
@@ -110,6 +109,32 @@ def feature_pipeline(features=None) -> list:
     return [indexer, assembler]
 
 
+def best_round(losses: list, patience: int) -> int:
+    """The round (from 1) with the lowest loss before ``patience`` rounds
+    without a lower one."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def cut_ensemble(gbt: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
+    """The first ``rounds`` trees of a fitted ensemble, as a model."""
+    if rounds >= gbt.getNumTrees:
+        return gbt
+    sc, java = SparkSession.active().sparkContext, gbt._java_obj
+    jvm, new_array = sc._jvm, sc._gateway.new_array
+    trees = new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = new_array(jvm.double, rounds)
+    for i in range(rounds):
+        trees[i], weights[i] = java.trees()[i], java.treeWeights()[i]
+    short = jvm.org.apache.spark.ml.regression.GBTRegressionModel(java.uid(), trees, weights, java.numFeatures())
+    return gbt._copyValues(GBTRegressionModel(java.copyValues(short, java.extractParamMap())))
+
+
 def _regressor(p: ModelParams, max_bins: int, iters: int) -> GBTRegressor:
     return GBTRegressor(
         featuresCol="features",
@@ -138,8 +163,8 @@ class TrainedModel:
 def train_demand_model(
     train: DataFrame, valid: DataFrame | None = None, params: ModelParams | None = None
 ) -> TrainedModel:
-    """M3: fit indexer + assembler + GBT on ``train``; pick the round with
-    the lowest loss on ``valid`` and refit to it."""
+    """M3: fit indexer + assembler + GBT on ``train`` and cut the ensemble at
+    the best round on ``valid``."""
     p = params or ModelParams()
     train = train.withColumn(TARGET, F.col(TARGET).cast("double"))
     stages = feature_pipeline(p.features)
@@ -147,23 +172,19 @@ def train_demand_model(
     # maxBins must cover every zone category (labels + the unseen bucket).
     max_bins = max(32, len(indexer_model.labels) + 1)
     prep = PipelineModel([indexer_model, stages[1]])
-    cached = prep.transform(train).select("features", TARGET).persist()
-    n_rows = cached.count()
-    parts = max(1, min(train.sparkSession.sparkContext.defaultParallelism,
-                       -(-n_rows // ROWS_PER_TRAIN_PARTITION)))
-    train_x = cached.coalesce(parts)
+    # Boosting runs a job for each tree level: few, even partitions.
+    train_x = prep.transform(train).select("features", TARGET).hint("rebalance").persist()
     try:
         gbt = _regressor(p, max_bins, p.max_iter).fit(train_x)
-        losses: list = []
-        best = p.max_iter
-        if valid is not None and p.early_stop:
-            valid_x = prep.transform(valid.withColumn(TARGET, F.col(TARGET).cast("double")))
-            losses = list(gbt.evaluateEachIteration(valid_x, p.loss))
-            best = 1 + min(range(len(losses)), key=lambda i: losses[i])
-            if best < p.max_iter:
-                gbt = _regressor(p, max_bins, best).fit(train_x)
     finally:
-        cached.unpersist()
+        train_x.unpersist()
+    losses: list = []
+    best = p.max_iter
+    if valid is not None and p.early_stop:
+        valid_x = prep.transform(valid.withColumn(TARGET, F.col(TARGET).cast("double")))
+        losses = list(gbt.evaluateEachIteration(valid_x, p.loss))
+        best = best_round(losses, p.patience)
+        gbt = cut_ensemble(gbt, best)
     return TrainedModel(PipelineModel([indexer_model, stages[1], gbt]), best, losses, p.features)
 
 

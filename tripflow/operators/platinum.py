@@ -208,14 +208,18 @@ def demand_series(
     """
     if since is not None:
         trips = trips.filter(F.col("pickup_datetime") >= F.lit(since).cast("timestamp"))
+    hourly, grid = hourly_and_grid(trips, p, materialize)
+    return add_lags(add_series_calendar(densify(grid, hourly)), lags)
+
+
+def hourly_and_grid(trips: DataFrame, p: float = TOP_ZONE_PERCENTILE, materialize: bool = True) -> tuple[DataFrame, DataFrame]:
+    """A16 and J5 from one scan of the trips."""
     hourly = hourly_demand(trips)
     if materialize:
         checkpoint_root(trips.sparkSession)
         hourly = hourly.checkpoint(eager=True)
     zones = select_top_zones(zone_totals(hourly, count_col="trip_count"), p)
-    grid = hour_zone_grid(zones.select(ZONE), hourly_bounds(hourly))
-    series = add_series_calendar(densify(grid, hourly))
-    return add_lags(series, lags)
+    return hourly, hour_zone_grid(zones.select(ZONE), hourly_bounds(hourly))
 
 
 def order_series(series: DataFrame) -> DataFrame:

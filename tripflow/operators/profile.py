@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import NumericType, StringType
 
 
 def row_counts(**stages: DataFrame) -> DataFrame:
@@ -25,39 +25,29 @@ def row_counts(**stages: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def numeric_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
+def described_columns(df: DataFrame) -> list[str]:
+    """Columns with statistics: numbers and strings."""
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, (NumericType, StringType))]
 
 
 def profile_describe(df: DataFrame, cols=None) -> DataFrame:
-    """A2: count, mean, sample stddev, min and max of each numeric column,
-    in one pass, one row per column."""
-    cols = numeric_columns(df) if cols is None else list(cols)
-    aggs = []
+    """A2: count, mean, sample stddev, min and max of each number column, count
+    and first and last text of each string column, in one pass, one row per
+    column."""
+    cols = described_columns(df) if cols is None else list(cols)
+    text = {c: isinstance(df.schema[c].dataType, StringType) for c in cols}
+    number, none = "double", F.lit(None)
+    aggs, rows = [], []
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [
-            F.count(x).alias(f"n{i}"),
-            F.avg(x).alias(f"mean{i}"),
-            F.stddev_samp(x).alias(f"sd{i}"),
-            F.min(x).alias(f"min{i}"),
-            F.max(x).alias(f"max{i}"),
-        ]
-    wide = df.agg(*aggs)
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                F.col(f"n{i}").alias("count"),
-                F.col(f"mean{i}").alias("mean"),
-                F.col(f"sd{i}").alias("stddev"),
-                F.col(f"min{i}").alias("min"),
-                F.col(f"max{i}").alias("max"),
-            )
-            for i, c in enumerate(cols)
-        ]
-    )
-    return wide.select(F.inline(rows))
+        x = F.col(c) if text[c] else F.col(c).cast(number)
+        parts = {"count": F.count(x)}
+        if text[c]:
+            parts |= {"mean": none.cast(number), "stddev": none.cast(number), "min": none.cast(number), "max": none.cast(number), "min_text": F.min(x), "max_text": F.max(x)}
+        else:
+            parts |= {"mean": F.avg(x), "stddev": F.stddev_samp(x), "min": F.min(x), "max": F.max(x), "min_text": none.cast("string"), "max_text": none.cast("string")}
+        aggs.append(F.struct(F.lit(c).alias("column"), *(v.alias(k) for k, v in parts.items())).alias(f"c{i}"))
+        rows.append(F.col(f"c{i}"))
+    return df.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
 def profile_summary(df: DataFrame, cols) -> DataFrame:

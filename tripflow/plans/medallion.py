@@ -15,9 +15,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.operators import bronze, evaluate, forecast, gold, model, platinum, silver
+from tripflow.operators import evaluate, forecast, gold, model, platinum, silver
+from tripflow.operators.bronze import DEDUP_KEYS
+from tripflow.session import ensure_conf
 from tripflow.sources import landing
-from tripflow.sources.tables import FileLedger, TableIO
+from tripflow.sources.loading import create_tables, load_files, plan_load
+from tripflow.sources.tables import TableIO
 
 
 @dataclass
@@ -26,28 +29,33 @@ class Medallion:
     root: str
 
     def __post_init__(self):
+        ensure_conf(self.spark)
         self.io = TableIO(self.spark, self.root)
-        self.ledger = FileLedger(self.spark, self.io.path("_processed_files")).init()
+        self.ledger = create_tables(self.io)
 
     # ------------------------------------------------------------ Bronze
-    def load_bronze(self, landing_path: str, lo: int, hi: int, bronze_partitions: int = 8) -> int:
-        """Load landed files not yet in the ledger (S15), schema-group read
-        (S2), split and dedup, append Bronze and quarantine, then record the
-        files. Returns the number of new files."""
-        files = landing.landed_files(self.spark, landing_path)
-        new = [r.file_name for r in landing.new_files(files, self.ledger.read()).collect()]
-        if not new:
-            return 0
-        good, bad = bronze.bronze_transform(landing.read_landing_files(self.spark, new), lo, hi)
-        self.io.append(good, "bronze", partition_by="year", partitions=bronze_partitions)
-        self.io.append(bad, "quarantine", partition_by="year")
-        self.ledger.append(self.spark.createDataFrame([(f,) for f in new], "file_name STRING"))
-        return len(new)
+    def load_bronze(self, landing_path: str, lo: int, hi: int, files_a_load: int = 256) -> int:
+        """Load landed files not yet in the ledger (S15) in loads of bounded
+        size: schema-group read (S2), split and dedup, Bronze, quarantine,
+        files that failed, then the ledger. A load that was cut off is run
+        again first. Returns the number of files loaded."""
+        done = 0
+        while True:
+            landed = landing.landed_files(self.spark, landing_path)
+            load_id, files = plan_load(self.io, landed, files_a_load)
+            if not files:
+                return done
+            done += len(files) - len(load_files(self.io, files, load_id, lo, hi))
+
+    def retry_failed(self) -> None:
+        """Forget which files failed, so that the next load tries them."""
+        self.io.overwrite(self.io.read("_failed_files").limit(0), "_failed_files")
 
     # ------------------------------------------------------------ Silver
-    def build_silver(self, partitions: int = 8) -> str:
-        trips = silver.silver_transform(self.io.read("bronze"))
-        return self.io.overwrite(trips, "silver", partition_by="trip_year", partitions=partitions)
+    def build_silver(self) -> str:
+        """The whole table anew: years without rows any more go."""
+        trips = silver.silver_transform(self.io.read("bronze").drop("load_id"))
+        return self.io.overwrite(trips, "silver", partition_by="trip_year")
 
     def silver(self) -> DataFrame:
         return self.io.read("silver")
@@ -69,17 +77,24 @@ class Medallion:
         return self.io.read(f"facts/{name}")
 
     # ------------------------------------------------------------ Platinum
-    def build_platinum(self, partitions: int = 4) -> str:
-        return self.io.write_features(platinum.demand_series(self.silver()), "demand_series", partitions)
+    def build_platinum(self) -> str:
+        return self.io.write_features(platinum.demand_series(self.silver()), "demand_series")
 
     def demand_series(self) -> DataFrame:
         return self.io.read("demand_series")
 
     # ------------------------------------------------------------ model
     def train_and_evaluate(self, holdout_days: int = 30, params: model.ModelParams | None = None):
+        """M1-M5 and S12. With leak-free features the rounds are chosen on the
+        last days of the training rows, never on the test set."""
         series = self.demand_series()
-        train, test = evaluate.time_split(series, holdout_days)
-        trained = model.train_demand_model(train, test, params)
+        if params is not None and set(model.LEAK_FREE_FEATURES) <= set(params.features):
+            train, test = evaluate.time_split(model.add_lagged_averages(series), holdout_days)
+            fit, valid = model.validation_split(train, max(1, holdout_days // 2))
+        else:
+            train, test = evaluate.time_split(series, holdout_days)
+            fit, valid = train, test
+        trained = model.train_demand_model(fit, valid, params)
         path = model.save_model(trained, self.io.path("model"))
         preds = evaluate.prediction_frame(model.score(trained.model, test))
         self.io.write_evaluation(
@@ -89,10 +104,12 @@ class Medallion:
 
     def build_forecast(self, trained: model.TrainedModel, path: str, hours: int = forecast.HORIZON_HOURS) -> str:
         fc = forecast.forecast(trained.model, path, self.demand_series(), hours=hours)
-        return self.io.overwrite(fc, "forecast", partitions=None)
+        return self.io.overwrite(fc, "forecast")
 
 
-def land_files(df: DataFrame, path: str, year_col: str = "tpep_dropoff_datetime") -> str:
-    """Write trip rows as landed files, one folder per year."""
-    df.withColumn("year", F.year(year_col)).write.partitionBy("year").parquet(path)
+def land_files(df: DataFrame, path: str, files: int = 8, year_col: str = "tpep_dropoff_datetime") -> str:
+    """Write trip rows as landed files, one folder per year; copies of a trip
+    land in one file."""
+    dealt = df.repartition(files, *DEDUP_KEYS)
+    dealt.withColumn("year", F.year(year_col)).write.partitionBy("year").parquet(path)
     return path

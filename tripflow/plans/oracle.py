@@ -32,7 +32,7 @@ def rounded(sql: str, doubles: list[str] | tuple[str, ...]) -> str:
 
 
 def with_ctes(ctes: list[str], body: str) -> str:
-    return "WITH " + ",\n".join(ctes) + "\n" + body
+    return body if not ctes else "WITH " + ",\n".join(ctes) + "\n" + body
 
 
 # ------------------------------------------------------------- fixtures
@@ -265,7 +265,7 @@ add("filter_valid_trips", [T, TD], "SELECT VendorID, pickup_datetime, dropoff_da
 add("add_calendar", [T, TD], "SELECT pickup_datetime, dropoff_datetime, CAST(dropoff_datetime AS DATE) AS trip_date, "
     "CAST(year(dropoff_datetime) AS INTEGER) AS trip_year, CAST(hour(pickup_datetime) AS INTEGER) AS pickup_hour, "
     "CAST(dayofweek(pickup_datetime) + 1 AS INTEGER) AS pickup_day, CAST(month(pickup_datetime) AS INTEGER) AS pickup_month, "
-    "CAST(year(pickup_datetime) AS INTEGER) AS pickup_year FROM TD WHERE dropoff_datetime IS NOT NULL")
+    "CAST(year(pickup_datetime) AS INTEGER) AS pickup_year FROM TD")
 add("add_extra_charges", [T, TD], f"SELECT total_amount, fare_amount, {R('total_amount - fare_amount', 2)} AS extra_charges FROM TD",
     ("total_amount", "fare_amount", "extra_charges"))
 add("add_duration", [T, TD], f"SELECT pickup_datetime, dropoff_datetime, s AS trip_duration_seconds, "
@@ -374,7 +374,8 @@ add("distance_highlights", [*HIST, DSUM],
 HT_SUM = "SELECT pickup_hour, CAST(sum(total_trips) AS BIGINT) AS total_trips FROM fact_trip_time_summary GROUP BY pickup_hour"
 add("hourly_trips", HIST, HT_SUM)
 add("peak_hour", HIST, f"SELECT * FROM ({HT_SUM}) ORDER BY total_trips DESC, pickup_hour LIMIT 1")
-add("borough_trips", HIST, "SELECT *, total_trips / sum(total_trips) OVER () AS trip_share FROM "
+add("borough_trips", HIST, "SELECT *, total_trips / sum(total_trips) OVER () AS trip_share, "
+    "CAST(row_number() OVER (ORDER BY total_trips DESC, borough) AS INTEGER) AS borough_rank FROM "
     "(SELECT borough, CAST(sum(total_trips) AS BIGINT) AS total_trips FROM EL WHERE borough IS NOT NULL GROUP BY borough)",
     ("trip_share",))
 add("top_zones_by_revenue", HIST, "SELECT zone, borough, sum(total_revenue) AS total_revenue, "
@@ -394,9 +395,7 @@ add("hour_zone_grid", DS_CTES, "SELECT * FROM GRID")
 add("semi_zones", DS_CTES, "SELECT pu_location_id, pickup_datetime, fare_amount FROM SH "
     "WHERE pu_location_id IN (SELECT pu_location_id FROM TZ)", ("fare_amount",))
 add("densify", DS_CTES, "SELECT * FROM DENSE", DS_DOUBLES)
-add("fill_missing_hours", DS_CTES, "SELECT g.pu_location_id, g.trip_date, g.pickup_hour, g.timestamp_hour, "
-    "CAST(0 AS BIGINT) AS trip_count, 0.0::DOUBLE AS avg_fare, 0.0::DOUBLE AS avg_distance, 0.0::DOUBLE AS avg_passengers "
-    "FROM GRID g LEFT JOIN HD d USING (pu_location_id, trip_date, pickup_hour) WHERE d.trip_count IS NULL", DS_DOUBLES)
+ORACLE["fill_missing_hours"] = ORACLE["densify"]
 add("add_series_calendar", DS_CTES, "SELECT * FROM CAL", DS_DOUBLES)
 add("add_lags", DS_CTES, "SELECT pu_location_id, trip_date, pickup_hour, trip_count, lag_1h, lag_24h, lag_168h FROM DS")
 add("add_rolling_mean", DS_CTES, "SELECT pu_location_id, trip_date, pickup_hour, trip_count, "
@@ -490,7 +489,7 @@ add("time_split_train", [*DS_CTES, DST], f"SELECT * FROM DST WHERE datetime <= {
 add("time_split_test", EVAL, "SELECT * FROM TEST", DS_DOUBLES)
 add("seasonal_naive", EVAL, "SELECT * FROM NP", PRED_D)
 add("clip_nonneg", DS_CTES, "SELECT pu_location_id, trip_date, pickup_hour, "
-    "greatest(CAST(trip_count - lag_168h AS DOUBLE), 0.0) AS growth FROM DS WHERE lag_168h IS NOT NULL", ("growth",))
+    "CASE WHEN trip_count < lag_168h THEN 0.0 ELSE CAST(trip_count - lag_168h AS DOUBLE) END AS growth FROM DS", ("growth",))
 add("add_demand_bucket", EVAL, f"SELECT *, {BUCKET} AS demand_bucket, {BUCKET_ORDER} AS bucket_order FROM NP", PRED_D)
 add("forecast_metrics", EVAL, "SELECT count(*) AS n, " + ", ".join(f"{v} AS {k}" for k, v in METRICS.items())
     + " FROM NP", tuple(METRICS))
@@ -503,7 +502,13 @@ ZM_PLACES = {"mae": 2, "rmse": 2, "r2": 4, "mape": 2}
 ZM = ("SELECT pu_location_id AS zone_id, " + ", ".join(f"{RE(METRICS[k], n)} AS {k}" for k, n in ZM_PLACES.items())
       + " FROM NP GROUP BY pu_location_id")
 add("zone_metrics", EVAL, ZM, tuple(ZM_PLACES))
-ORACLE["write_evaluation"] = ORACLE["zone_metrics"]
+# The model's features, zone first.
+FEATURES = ("pu_location_id", "pickup_hour", "day_of_week", "month", "trip_year", "is_weekend", "is_rush_hour", "is_night",
+            "lag_1h", "lag_24h", "lag_168h", "avg_fare", "avg_distance", "avg_passengers")
+NAMES = ", ".join(f"('{f}')" for f in FEATURES)
+ORACLE["write_evaluation"] = (f"SELECT *, 'predictions' AS evaluation FROM ({ORACLE['seasonal_naive']}) a UNION ALL BY NAME "
+    f"SELECT *, 'metrics' AS evaluation FROM ({ORACLE['zone_metrics']}) b UNION ALL BY NAME "
+    f"SELECT feature, true AS is_share, 'importance' AS evaluation FROM (VALUES {NAMES}) v(feature)")
 add("actual_vs_predicted", EVAL, "SELECT datetime, trip_count, prediction FROM NP "
     "WHERE pu_location_id = (SELECT min(pu_location_id) FROM NP)", PRED_D)
 
@@ -543,14 +548,56 @@ add("landing_progress", [T], """SELECT latest_month, CAST(coalesce(latest_month
 add("row_counts", [*BRONZE_CTES, *silver_ctes("ST", "T"), *DS_CTES],
     "SELECT 'landing' AS stage, count(*) AS row_count FROM T UNION ALL SELECT 'bronze', count(*) FROM DEDUP "
     "UNION ALL SELECT 'silver', count(*) FROM ST UNION ALL SELECT 'platinum', count(*) FROM DS")
-PROFILE_COLUMNS = ("passenger_count", "trip_distance", "fare_amount", "total_amount",
-                   "trip_duration_seconds", "fare_per_mile")
-add("profile_describe", ST_CTES, " UNION ALL ".join(
-    f"SELECT '{c}' AS \"column\", count({c}) AS count, avg({c}::DOUBLE) AS mean, stddev_samp({c}::DOUBLE) AS stddev, "
-    f"min({c}::DOUBLE) AS min, max({c}::DOUBLE) AS max FROM ST" for c in PROFILE_COLUMNS),
+# The number and string columns of the declared trip schema.
+NUMBERS = ("VendorID passenger_count trip_distance RatecodeID PULocationID DOLocationID payment_type fare_amount extra mta_tax "
+           "tip_amount tolls_amount improvement_surcharge total_amount congestion_surcharge airport_fee year cbd_congestion_fee").split()
+STRINGS = ("store_and_fwd_flag", "source_file")
+NO_NUMBER = "CAST(NULL AS DOUBLE)"
+add("profile_describe", [T, TT], " UNION ALL ".join(
+    [f"SELECT '{c}' AS \"column\", count({c}) AS count, avg({c}::DOUBLE) AS mean, stddev_samp({c}::DOUBLE) AS stddev, "
+     f"min({c}::DOUBLE) AS min, max({c}::DOUBLE) AS max, CAST(NULL AS VARCHAR) AS min_text, CAST(NULL AS VARCHAR) AS max_text FROM TT" for c in NUMBERS]
+    + [f"SELECT '{c}', count({c}), {NO_NUMBER}, {NO_NUMBER}, {NO_NUMBER}, {NO_NUMBER}, min({c}), max({c}) FROM TT" for c in STRINGS]),
     ("mean", "stddev", "min", "max"))
-
-ORACLE["fact_grouping_sets"] = ORACLE["fact_trip_time_summary"]
+add("profile_summary", ST_CTES, "SELECT count(fare_per_mile) AS count, avg(fare_per_mile) AS mean, stddev_samp(fare_per_mile) AS stddev, "
+    "min(fare_per_mile) AS min, max(fare_per_mile) AS max, true AS q25_ok, true AS q50_ok, true AS q75_ok FROM ST",
+    ("mean", "stddev", "min", "max"))
+DECLARED_COLUMNS = (*NUMBERS, "tpep_pickup_datetime", "tpep_dropoff_datetime", *STRINGS)
+add("profile_distinct", [T, TT], " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS distinct_values, true AS estimate_ok FROM TT" for c in DECLARED_COLUMNS))
+
+FOLDERS = "SELECT DISTINCT coalesce('year=' || CAST(year(tpep_dropoff_datetime) AS VARCHAR), 'year=__HIVE_DEFAULT_PARTITION__') AS folder FROM T"
+add("new_files", [T], f"SELECT * FROM ({FOLDERS}) f WHERE folder <> 'year=1992'")
+add("file_ledger", [T], f"SELECT folder, CAST(1 AS BIGINT) AS times_listed, true AS not_after_latest FROM ({FOLDERS}) f")
+ORACLE["stream_bronze"] = f"SELECT * EXCLUDE (source_file) FROM ({ORACLE['dedup_trips']}) d"
+ORACLE["stream_replay"] = ORACLE["stream_bronze"]
+ORACLE["stream_quarantine"] = f"SELECT * EXCLUDE (source_file) FROM ({ORACLE['quarantine_table']}) d"
+
+# ------------------------------------------------------------- model: keys, and flags that must hold
+TRAIN = f"TRAIN AS (SELECT * FROM DST WHERE datetime <= {CUT} AND {LAGS_OK})"
+ZONE_NUMBER = "ZN AS (SELECT z, CAST(row_number() OVER (ORDER BY z) - 1 AS DOUBLE) AS zone_index FROM (SELECT DISTINCT CAST(pu_location_id AS VARCHAR) AS z FROM TRAIN))"
+F_COLS = ", ".join("zone_index AS f_pu_location_id" if f == "pu_location_id" else f"CAST({f} AS DOUBLE) AS f_{f}" for f in FEATURES)
+add("feature_pipeline", [*DS_CTES, DST, TRAIN, ZONE_NUMBER], "SELECT pu_location_id, trip_date, pickup_hour, zone_index, "
+    f"{F_COLS} FROM TRAIN JOIN ZN ON z = CAST(pu_location_id AS VARCHAR)", ("zone_index", *(f"f_{f}" for f in FEATURES)))
+add("train_demand_model", [], "SELECT CAST(i AS INTEGER) AS iteration, true AS not_better_than_chosen, true AS cut_below_bound FROM range(1, 101) r(i)")
+add("score", EVAL, "SELECT pu_location_id, trip_date, pickup_hour, trip_count, true AS not_negative FROM TEST")
+add("feature_importance", [], f"SELECT feature, true AS not_negative, true AS sums_to_one FROM (VALUES {NAMES}) v(feature)")
+add("save_load_model", EVAL, "SELECT pu_location_id, trip_date, pickup_hour, true AS same FROM TEST")
+ORACLE["forecast"] = f"SELECT pu_location_id, datetime, true AS not_negative, true AS lags_match, true AS model_agrees FROM ({ORACLE['future_grid']}) g"
+ORACLE["forecast_weekly"] = ("SELECT pu_location_id, CAST(date_trunc('week', datetime) AS DATE) AS week_start, count(*) AS hours, "
+    f"true AS adds_up, true AS peak_covers_mean FROM ({ORACLE['future_grid']}) g GROUP BY ALL")
+
+# ------------------------------------------------------------- all facts as one table
+
+
+def all_facts(source: str) -> str:
+    """Six facts of different columns over the Silver relation ``source``."""
+    return " UNION ALL BY NAME ".join(
+        "SELECT *, '" + k + "' AS fact FROM (" + rounded(sql.replace("FROM ST", f"FROM {source}"), list(doubles)) + f") f_{k}"
+        for k, (sql, doubles) in FACT_SQL.items())
+
+
+ORACLE["fact_grouping_sets"] = with_ctes(ST_CTES, all_facts("ST"))
+ORACLE["medallion_gold"] = with_ctes([*BRONZE_CTES, *silver_ctes("SB", "DEDUP")], all_facts("SB"))
 add("drop", [T, TT], "SELECT * EXCLUDE (source_file) FROM TT", T_DOUBLES)
 add("payment_value_weighted", HIST, "SELECT payment_name, "
     f"{DIV('sum(total_revenue)', 'sum(total_trips)')} AS avg_trip_value FROM EP "

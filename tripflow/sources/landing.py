@@ -3,14 +3,17 @@
 Monthly files drift in schema (a column spelled ``Airport_fee``, a count
 stored as DOUBLE). One read over mixed physical types fails, so
 ``read_landing_files`` reads each *schema group* once and aligns the groups
-by name.
+by name. Loads hand it bounded lists of files; footers are read several at a
+time.
 """
 
 from __future__ import annotations
 
-from collections import OrderedDict
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,40 +34,53 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
     return _with_source(spark.read.option("mergeSchema", True).parquet(path))
 
 
-def _single_read(spark: SparkSession, paths) -> DataFrame | None:
-    """One scan over all files when their schemas merge cleanly (same types,
-    no names differing only by case); None when they conflict."""
-    try:
-        df = spark.read.option("mergeSchema", True).parquet(*paths)
-        lowered = [c.lower() for c in df.columns]
-        if len(set(lowered)) != len(lowered):
-            return None
-        return df
-    except Exception:  # noqa: BLE001 - incompatible physical types
-        return None
+#: Files whose footers, or rows, are read at the same time.
+AT_ONCE = 16
 
 
-def read_landing_files(spark: SparkSession, paths) -> DataFrame:
+def each_file(paths: list[str], work) -> tuple[dict, dict[str, str]]:
+    """``work`` of every file: what it returned, and the first line of the
+    error where reading the file failed."""
+    def attempt(path):
+        try:
+            return path, work(path), None
+        except (PySparkException, Py4JJavaError) as e:
+            return path, None, (str(e).strip().splitlines() or [type(e).__name__])[0][:500]
+
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        done = list(pool.map(attempt, paths))
+    return {p: out for p, out, e in done if e is None}, {p: e for p, _, e in done if e is not None}
+
+
+def read_schemas(spark: SparkSession, paths: list[str]) -> tuple[dict, dict[str, str]]:
+    """Each file's schema from its footer, and the files without one."""
+    return each_file(paths, lambda p: spark.read.parquet(p).schema)
+
+
+def unreadable(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """Files whose rows can't be read through, with the error."""
+    return each_file(paths, lambda p: spark.read.parquet(p).write.format("noop").mode("overwrite").save())[1]
+
+
+def read_landing_files(spark: SparkSession, paths, schemas: dict | None = None) -> DataFrame:
     """Read files whose schemas may conflict.
 
-    Fast path: one merged scan when the files agree. Otherwise files are
-    grouped by their own schema (a footer read each); each group is one scan,
-    normalised and typed to the declared schema, and the groups are aligned
-    by column name.
+    Files are grouped by their own schema; each group is one scan with that
+    schema, normalised and typed to the declared one, and the groups are
+    aligned by column name. A file without a readable footer raises
+    ``ValueError``; ``read_schemas`` tells beforehand.
     """
     paths = list(paths)
     if not paths:
         raise ValueError("no files to read")
-    merged = _single_read(spark, paths)
-    if merged is not None:
-        return enforce_schema(_with_source(merged))
-    groups: "OrderedDict[str, list[str]]" = OrderedDict()
+    if schemas is None:
+        schemas, bad = read_schemas(spark, paths)
+        if bad:
+            raise ValueError(f"unreadable files: {bad}")
+    groups: dict[str, list[str]] = {}
     for p in paths:
-        key = spark.read.parquet(p).schema.json()
-        groups.setdefault(key, []).append(p)
-    parts = [enforce_schema(_with_source(spark.read.parquet(*ps))) for ps in groups.values()]
-    if not parts:
-        raise ValueError("no files to read")
+        groups.setdefault(schemas[p].json(), []).append(p)
+    parts = [enforce_schema(_with_source(spark.read.schema(schemas[ps[0]]).parquet(*ps))) for ps in groups.values()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 

@@ -1,30 +1,40 @@
 """Table sinks and sources by path, and the processed-file ledger.
 
-Parquet directories stand in for the managed tables (no Delta package is
-installed). Overwrites of partitioned tables use dynamic partition overwrite,
-so a re-run replaces only the partitions it produces.
-
-Partitioned writes cluster rows by the partition column with the
-``REBALANCE`` hint rather than ``repartition(n, col)``: a hash repartition
-by year sends a whole year (possibly a third of the data) to one task,
-while a rebalance lets adaptive execution split oversized partitions and
-merge small ones at run time, so output files stay even.
+Parquet directories stand in for the managed tables (no transactional format is
+installed). A table's schema is kept beside the tables and grows with columns
+that later writes bring, so a read needs no footers and an empty table has its
+columns. A full overwrite replaces a table; an overwrite of partitions replaces
+only those that the new rows have.
+
+Partitioned writes cluster rows by the partition column with the ``REBALANCE``
+hint rather than ``repartition(n, col)``: a hash repartition by year sends a
+whole year (possibly a third of the data) to one task, while a rebalance lets
+adaptive execution split oversized partitions and merge small ones at run time,
+so output files stay even.
 """
 
 from __future__ import annotations
 
+import json
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 LEDGER_SCHEMA = StructType(
     [
         StructField("file_name", StringType(), True),
         StructField("processed_time", TimestampType(), True),
+        StructField("load_id", LongType(), True),
     ]
 )
 
 
+def missing(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 class TableIO:
     """Tables as Parquet directories under one root."""
 
@@ -35,29 +45,63 @@ class TableIO:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def read(self, name: str) -> DataFrame:
-        """S3 (``mergeSchema`` so appended files with extra columns read as
-        one table)."""
-        return self.spark.read.option("mergeSchema", True).parquet(self.path(name))
+    # ------------------------------------------------------------ schemas
+    def _schema_path(self, name: str) -> str:
+        return f"{self.root}/_schemas/{name}"
+
+    def schema(self, name: str) -> StructType | None:
+        """The declared schema, or None of a table that nobody wrote."""
+        try:
+            line = self.spark.read.text(self._schema_path(name)).first()
+        except AnalysisException as e:
+            if not missing(e):
+                raise
+            return None
+        return StructType.fromJson(json.loads(line[0]))
+
+    def declare(self, name: str, schema: StructType, replace: bool = False) -> None:
+        """Record the columns of a table; new ones join those it has. Runs
+        before the data are written: a column without data reads as NULL."""
+        known = None if replace else self.schema(name)
+        fields = list(known.fields) if known else []
+        there = {f.name for f in fields}
+        fields += [StructField(f.name, f.dataType, True) for f in schema.fields if f.name not in there]
+        if known is None or len(fields) > len(known.fields):
+            line = json.dumps(StructType(fields).jsonValue())
+            self.spark.createDataFrame([(line,)], "value STRING").coalesce(1).write.mode("overwrite").text(self._schema_path(name))
+
+    def create(self, name: str, schema: StructType) -> None:
+        """An empty table, if there is none."""
+        if self.schema(name) is None:
+            self.declare(name, schema)
+            self.spark.createDataFrame([], schema).write.mode("append").parquet(self.path(name))
 
-    def append(self, df: DataFrame, name: str, partition_by=None, partitions: int | None = None) -> str:
+    def read(self, name: str) -> DataFrame:
+        """S3: the table with every column it was ever written with."""
+        schema = self.schema(name)
+        if schema is None:
+            raise FileNotFoundError(f"no table {name} under {self.root}")
+        return self.spark.read.schema(schema).parquet(self.path(name))
+
+    # ------------------------------------------------------------ writes
+    def append(self, df: DataFrame, name: str, partition_by=None) -> str:
         """Append, optionally partitioned (NULL partition values land
         in the default partition)."""
-        df = _cluster(df, partition_by, partitions)
-        w = df.write.mode("append")
+        self.declare(name, df.schema)
+        w = _cluster(df, partition_by).write.mode("append")
         if partition_by:
             w = w.partitionBy(*_as_list(partition_by))
         w.parquet(self.path(name))
         return self.path(name)
 
-    def overwrite(self, df: DataFrame, name: str, partition_by=None, partitions: int | None = None) -> str:
-        """Overwrite; with ``partition_by`` only the partitions present
-        in ``df`` are replaced (dynamic partition overwrite)."""
-        df = _cluster(df, partition_by, partitions)
-        w = df.write.mode("overwrite")
+    def overwrite(self, df: DataFrame, name: str, partition_by=None, only_partitions: bool = False) -> str:
+        """Replace the table, or (``only_partitions``) just the partitions
+        that ``df`` has rows for."""
+        self.declare(name, df.schema, replace=not only_partitions)
+        w = _cluster(df, partition_by).write.mode("overwrite")
         if partition_by:
-            w = w.partitionBy(*_as_list(partition_by)).option("partitionOverwriteMode", "dynamic")
-        w.parquet(self.path(name))
+            w = w.partitionBy(*_as_list(partition_by))
+        w.option("partitionOverwriteMode", "dynamic" if only_partitions else "static").parquet(self.path(name))
         return self.path(name)
 
     def write_dim(self, df: DataFrame, name: str) -> str:
@@ -70,9 +114,9 @@ class TableIO:
         aggregation itself into a single task."""
         return self.overwrite(df.repartition(1), f"facts/{name}")
 
-    def write_features(self, df: DataFrame, name: str, partitions: int = 4) -> str:
-        """The feature store, clustered by zone."""
-        return self.overwrite(df.repartition(partitions, "pu_location_id"), name)
+    def write_features(self, df: DataFrame, name: str) -> str:
+        """The feature store, clustered by zone into even files."""
+        return self.overwrite(df.hint("rebalance", "pu_location_id"), name)
 
     def write_evaluation(self, preds: DataFrame, metrics: DataFrame, importances: DataFrame) -> dict:
         """Prediction, per-zone metric and importance tables."""
@@ -89,28 +133,28 @@ class TableIO:
 
 
 class FileLedger:
-    """Which landed files were loaded, and when."""
+    """Which landed files were loaded, when, and by which load.
+
+    A load's rows are one partition, so recording it again changes nothing but
+    the time."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
-        self.path = path
+        root, _, self.name = path.rstrip("/").rpartition("/")
+        self.io = TableIO(spark, root)
 
     def init(self) -> "FileLedger":
         """Create the empty ledger if it does not exist yet."""
-        try:
-            self.spark.read.schema(LEDGER_SCHEMA).parquet(self.path).limit(1).collect()
-        except Exception:  # noqa: BLE001 - missing path
-            self.spark.createDataFrame([], LEDGER_SCHEMA).write.mode("append").parquet(self.path)
+        self.io.create(self.name, LEDGER_SCHEMA)
         return self
 
     def read(self) -> DataFrame:
-        return self.spark.read.schema(LEDGER_SCHEMA).parquet(self.path)
+        return self.io.read(self.name)
 
-    def append(self, files: DataFrame, col: str = "file_name") -> None:
+    def append(self, files: DataFrame, col: str = "file_name", load_id: int = 0) -> None:
         """Record ``files`` (a DataFrame of names) as processed now."""
-        files.select(
-            F.col(col).alias("file_name"), F.current_timestamp().alias("processed_time")
-        ).write.mode("append").parquet(self.path)
+        rows = files.select(F.col(col).alias("file_name"), F.current_timestamp().alias("processed_time"), F.lit(load_id).cast("long").alias("load_id"))
+        self.io.overwrite(rows, self.name, partition_by="load_id", only_partitions=True)
 
     def latest(self) -> DataFrame:
         """The last processing time (one row; NULL when empty)."""
@@ -121,10 +165,6 @@ def _as_list(x):
     return [x] if isinstance(x, str) else list(x)
 
 
-def _cluster(df: DataFrame, partition_by, partitions: int | None) -> DataFrame:
+def _cluster(df: DataFrame, partition_by) -> DataFrame:
     """Rows of one output partition together, skew split at run time."""
-    if partition_by:
-        return df.hint("rebalance", *_as_list(partition_by))
-    if partitions:
-        return df.repartition(partitions)
-    return df
+    return df.hint("rebalance", *_as_list(partition_by)) if partition_by else df

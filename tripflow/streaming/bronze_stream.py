@@ -2,20 +2,16 @@
 
 The landing folder is a file stream of *paths* (binary-file source, contents
 never read): the stream's checkpoint remembers which files were seen, which
-replaces a hand-kept "already processed" set. Each micro-batch reads its new
-files with the schema-group reader (so type drift stays out of the stream
-source), runs the Bronze transform and writes good and quarantined rows.
-
-Idempotence: each batch writes into its own ``batch_id=`` partitions with
-dynamic partition overwrite, and the ledger rows of the batch likewise. If an
-executor or the driver dies mid-batch, the replay of that batch id replaces
-whatever the failed attempt left, instead of appending twice.
+replaces a hand-kept "already processed" set. Each micro-batch loads its new
+files as a batch load does (``sources.loading``): good rows, quarantine and
+files that can't be read each go to the batch's own partitions, the ledger
+last. If an executor or the driver dies mid-batch, the replay of that batch id
+replaces whatever the failed attempt left, instead of appending twice.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BinaryType,
     LongType,
@@ -25,8 +21,9 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from tripflow.operators.bronze import TRIP_SCHEMA, bronze_transform
-from tripflow.sources.landing import read_landing_files
+from tripflow.session import ensure_conf
+from tripflow.sources.loading import create_tables, load_files
+from tripflow.sources.tables import TableIO
 
 BINARY_FILE_SCHEMA = StructType(
     [
@@ -38,60 +35,20 @@ BINARY_FILE_SCHEMA = StructType(
 )
 
 
-# Bronze and quarantine rows as written by a batch; declared so that a table
-# whose batches produced no rows yet still reads (as empty).
-TABLE_SCHEMA = StructType(
-    list(TRIP_SCHEMA.fields)
-    + [
-        StructField("bronze_ingestion_time", TimestampType(), True),
-        StructField("source_file", StringType(), True),
-        StructField("batch_id", LongType(), True),
-    ]
-)
-LEDGER_SCHEMA = StructType(
-    [
-        StructField("file_name", StringType(), True),
-        StructField("processed_time", TimestampType(), True),
-        StructField("batch_id", LongType(), True),
-    ]
-)
-
-
-def read_table(spark: SparkSession, path: str, ledger: bool = False) -> DataFrame:
-    """Read a table written by the stream with its declared schema."""
-    return spark.read.schema(LEDGER_SCHEMA if ledger else TABLE_SCHEMA).parquet(path)
-
-
-def _overwrite(df: DataFrame, path: str, partition_by) -> None:
-    # Cluster by the partition columns, letting AQE split a hot year.
-    (
-        df.hint("rebalance", *partition_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A table written by the stream, with every column its files brought."""
+    root, _, name = path.rstrip("/").rpartition("/")
+    return TableIO(spark, root).read(name)
 
 
-def bronze_batch(spark: SparkSession, bronze: str, quarantine: str, ledger: str, lo: int, hi: int):
+def bronze_batch(spark: SparkSession, root: str, lo: int, hi: int):
     """The ``foreachBatch`` body."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
         # The batch is a list of new file paths (bounded by maxFilesPerTrigger).
         paths = [r.path for r in batch.select("path").collect()]
-        if not paths:
-            return
-        good, bad = bronze_transform(read_landing_files(session, paths), lo, hi)
-        tag = F.lit(batch_id).cast("long").alias("batch_id")
-        _overwrite(good.select("*", tag), bronze, ["batch_id", "year"])
-        _overwrite(bad.select("*", tag), quarantine, ["batch_id", "year"])
-        files = session.createDataFrame([(p,) for p in paths], "file_name STRING")
-        _overwrite(
-            files.select("file_name", F.current_timestamp().alias("processed_time"), tag),
-            ledger,
-            ["batch_id"],
-        )
+        if paths:
+            load_files(TableIO(batch.sparkSession, root), paths, batch_id, lo, hi)
 
     return run
 
@@ -107,10 +64,14 @@ def stream_bronze(
 ) -> dict:
     """Load every landed file not seen before, then stop
     (``availableNow``). Returns the table paths."""
+    ensure_conf(spark)
+    io = TableIO(spark, root)
+    create_tables(io)
     tables = {
-        "bronze": f"{root}/bronze",
-        "quarantine": f"{root}/quarantine",
-        "ledger": f"{root}/_processed_files",
+        "bronze": io.path("bronze"),
+        "quarantine": io.path("quarantine"),
+        "failed": io.path("_failed_files"),
+        "ledger": io.path("_processed_files"),
     }
     paths = (
         spark.readStream.format("binaryFile")
@@ -123,7 +84,7 @@ def stream_bronze(
     )
     q = (
         paths.writeStream.foreachBatch(
-            bronze_batch(spark, tables["bronze"], tables["quarantine"], tables["ledger"], lo, hi)
+            bronze_batch(spark, root, lo, hi)
         )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
