@@ -14,8 +14,8 @@ is lost, whatever the data.
 Equal rows are one row (a class) from the start. In a large group of similar
 rows each is first set against the one that shares most signatures with all;
 what that connects needs no further pairs. Rows that meet across groups are
-compared by counts of equal signatures, in squares of ``SQUARE`` rows, and only
-pairs that the bound leaves open go on to the product.
+multiplied by squares of ``SQUARE`` rows, each of which returns the groups that
+its links form, never its pairs.
 
 Defined results: NULL or empty text, or one without words, has the empty set
 and links with nothing; a text of fewer words than n is one n-gram; rows that
@@ -237,20 +237,18 @@ def _meet(bits: int):
     return run
 
 
-_ROWS = "id long, up int, size long, need long, opened array<long>, every binary"
+_ROWS = "id long, opened array<long>"
 
 
 def _open(p: int):
-    """Of each row that shares enough signatures: all that it shares, and the
-    rarest of them, as many as the bound leaves open."""
+    """Of each row that shares enough signatures the rarest ones, as many as the
+    bound leaves open."""
     def run(own, answers):
         import pyarrow as pa
 
         bounds = Bounds(p)
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
-        names = [x.split()[0] for x in _ROWS.split(", ")]
         if not answers.num_rows:
-            return pa.table({x: pa.array([], k) for x, k in zip(names, kinds, strict=True)})
+            return pa.table({"id": pa.array([], pa.int64()), "opened": pa.array([], pa.list_(pa.int64()))})
         read = lambda t, c, kind: np.concatenate([np.frombuffer(x, kind) for x in t.column(c).to_pylist()])
         key, row, count = read(answers, "keys", np.uint64), read(answers, "rows", np.uint32), read(answers, "counts", np.uint32)
         members, shared = None, None
@@ -272,41 +270,61 @@ def _open(p: int):
         key, row = key[order].astype(np.int64), row[order].astype(np.int64)
         ends = np.searchsorted(row, np.arange(len(need) + 1))
         live = np.flatnonzero(np.diff(ends) >= need).tolist()
-        out = [
-            (members["ids"][r >> 1], r & 1, int(sizes[r >> 1]), int(need[r]), key[ends[r]: ends[r + 1] - need[r] + 1], key[ends[r]: ends[r + 1]].tobytes())
-            for r in live
-        ]
-        cols = list(zip(*out, strict=True)) if out else [[]] * 6
-        return pa.table({x: pa.array(c, k) for x, c, k in zip(names, cols, kinds, strict=True)})
+        return pa.table({
+            "id": pa.array([members["ids"][r >> 1] for r in live], pa.int64()),
+            "opened": pa.array([key[ends[r]: ends[r + 1] - need[r] + 1] for r in live], pa.list_(pa.int64())),
+        })
 
     return run
 
 
-#: Rows of one block in a product of signatures.
-SQUARE = 2048
-
-
-def _across(p: int):
-    """Pairs of a block of rows, in different groups so far, whose sizes and
-    counts of equal signatures leave p % open."""
+#: Rows of one block of a product, and columns that it takes at a time.
+SQUARE = 1024
+COLUMNS = 4096
+
+
+def overlaps(rows: list[np.ndarray]) -> np.ndarray:
+    """Product of the rows' 0/1 matrix with itself, some columns at a time.
+    Columns that one row has, or all have, need no product; the diagonal is of
+    no use."""
+    n = len(rows)
+    key, row = np.concatenate(rows), np.repeat(np.arange(n), list(map(len, rows)))
+    _, column, times = np.unique(key, return_inverse=True, return_counts=True)
+    product = np.full((n, n), float((times == n).sum()), dtype=np.float32)
+    use = (times > 1) & (times < n)
+    number = np.cumsum(use) - 1
+    keep = use[column]
+    row, column = row[keep], number[column[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for first in range(0, int(use.sum()), COLUMNS):
+        a, b = np.searchsorted(column, [first, first + COLUMNS])
+        part = np.zeros((n, min(COLUMNS, int(use.sum()) - first)), dtype=np.float32)
+        part[row[a:b], column[a:b] - first] = 1
+        product += part @ part.T
+    return product
+
+
+def _square(p: int):
+    """Multiplies a block of rows; the groups that its links form, as links of
+    each row with the smallest of its group."""
     def run(table):
         import pyarrow as pa
 
-        node, g, size, need = (table.column(c).to_numpy() for c in ("node", "g", "size", "need"))
-        lists = [np.frombuffer(x, np.int64) for x in table.column("every").to_pylist()]
-        key = np.concatenate(lists)
-        row = np.repeat(np.arange(len(lists)), list(map(len, lists)))
-        order = np.argsort(key, kind="stable")
-        key, row = key[order], row[order]
-        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        equal = np.zeros((len(lists), len(lists)), dtype=np.uint16)
-        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(key)], strict=True):
-            if b - a > 1:
-                equal[np.ix_(row[a:b], row[a:b])] += 1
-        least = np.maximum(need[:, None], need)
-        near = 100 * np.minimum(size[:, None], size) >= p * np.maximum(size[:, None], size)
-        i, j = np.nonzero((equal >= least) & near & (g[:, None] != g) & (node[:, None] < node))
-        return pa.table({"a": node[i], "b": node[j]})
+        node = table.column("node").to_numpy()
+        rows = [np.frombuffer(x, np.uint64) for x in table.column("grams").to_pylist()]
+        size = np.array(list(map(len, rows)), dtype=np.float64)
+        both = overlaps(rows).astype(np.float64)
+        linked = 100 * both >= p * (size[:, None] + size - both)
+        np.fill_diagonal(linked, True)
+        first = node.copy()
+        while True:
+            low = np.where(linked, first, np.iinfo(np.int64).max).min(axis=1)
+            if (low == first).all():
+                break
+            first = low
+        other = first != node
+        return pa.table({"a": first[other], "b": node[other]})
 
     return run
 
@@ -330,12 +348,16 @@ def _multiply(p: int):
     return run
 
 
+def sets_of(ids: DataFrame, docs: DataFrame, n: int) -> DataFrame:
+    """The n-grams of the documents (_id, _text) that ``ids`` (_asked) names."""
+    asked = ids.distinct().hint("merge")
+    found = docs.join(asked, docs["_id"] == asked["_asked"], "left_semi")
+    return written(found.mapInArrow(_sets(n), "_id long, grams binary"), "join_sets")
+
+
 def product(pairs: DataFrame, docs: DataFrame, n: int, p: int) -> DataFrame:
     """``pairs`` (a, b) whose documents (_id, _text) reach p %."""
-    asked = pairs.select(F.col("a").alias("_asked")).union(pairs.select("b")).distinct()
-    sets = written(
-        docs.join(asked.hint("merge"), docs["_id"] == asked["_asked"], "left_semi").mapInArrow(_sets(n), "_id long, grams binary"), "join_sets"
-    )
+    sets = sets_of(pairs.select(F.col("a").alias("_asked")).union(pairs.select("b")), docs, n)
     left = sets.select(F.col("_id").alias("a"), F.col("grams").alias("ga"))
     right = sets.select(F.col("_id").alias("b"), F.col("grams").alias("gb"))
     rows = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").select("a", "b", "ga", "gb")
@@ -359,10 +381,8 @@ def join_groups(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "d
     met = own.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_open(percent), _ROWS)
     # Joins are merges whatever the sizes, so that a plan does not change with them.
     of_id = members.where("n > 0").join(classes.hint("merge"), ["n", "f1", "f2"]).select("id", "node")
-    opened = written(
-        met.join(of_id.hint("merge"), "id").drop("id").dropDuplicates(["node", "up"]), "join_rows"
-    )
-    found = opened.select(F.explode("opened").alias("sig"), "node", "up")
+    found = met.select("id", F.explode("opened").alias("sig")).join(of_id.hint("merge"), "id").select("sig", "node").distinct()
+    found = written(found, "join_signatures")
     times = found.groupBy("sig").agg(F.count("*").alias("times")).where("times > 1")
     shared = written(found.join(times.hint("merge"), "sig"), "join_shared")
     # Every row against the one that shares most with all, among those it meets.
@@ -380,17 +400,16 @@ def join_groups(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "d
     several = label.groupBy("sig").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo <> hi").select("sig")
     sides = F.ceil(F.col("times") / SQUARE).cast("long")
     mine = F.pmod(F.xxhash64("node"), sides)
-    squares = (
+    squares = written(
         label.join(several.hint("merge"), "sig").withColumn("mine", mine)
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), sides - 1)))
-        .select("sig", "node", "up", "g", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
+        .select("sig", "node", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j")),
+        "join_squares",
     )
-    across = (
-        squares.join(opened.select("node", "up", "size", "need", "every").hint("merge"), ["node", "up"])
-        .groupBy("sig", "i", "j").applyInArrow(_across(percent), "a long, b long").distinct()
-        .join(tried.hint("merge"), ["a", "b"], "left_anti")
+    sets = sets_of(squares.select(F.col("node").alias("_asked")), rows, n).withColumnRenamed("_id", "node")
+    more = written(
+        squares.join(sets.hint("merge"), "node").groupBy("sig", "i", "j").applyInArrow(_square(percent), "a long, b long").distinct(), "join_more"
     )
-    more = written(product(written(across, "join_across"), rows, n, percent), "join_more")
     # Documents that repeat an id tie their classes together.
     ties = of_id.where("id <> node").select(F.col("node").alias("a"), F.col("id").alias("b"))
     repeated = members.where("n > 0").groupBy("id").agg(F.count("*").alias("c")).where("c > 1 AND id IS NOT NULL").select(F.col("id").alias("b"))
