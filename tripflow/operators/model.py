@@ -57,7 +57,7 @@ class ModelParams:
     distributed jobs); ``patience`` is how many rounds without a better
     validation loss end the search for the best one."""
 
-    max_iter: int = 60
+    max_iter: int = 100
     patience: int = 50
     step_size: float = 0.1
     max_depth: int = 7
