@@ -716,8 +716,8 @@ def q_feature_pipeline(spark, sf):
 
 @register("train_demand_model")
 def q_train_demand_model(spark, sf):
-    """M3: the rounds, and that the chosen one is the first lowest loss that
-    patience allows and below the bound."""
+    """M3: the rounds, that none that patience allows is better than the chosen
+    one, and that the ensemble ends there."""
     tm, _ = trained_model(spark, sf)
     p = model.ModelParams()
     losses = [float(v) for v in tm.validation_loss]
@@ -729,7 +729,7 @@ def q_train_demand_model(spark, sf):
     return df.select(
         "iteration",
         ((F.col("validation_loss") >= best) | worse).alias("not_better_than_chosen"),
-        F.lit(n_trees == tm.best_iteration and tm.best_iteration < p.max_iter).alias("cut_below_bound"),
+        F.lit(n_trees == tm.best_iteration).alias("cut_at_chosen"),
     )
 
 
