@@ -175,6 +175,16 @@ def test_html_layout(source, text):
     assert (html_text.render(source) if source else "") == text
 
 
+@pytest.mark.parametrize(("source", "text"), [
+    ("<html><head><title>t</title><body><p>text</p>", "text"), ("<head><title>t</title><p>text</p>", "text"),
+    ("<head><title>t</title>\n text <b>x</b>", "text x"), ("<head><meta charset=a><style>p{}</style><script>1</script>\n<h1>x</h1>", "x"),
+    ("<head><noscript><img></noscript><template><p>no</p></template><body>x", "x"), ("<head><html><head><div>x</div>", "x"),
+    ("<head>\n<link rel=a>&nbsp;</head>x", "\xa0x"), ("<body>a<head>b</head>c", "abc"),
+])
+def test_html_head_ends_by_itself(source, text):
+    assert html_text.render(source) == text
+
+
 def test_html_survives_depth_and_cut_markup(spark):
     assert html_text.render("<div>" * 50000 + "x") == "x"
     assert html_text.render("<a " * 100000) == ""

@@ -1,8 +1,8 @@
 """HTML extraction by layout.
 
 A tree builder turns tags into a well-formed sequence of opened and closed
-elements: void elements, elements whose end another start implies (p, li, dt,
-dd, option, table parts), unknown and unmatched end tags, and the raw text of
+elements: void elements, elements whose end another start implies (head, p, li,
+dt, dd, option, table parts), unknown and unmatched end tags, and the raw text of
 script, style, textarea and title. Visibility rules (never rendered elements,
 ``hidden``, ``display: none``, ``visibility: hidden``) leave out what a reader
 doesn't see; everything else is emitted: blocks on lines of their own with blank
@@ -46,6 +46,8 @@ IMPLIES = {
     "th": (frozenset({"td", "th"}), frozenset({"table", "tr"})),
     "tr": (frozenset({"tr", "td", "th", "caption"}), frozenset({"table"})),
 } | dict.fromkeys(_PARTS, (_PARTS | {"tr", "td", "th", "caption", "colgroup"}, frozenset({"table"})))
+#: Starts that leave a head open; any other start, or text, ends it.
+IN_HEAD = frozenset("title meta link base script style noscript noframes template".split())
 #: Starts of these end an open paragraph.
 ENDS_P = frozenset(MARGINS) - frozenset("html body tr td th thead tbody tfoot caption option legend".split())
 
@@ -121,14 +123,19 @@ def tree(source: str) -> Iterator[tuple[int, str, dict]]:
                     found = k
         return found
 
+    def text(s: str) -> Iterator[tuple[int, str, dict]]:
+        if stack and stack[-1] == "head" and s.strip(" \t\n\f\r"):
+            yield from close_to(len(stack) - 1)
+        yield TEXT, s, {}
+
     at = 0
     while at < len(source):
         m = MARKUP.search(source, at)
         if not m:
-            yield TEXT, html.unescape(source[at:]), {}
+            yield from text(html.unescape(source[at:]))
             break
         if m.start() > at:
-            yield TEXT, html.unescape(source[at: m.start()]), {}
+            yield from text(html.unescape(source[at: m.start()]))
         at = m.end()
         name = (m[2] or "").lower()
         if not name:
@@ -136,12 +143,19 @@ def tree(source: str) -> Iterator[tuple[int, str, dict]]:
         if source[at - 1] != ">":  # cut off inside a tag
             continue
         if m[1]:
+            if name == "br" and stack and stack[-1] == "head":
+                yield from close_to(len(stack) - 1)
             if name in ("br", "p") and innermost(name) < 0:
                 yield OPEN, name, {}
                 yield CLOSE, name, {}
             elif (k := innermost(name)) >= 0:
                 yield from close_to(k)
             continue
+        if stack and stack[-1] == "head":
+            if name in ("html", "head"):  # no second one inside
+                continue
+            if name not in IN_HEAD:
+                yield from close_to(len(stack) - 1)
         if name in ENDS_P and count[-1].get("p") and (k := innermost("p")) >= 0:
             yield from close_to(k)
         if name in IMPLIES and (k := outermost(*IMPLIES[name])) >= 0:
