@@ -211,6 +211,14 @@ def test_join_across_blocks(spark, monkeypatch):
     assert groups_of(frame(spark, rows).repartition(5), 3, 90) == plain_groups(rows, 3, 90)
 
 
+def test_join_looks_past_copies_without_an_id(spark):
+    rng = random.Random(12)
+    base = prose(rng, 120, 5000)
+    rows = [(None, base), (7, base), (3, base + " end"), (None, "x y z"), (None, base)]
+    assert groups_of(frame(spark, rows).coalesce(1), 3, 90) == plain_groups(rows, 3, 90)
+    assert groups_of(frame(spark, rows[-2:]).coalesce(1), 3, 90) == plain_groups(rows[-2:], 3, 90)
+
+
 def test_join_of_nothing(spark):
     assert jaccard_join.join_groups(frame(spark, [])).count() == 0
 

@@ -163,11 +163,13 @@ def _first_pass(n: int, p: int, bits: int):
             ids = pa.concat_arrays([x[0] for x in held])
             sizes, f1, f2 = (np.concatenate([x[k] for x in held]) for k in (1, 2, 3))
             yield table([(_MEMBERS, block, ids.to_pylist(), sizes.tolist(), f1.view(np.int64).tolist(), f2.view(np.int64).tolist(), None, None, None)])
-            # Rows of equal fingerprints send one set of signatures.
-            _, lead = np.unique(np.stack([f1, f2]), axis=1, return_index=True)
+            # Rows of equal fingerprints send one set of signatures, that of the
+            # first with an id.
+            known = np.flatnonzero(np.asarray(ids.is_valid()))
             leads = np.zeros(len(sizes), dtype=bool)
-            leads[lead] = True
-            leads &= np.asarray(ids.is_valid())
+            if len(known):
+                _, lead = np.unique(np.stack([f1, f2])[:, known], axis=1, return_index=True)
+                leads[known[lead]] = True
             keys, rows, base = [], [], 0
             for _, s, _, _, sigs in held:
                 for up, (key, row) in enumerate(sigs):
