@@ -185,6 +185,22 @@ def test_html_head_ends_by_itself(source, text):
     assert html_text.render(source) == text
 
 
+@pytest.mark.parametrize(("source", "text"), [
+    ("a <math><mfrac><mn>1</mn><mn>2</mn></mfrac><mo>=</mo><mi>x</mi></math> b", "a 1 2 =x b"),
+    ("<math><semantics><mi>x</mi><annotation encoding=t>tex</annotation></semantics><mphantom><mi>p</mi></mphantom></math>y", "xy"),
+    ("<svg><title>t</title><desc>d</desc><defs><text>no</text></defs>stray<text>one</text><text>two</text></svg> z", "one two z"),
+    ("<svg><title/><defs/><style/><g><text>a<tspan>b</tspan></text></g><path d='m'/></svg>c", "ab c"),
+    ("<svg><text><![CDATA[a<b]]></text><foreignObject><p>x<p>y</foreignObject></svg>", "a<b\n\nx\n\ny"),
+    ("<p>q<svg><defs><p>out</p>", "q\n\nout"), ("<svg style='display:none'><text>a</text></svg>b", "b"), ("<desc>d</desc>", "d"),
+    ("x<textarea>\n a\n  b &amp;</textarea>y", "x\n a\n  b &\ny"), ("<textarea hidden>a</textarea>b", "b"),
+    ("x <select><option>a<option selected>b<option>c</select>y", "x b y"), ("<select><option disabled>a<optgroup label=g><option>b</select>", "b"),
+    ("<select><option selected hidden>pick</option><option>b</option></select>", "pick"), ("<select><option label=l>a</select>", "l"),
+    ("x<select multiple><option>a<option hidden>no<option>b</select>y", "x\na\nb\ny"), ("<select hidden><option>a</select>b", "b"),
+])
+def test_html_shows_formulas_labels_and_forms(source, text):
+    assert html_text.render(source) == text
+
+
 def test_html_survives_depth_and_cut_markup(spark):
     assert html_text.render("<div>" * 50000 + "x") == "x"
     assert html_text.render("<a " * 100000) == ""

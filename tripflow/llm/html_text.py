@@ -7,7 +7,11 @@ script, style, textarea and title. Visibility rules (never rendered elements,
 ``hidden``, ``display: none``, ``visibility: hidden``) leave out what a reader
 doesn't see; everything else is emitted: blocks on lines of their own with blank
 lines where a page has margins, list markers with nesting, table cells in
-aligned columns, preformatted text as it stands. The tree is walked as that
+aligned columns, preformatted text as it stands. Elements inside svg and math
+are named apart from HTML's ("svg text"), up to where HTML begins again. An SVG
+gives the text of its text elements where they stand in the source (what ``use``
+repeats is not repeated), MathML its tokens, a drop-down the option that it
+shows, a list box all options, a text area its text. The tree is walked as that
 sequence with explicit stacks, so depth is no limit.
 
 Defined results: NULL or empty html gives empty text; markup that is cut off
@@ -30,7 +34,18 @@ from tripflow.session import ship_package
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 #: Never rendered.
-UNSEEN = frozenset("head script style title template noscript iframe object audio video canvas svg math select datalist textarea noembed noframes meta link base".split())
+UNSEEN = frozenset("head script style title template noscript iframe object audio video canvas datalist noembed noframes meta link base".split()) | frozenset(
+    [f"svg {x}" for x in "title desc metadata defs symbol clippath mask pattern marker lineargradient radialgradient filter style script".split()]
+    + ["math annotation", "math annotation-xml"])
+#: Elements of SVG and MathML that hold HTML.
+HOLDS_HTML = frozenset(["svg foreignobject", "svg desc", "svg title", *(f"math {x}" for x in "mi mo mn ms mtext".split())])
+#: Starts that end open SVG and MathML.
+BREAKS = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+#: MathML whose parts stand apart, and of whose parts only the first shows.
+APART = frozenset(f"math {x}" for x in "mfrac msub msup msubsup munder mover munderover mroot mmultiscripts mtable mtr mlabeledtr".split())
+FIRST_SHOWS = frozenset({"math semantics", "math maction"})
+#: An unquoted value at the end of a tag takes the slash in.
+UNQUOTED = re.compile(r"=\s*+[^\s\"'][^\s\"']*/\Z")
 #: Blank lines around a block.
 MARGINS = dict.fromkeys("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure hr fieldset menu".split(), 1) | dict.fromkeys(
     "html body div section article aside header footer main nav address form li dt dd tr td th caption thead tbody tfoot figcaption details summary center legend option dir hgroup search".split(), 0)
@@ -42,6 +57,7 @@ IMPLIES = {
     "dt": (frozenset({"dt", "dd"}), frozenset({"dl", "table"})),
     "dd": (frozenset({"dt", "dd"}), frozenset({"dl", "table"})),
     "option": (frozenset({"option"}), frozenset({"select", "datalist"})),
+    "optgroup": (frozenset({"option", "optgroup"}), frozenset({"select", "datalist"})),
     "td": (frozenset({"td", "th"}), frozenset({"table", "tr"})),
     "th": (frozenset({"td", "th"}), frozenset({"table", "tr"})),
     "tr": (frozenset({"tr", "td", "th", "caption"}), frozenset({"table"})),
@@ -52,7 +68,7 @@ IN_HEAD = frozenset("title meta link base script style noscript noframes templat
 ENDS_P = frozenset(MARGINS) - frozenset("html body tr td th thead tbody tfoot caption option legend".split())
 
 #: Elements whose inside is searched on its own for end tags and paragraphs.
-SCOPES = frozenset({"table", "td", "th", "caption", "button", "object"})
+SCOPES = frozenset({"table", "td", "th", "caption", "button", "object"}) | HOLDS_HTML
 #: End tags that reach out of a scope, up to the table they belong to.
 REACHING = SCOPES | _PARTS | {"tr"}
 
@@ -84,10 +100,16 @@ def tree(source: str) -> Iterator[tuple[int, str, dict]]:
     """The document as (what, name or text, attributes), each opened element
     closed in order."""
     stack: list[str] = []
+    modes: list[str] = []  # svg or math, where an open element's inside is that
+    foreign: dict[str, int] = {}  # open elements of SVG and MathML, by name
     count: list[dict[str, int]] = [{}]  # open elements by name, for each scope
 
-    def opened(name: str) -> None:
+    def opened(name: str, mode: str = "") -> None:
         stack.append(name)
+        modes.append(mode)
+        if " " in name:
+            own = name.partition(" ")[2]
+            foreign[own] = foreign.get(own, 0) + 1
         count[-1][name] = count[-1].get(name, 0) + 1
         if name in SCOPES:
             count.append({})
@@ -95,6 +117,9 @@ def tree(source: str) -> Iterator[tuple[int, str, dict]]:
     def close_to(k: int) -> Iterator[tuple[int, str, dict]]:
         while len(stack) > k:
             name = stack.pop()
+            modes.pop()
+            if " " in name:
+                foreign[name.partition(" ")[2]] -= 1
             if name in SCOPES:
                 count.pop()
             count[-1][name] -= 1
@@ -138,11 +163,22 @@ def tree(source: str) -> Iterator[tuple[int, str, dict]]:
             yield from text(html.unescape(source[at: m.start()]))
         at = m.end()
         name = (m[2] or "").lower()
+        mode = modes[-1] if modes else ""
         if not name:
+            if mode and source.startswith("<![CDATA[", m.start()):
+                end = source.find("]]>", m.start())
+                yield TEXT, source[m.start() + 9: end if end >= 0 else len(source)], {}
+                at = end + 3 if end >= 0 else len(source)
             continue
         if source[at - 1] != ">":  # cut off inside a tag
             continue
         if m[1]:
+            k = len(stack) - 1 if foreign.get(name) else -1
+            while k >= 0 and " " in stack[k] and stack[k].partition(" ")[2] != name:
+                k -= 1
+            if k >= 0 and " " in stack[k]:
+                yield from close_to(k)
+                continue
             if name == "br" and stack and stack[-1] == "head":
                 yield from close_to(len(stack) - 1)
             if name in ("br", "p") and innermost(name) < 0:
@@ -156,17 +192,35 @@ def tree(source: str) -> Iterator[tuple[int, str, dict]]:
                 continue
             if name not in IN_HEAD:
                 yield from close_to(len(stack) - 1)
+        attrs = attributes(m[3]) if m[3].strip(" /\t\n") else {}
+        if mode and (name in BREAKS or (name == "font" and attrs.keys() & {"color", "face", "size"})):
+            k = len(stack)
+            while k and modes[k - 1]:
+                k -= 1
+            yield from close_to(k)
+            mode = ""
+        if mode or name in ("svg", "math"):
+            mode = name if name == "svg" and stack and stack[-1] == "math annotation-xml" else mode or name
+            name = f"{mode} {name}"
+            yield OPEN, name, attrs
+            if m[3].endswith("/") and not UNQUOTED.search(m[3]):
+                yield CLOSE, name, {}
+            else:
+                html_inside = name == "math annotation-xml" and attrs.get("encoding", "").lower() in ("text/html", "application/xhtml+xml")
+                opened(name, "" if html_inside or name in HOLDS_HTML else mode)
+            continue
         if name in ENDS_P and count[-1].get("p") and (k := innermost("p")) >= 0:
             yield from close_to(k)
         if name in IMPLIES and (k := outermost(*IMPLIES[name])) >= 0:
             yield from close_to(k)
-        attrs = attributes(m[3]) if m[3].strip(" /\t\n") else {}
         yield OPEN, name, attrs
         if name in VOID:
             yield CLOSE, name, {}
         elif name in RAW:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.IGNORECASE).search(source, at)
             body = source[at: end.start() if end else len(source)]
+            if name == "textarea":  # its first line break isn't part of it
+                body = re.sub(r"\A\r?\n", "", body)
             yield TEXT, html.unescape(body) if name in ("textarea", "title") else body, {}
             yield CLOSE, name, {}
             at = end.end() if end else len(source)
@@ -255,29 +309,75 @@ def _count(value: str | None, otherwise: int) -> int:
     return int(value) if value and re.fullmatch(r"-?[0-9]{1,6}", value) else otherwise
 
 
+class Select:
+    """Options of one select: text, whether chosen, whether disabled."""
+
+    def __init__(self, attrs: dict):
+        self.all = "multiple" in attrs or _count(attrs.get("size"), 1) > 1
+        self.options: list[tuple[str, bool, bool]] = []
+        self.group_off = False
+
+    def shown(self) -> list[str]:
+        if self.all:
+            return [text for text, _, _ in self.options]
+        chosen = [text for text, on, _ in self.options if on][-1:]
+        return chosen or [text for text, _, off in self.options if not off][:1]
+
+
 def render(source: str) -> str:
     """All visible text of a page, laid out."""
     flows, hidden, faded, kept = [Flow()], 0, [False], 0
     lists: list[list] = []  # kind and number of each open list
     tables: list[list[list[tuple[list[str], int]]]] = []
     cells: list[tuple[str, int]] = []
+    selects: list[Select] = []
+    options: list[dict] = []
+    drawn = [True]  # does text show here? In an SVG only inside text elements
+    parts = [0]  # elements so far in each open element
     undo: list[tuple] = []
     for what, name, attrs in tree(source):
         flow = flows[-1]
         if what == TEXT:
-            if not hidden and not faded[-1]:
+            if not hidden and not faded[-1] and drawn[-1]:
                 (flow.keep if kept else flow.text)(name)
             continue
         if what == OPEN:
             style = attrs.get("style", "").lower()
             dark = name in UNSEEN or "hidden" in attrs or bool(style and HIDES.search(style)) or (name == "dialog" and "open" not in attrs)
+            if name == "option" and selects and not selects[-1].all:
+                dark = False  # a closed drop-down shows its choice all the same
+            around = undo[-1][0] if undo else ""
+            if " " in name:
+                dark = dark or attrs.get("display") == "none" or (around in FIRST_SHOWS and parts[-1] > 0)
+                drawn.append(name in ("svg text", "svg foreignobject") or (name != "svg svg" and drawn[-1]))
+            else:
+                drawn.append(drawn[-1])
+            parts[-1] += 1
+            parts.append(0)
             undo.append((name, dark))
             hidden += dark
             fade = FADES.search(style) if style else None
+            if not fade and " " in name:
+                fade = FADES.search("visibility:" + ("hidden" if name == "math mphantom" else attrs.get("visibility", "")))
             faded.append(fade[1] != "visible" if fade else faded[-1])
             if hidden:
                 continue
-            if name == "br":
+            if around in APART or name == "svg text" or (name == "svg tspan" and attrs.keys() & {"x", "y"}):
+                flow.pending = True
+            if name == "select":
+                selects.append(Select(attrs))
+                flows.append(Flow())  # what isn't in an option doesn't show
+            elif name == "optgroup" and selects:
+                selects[-1].group_off = "disabled" in attrs
+            elif name == "option" and selects:
+                options.append(attrs)
+                flows.append(Flow())
+            elif name == "textarea" or (name == "math math" and attrs.get("display") == "block"):
+                flow.block(0)
+                kept += name == "textarea"
+            elif name == "svg foreignobject":
+                flow.block(0)
+            elif name == "br":
                 flow.end_line(always=True)
             elif name == "hr":
                 flow.block(1)
@@ -310,10 +410,32 @@ def render(source: str) -> str:
             continue
         was, dark = undo.pop()
         faded.pop()
+        drawn.pop()
+        parts.pop()
         if hidden:
             hidden -= dark
             continue
-        if name in ("td", "th") and tables and cells:
+        if name in APART or name == "svg text":
+            flow.pending = True
+        if name == "option" and selects:
+            flow.end_line()
+            flows.pop()
+            of = options.pop()
+            label = of.get("label") or " ".join(" ".join(flow.lines).split())
+            selects[-1].options.append((label, "selected" in of, "disabled" in of or selects[-1].group_off))
+        elif name == "optgroup" and selects:
+            selects[-1].group_off = False
+        elif name == "select":
+            flows.pop()
+            flow, box = flows[-1], selects.pop()
+            for label in box.shown() if not faded[-1] else []:
+                flow.block(0) if box.all else flow.text(" ")
+                flow.text(label)
+            flow.block(0) if box.all else flow.text(" ")
+        elif name in ("textarea", "svg foreignobject"):
+            kept -= name == "textarea"
+            flow.block(0)
+        elif name in ("td", "th") and tables and cells:
             flow.end_line()
             _, span = cells.pop()
             flows.pop()
