@@ -33,11 +33,18 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by five-word shingles at 80 %: the one
-    with the smallest id. Documents without an id are in no group."""
-    groups = jaccard_join.join_groups(docs, n=5, percent=80)
-    first = groups.where("component_id = doc_id").select(F.col("doc_id").alias("_id")).distinct()
-    known = docs.join(first.hint("merge"), docs["doc_id"] == first["_id"], "left_semi").dropDuplicates(["doc_id"])
+    """One row of each group of texts linked by five-word shingles at 80 %: the
+    one with the smallest id. Rows that share an id are told apart by a hash of
+    id and text, so an unlike text under the same id stays. Documents without an
+    id are in no group."""
+    rows = docs.select(F.struct("*").alias("_row")).where("_row.doc_id IS NOT NULL")
+    rows = rows.withColumn("_key", F.xxhash64("_row.doc_id", "_row.text"))
+    groups = jaccard_join.join_groups(rows.select("_key", "_row.text"), n=5, percent=80, id_col="_key")
+    ids = rows.select("_key", F.col("_row.doc_id").alias("_doc")).distinct()
+    member = groups.select("_key", "component_id").distinct().join(ids.hint("merge"), "_key")
+    first = member.groupBy("component_id").agg(F.min(F.struct("_doc", "_key")).alias("m")).select("m._key")
+    # Of rows of one id and text the least, so that reruns agree.
+    known = rows.join(first.hint("merge"), "_key", "left_semi").groupBy("_key").agg(F.min("_row").alias("_row")).select("_row.*")
     return known.unionByName(docs.where("doc_id IS NULL"))
 
 

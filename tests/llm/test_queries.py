@@ -87,6 +87,19 @@ def test_pipeline_stages_equal_plain(spark):
     assert coded == Counter((i, tuple(ids[offsets[k]: offsets[k + 1]].tolist())) for k, (i, _) in enumerate(rows))
 
 
+def test_pipeline_keeps_unlike_texts_of_one_id(spark):
+    rows = odd_rows()
+    unlike = [t for i, t in rows if i == 15]
+    rows += [(15, unlike[1] + " end"), (16, unlike[0] + " end"), (1, unlike[1] + " end")]
+    out = corpus_pipeline.drop_near_copies(spark, frame(spark, rows), "").collect()
+    number = list(dict.fromkeys((i, t or "") for i, t in sorted((r for r in rows if r[0] is not None), key=lambda r: (r[0], r[1] or ""))))
+    # Each text under a number of its own, in the order of ids; its group's first stays.
+    groups = plain_groups([(k, t) for k, (_, t) in enumerate(number)], 5, 80)
+    assert Counter(r["doc_id"] for r in out) == Counter([number[k][0] for k, _, c in groups if k == c] + [None] * 2)
+    kept = Counter(r["text"] for r in out)
+    assert kept[unlike[0]] == 1 and kept[unlike[1]] + kept[unlike[1] + " end"] == 1
+
+
 def test_pipeline_runs(spark):
     out = corpus_pipeline.run(spark, SMALL)
     assert out.count() > 0 and "doc_id" in out.columns
