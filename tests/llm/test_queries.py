@@ -23,12 +23,15 @@ COLUMNS = {
     "op8": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
     "op9": "doc_id n_tokens ids_sha256 decoded_sha256",
     "op10": "doc_id held_out score predicted",
+    "op11": "vec_id code error label_error codebooks_sha256",
+    "op12": "doc_id start n_tokens ids_crc32",
+    "op13": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
 }
 
 
-def test_ten_operators_are_registered():
+def test_all_operators_are_registered():
     names = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES}
     assert set(QUERIES) <= set(names) and "pipeline" in names
     assert set(ORACLE_SQL) <= set(entry.oracle_sql())
 

@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tripflow.llm import bpe, html_text, jaccard_join, line_dedup, lm_score, mixing, nearest, quality_classifier, quality_rules, suffix_dedup
+from tripflow.llm import bpe, html_text, jaccard_join, line_dedup, lm_score, mixing, nearest, periodic_runs, quality_classifier, quality_rules, suffix_dedup, token_files, vector_codes
 from tripflow.llm.words import crc_mod, documents, written
+from tripflow.session import scratch_path
 
 
 def vocabulary() -> str:
@@ -92,6 +93,39 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.encode(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return vector_codes.with_label_error(coded).select(
+        "vec_id", vector_codes.code_text(F.col("codes")).alias("code"), "error", "label_error",
+        F.lit(vector_codes.digest(books)).alias("codebooks_sha256"),
+    )
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "token_files")
+    token_files.write_files(documents(spark, sf_dir), vocabulary(), folder, end_id=1)
+    out = token_files.read_files(spark, folder)
+    return out.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    texts = docs.select("doc_id", periodic_runs.planted(F.col("text"), F.col("doc_id")).alias("text"))
+    # The longest run, the first of equals: the least by these keys.
+    key = lambda r: F.struct((-r["length"]).alias("n"), r["start"].alias("start"), r["period"].alias("period"))
+    line = lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string"))
+    best = F.array_min(F.transform("runs", key))
+    out = periodic_runs.find_runs(texts).withColumn("_best", best)
+    length, period = -F.col("_best.n"), F.col("_best.period")
+    return out.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"),
+        F.col("_best.start").alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        digest(F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")).alias("runs_sha256"),
+        digest(F.col("collapsed")).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_lm_score": op2_lm_score,
@@ -103,9 +137,13 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_bpe": op9_bpe,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_token_files": op12_token_files,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_line_dedup": line_dedup.SQL,
     "op7_nearest": nearest.SQL,
+    "op11_vector_codes": vector_codes.SQL,
 }

@@ -8,6 +8,7 @@ work on Arrow batches.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,18 +43,24 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 _CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """The shuffles behind what is written meanwhile go when it is written."""
+    was = spark.conf.get(_CLEAN_UP, "false")
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEAN_UP, was)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as a table in the shared folder and read back: cuts
     the lineage, and survives a lost executor."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    # The shuffles behind a table that is written are of no further use.
-    was = spark.conf.get(_CLEAN_UP, "false")
-    spark.conf.set(_CLEAN_UP, "true")
-    try:
+    with shuffles_dropped(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(_CLEAN_UP, was)
     return spark.read.schema(df.schema).parquet(path)
 
 
