@@ -29,7 +29,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.llm.words import pieces, text_buffer, word_bounds, words_of
@@ -203,18 +203,15 @@ def find_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return rows.mapInArrow(run, _OUT.format(id=kind)).withColumnRenamed("_id", id_col)
 
 
-def planted(text: Column, doc_id: Column) -> Column:
-    """The text of every tenth document (h = crc32 of its id divisible by 10) with
-    a periodic end: word i >= a is word a + (i - a) mod p, where g = floor(h / 10),
-    a = g mod n and p = 1 + floor((n - a) / (3 + g mod 8)). Others as they are, so
-    are those without an id."""
-    h = F.crc32(doc_id.cast("string").cast("binary"))
-    words = words_of(text)
-    n, g = F.size(words), F.floor(h / 10)
-
-    def end(w: Column) -> Column:
-        a = (g % F.size(w)).cast("int")
-        p = (1 + F.floor((F.size(w) - a) / (3 + g % 8))).cast("int")
-        return F.array_join(F.transform(w, lambda x, i: F.when(i < a, x).otherwise(w[a + F.pmod(i - a, p)])), " ")
-
-    return F.when((h % 10 == 0) & (n > 0), end(words)).otherwise(text)
+def planted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id_col`` and ``text_col``, where every tenth document (h = crc32 of its
+    id divisible by 10) has a periodic end: word i >= a is word a + (i - a) mod p
+    with g = floor(h / 10), a = g mod n and p = 1 + floor((n - a) / (3 + g mod 8)).
+    Others are as they are, so are those without an id."""
+    h = F.crc32(F.col(id_col).cast("string").cast("binary"))
+    n, g, a, p = F.size("_w"), F.floor(F.col("_h") / 10), F.col("_a"), F.col("_p")
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), h.alias("_h"), F.when(h % 10 == 0, words_of(F.col(text_col))).alias("_w"))
+    rows = rows.withColumn("_a", F.when(n > 0, g % n).cast("int")).withColumn("_p", (1 + F.floor((n - F.col("_a")) / (3 + g % 8))).cast("int"))
+    again = F.flatten(F.array_repeat(F.slice("_w", a + 1, p), F.ceil((n - a) / p).cast("int")))
+    whole = F.slice(F.concat(F.slice("_w", F.lit(1), a), again), F.lit(1), n)
+    return rows.select(F.col("_id").alias(id_col), F.when(n > 0, F.array_join(whole, " ")).otherwise(F.col("_text")).alias(text_col))

@@ -109,8 +109,7 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    texts = docs.select("doc_id", periodic_runs.planted(F.col("text"), F.col("doc_id")).alias("text"))
+    texts = periodic_runs.planted(documents(spark, sf_dir))
     # The longest run, the first of equals: the least by these keys.
     key = lambda r: F.struct((-r["length"]).alias("n"), r["start"].alias("start"), r["period"].alias("period"))
     line = lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string"))
