@@ -5,6 +5,7 @@ import math
 import random
 import zlib
 from collections import Counter
+from functools import cache
 
 import numpy as np
 import pytest
@@ -124,9 +125,13 @@ def test_vector_codes_of_nothing_and_of_giants(spark):
 # ------------------------------------------------------------ token files
 
 
+@cache
+def library():
+    return Tokenizer.from_file(vocabulary())
+
+
 def plain_ids(text, end_id=1):
-    tokenizer = Tokenizer.from_file(vocabulary())
-    return tokenizer.encode(text or "", add_special_tokens=False).ids + [end_id]
+    return library().encode(text or "", add_special_tokens=False).ids + [end_id]
 
 
 def test_token_files_equal_the_library(spark, tmp_path, monkeypatch):

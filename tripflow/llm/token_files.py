@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripflow.llm.bpe import spread
-from tripflow.llm.words import pieces, shuffles_dropped, text_buffer, word_bounds, written
+from tripflow.llm.words import lowered, pieces, shuffles_dropped, text_buffer, word_bounds, written
 from tripflow.session import ship_package
 
 LANES = 256
@@ -78,10 +78,14 @@ class Table:
                     break
         self.freq, self.first = freq.astype(np.uint64), (np.cumsum(freq) - freq).astype(np.uint64)
         self.common = int(by_size[0]) if total else 0
+        self.place = np.zeros(0, np.int32)
+        if total and int(self.ids[-1]) < 1 << 24:
+            self.place = np.zeros(int(self.ids[-1]) + 1, np.int32)
+            self.place[self.ids] = np.arange(len(self.ids))
         self.crc = zlib.crc32(self.ids.tobytes() + self.freq.tobytes())
 
     def symbols(self, ids: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.ids, ids)
+        return self.place[ids] if len(self.place) else np.searchsorted(self.ids, ids)
 
     def slots(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.ids), dtype=np.int32), self.freq.astype(np.int64))
@@ -211,10 +215,18 @@ END = "</w>"
 TEXT_BYTES = 1 << 21
 
 
+_PLAIN, _MARK = 1, 2
+_KIND = np.zeros(256, dtype=np.uint8)
+_KIND[0x21:0x7F] = _MARK
+_KIND[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = _PLAIN
+
+
 class Tokens:
     """Ids of texts by a ``tokenizers`` file whose pre-tokens hold no white space:
-    words between blanks are encoded once. The ids of all words met lie in one
-    array; ``known`` has each word's number there."""
+    words between blanks are encoded once, in lower case, as the tokenizer makes
+    them, and without the marks behind them, which are a pre-token of their own.
+    The ids of all words met lie in one array; ``known`` has each word's number
+    there. Pieces of text that hold a special token are left as they are."""
 
     def __init__(self, source: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -223,6 +235,7 @@ class Tokens:
         self.tokenizer = Tokenizer.from_str(source)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.special = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         names = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(names.values()) + 1, dtype=bool)
         self.ends[[i for name, i in names.items() if name.endswith(END)]] = True
@@ -269,10 +282,20 @@ class Tokens:
         """Flat ids of some texts, and each text's offsets."""
         import pyarrow as pa
 
+        low = lowered(data)
+        whole = low.tobytes()
         start, end, by_text = word_bounds(data, offsets)
-        size = end - start
-        if not len(size):
+        if not len(start):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
+        if not any(t in whole for t in self.special):
+            data = low
+            # Marks at a word's end, behind an ASCII letter or digit.
+            kind = _KIND[data]
+            last = np.maximum.accumulate(np.where(kind != _MARK, np.arange(len(data)), -1))[end - 1]
+            cut = np.flatnonzero((last < end - 1) & (last >= start) & (kind[last] == _PLAIN))
+            start, end = np.insert(start, cut + 1, last[cut] + 1), np.insert(end, cut, last[cut] + 1)
+            by_text = by_text + np.searchsorted(cut, by_text)
+        size = end - start
         upto = np.concatenate([[0], np.cumsum(size)])
         buffers = [None, pa.py_buffer(upto.astype(np.int64)), pa.py_buffer(data[spread(start, size)])]
         coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), buffers).dictionary_encode()
