@@ -26,6 +26,7 @@ files without documents. Columns other than the id are not returned.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripflow.llm.bpe import spread
-from tripflow.llm.words import lowered, pieces, shuffles_dropped, text_buffer, word_bounds, written
+from tripflow.llm.words import SOLID, lowered, pieces, shuffles_dropped, text_buffer, word_bounds, written
 from tripflow.session import ship_package
 
 LANES = 256
@@ -212,15 +213,52 @@ REMEMBERED_BYTES = 1 << 24
 #: New words that go to the tokenizer as one text, and how a word's last id ends.
 GROUP = 256
 END = "</w>"
-TEXT_BYTES = 1 << 21
+#: Letters below are letters to everyone, and composed.
+LATIN = "\u0250"
+TEXT_BYTES = 1 << 23
 
 
+#: As many marks at a word's end are looked at.
+MARKS = 16
 _PLAIN, _MARK = 1, 2
 _KIND = np.zeros(256, dtype=np.uint8)
 _KIND[0x21:0x7F] = _MARK
 _KIND[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = _PLAIN
 
 
+def simple_spec(source: str) -> str | None:
+    """The tokenizer file for words of small Latin letters, which its normalizer
+    leaves as they are and its pattern leaves whole, so neither is needed; None if
+    the file is of another kind."""
+    spec = json.loads(source)
+    steps = lambda part, name: [x["type"] for x in (spec[part] or {}).get(name, [])]
+    if steps("normalizer", "normalizers") != ["NFC", "Replace", "Lowercase"] or steps("pre_tokenizer", "pretokenizers") != ["Split", "ByteLevel"]:
+        return None
+    split, letters = spec["pre_tokenizer"]["pretokenizers"]
+    if r"[\p{L}]+" not in split["pattern"].get("Regex", "").split("|"):
+        return None
+    spec |= {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, letters]}}
+    return json.dumps(spec)
+
+
+def marks_behind(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words (by number) that end in marks behind an ASCII letter or digit, and
+    where the marks begin. Words of more marks at their end stay whole."""
+    word, at = np.arange(len(end)), end - 1
+    cut, first = [], []
+    for _ in range(MARKS):
+        word, at = word[more := _KIND[data[at]] == _MARK], at[more]
+        at = at - 1
+        word, at = word[more := at >= start[word]], at[more]
+        done = _KIND[data[at]] == _PLAIN
+        cut.append(word[done])
+        first.append(at[done] + 1)
+        word, at = word[~done], at[~done]
+    cut, first = np.concatenate(cut), np.concatenate(first)
+    order = np.argsort(cut, kind="stable")
+    return cut[order], first[order]
+
+
 class Tokens:
     """Ids of texts by a ``tokenizers`` file whose pre-tokens hold no white space:
     words between blanks are encoded once, in lower case, as the tokenizer makes
@@ -235,6 +273,7 @@ class Tokens:
         self.tokenizer = Tokenizer.from_str(source)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.simple = Tokenizer.from_str(simple_spec(source)) if simple_spec(source) else None
         self.special = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         names = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(names.values()) + 1, dtype=bool)
@@ -253,11 +292,11 @@ class Tokens:
         self.known = {w: int(number[k]) for w, k in self.known.items() if stay[k]}
         self.letters = sum(map(len, self.known))
 
-    def each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the words, flat, and how many each has. Words of letters go to
-        the tokenizer as one text: as many word ends as words tell them apart."""
-        if all(map(str.isalpha, words)):
-            text = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids
+    def each(self, words: list[str], simple: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, flat, and how many each has. Simple words go to the
+        tokenizer as one text: as many word ends as words tell them apart."""
+        if simple:
+            text = self.simple.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids
             flat = np.array(text, dtype=np.uint32)
             last = np.flatnonzero(self.ends[flat])
             if len(last) == len(words) and last[-1] == len(flat) - 1:
@@ -268,11 +307,13 @@ class Tokens:
 
     def learn(self, words: list[bytes]) -> None:
         texts = [w.decode() for w in words]
-        plain = [k for k, t in enumerate(texts) if t.isalpha()]
-        other = [k for k, t in enumerate(texts) if not t.isalpha()]
-        found = [self.each([texts[k] for k in some[a: a + GROUP]]) for some in (plain, other) for a in range(0, len(some), GROUP)]
-        words = [words[k] for k in plain + other]
-        self.known.update(zip(words, range(len(self.count), len(self.count) + len(words)), strict=True))
+        easy = [self.simple is not None and t.isalpha() and max(t) < LATIN and t.islower() for t in texts]
+        order, found = [], []
+        for simple in (True, False):
+            own = [k for k, e in enumerate(easy) if e == simple]
+            order += own
+            found += [self.each([texts[k] for k in own[a: a + GROUP]], simple) for a in range(0, len(own), GROUP)]
+        self.known.update(zip([words[k] for k in order], range(len(self.count), len(self.count) + len(words)), strict=True))
         self.ids = np.concatenate([self.ids, *(f[0] for f in found)])
         self.count = np.concatenate([self.count, *(f[1] for f in found)])
         self.hits = np.append(self.hits, np.zeros(len(words), np.int64))
@@ -289,15 +330,12 @@ class Tokens:
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         if not any(t in whole for t in self.special):
             data = low
-            # Marks at a word's end, behind an ASCII letter or digit.
-            kind = _KIND[data]
-            last = np.maximum.accumulate(np.where(kind != _MARK, np.arange(len(data)), -1))[end - 1]
-            cut = np.flatnonzero((last < end - 1) & (last >= start) & (kind[last] == _PLAIN))
-            start, end = np.insert(start, cut + 1, last[cut] + 1), np.insert(end, cut, last[cut] + 1)
+            cut, last = marks_behind(data, start, end)
+            start, end = np.insert(start, cut + 1, last), np.insert(end, cut, last)
             by_text = by_text + np.searchsorted(cut, by_text)
         size = end - start
         upto = np.concatenate([[0], np.cumsum(size)])
-        buffers = [None, pa.py_buffer(upto.astype(np.int64)), pa.py_buffer(data[spread(start, size)])]
+        buffers = [None, pa.py_buffer(upto.astype(np.int64)), pa.py_buffer(data[SOLID[data]])]
         coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), buffers).dictionary_encode()
         met = coded.dictionary.to_pylist()
         if len(self.known) > REMEMBERED_WORDS or self.letters > REMEMBERED_BYTES:
@@ -319,7 +357,7 @@ def squeezed(ids: np.ndarray, kind: str) -> bytes:
     """Ids on their way to the files: narrow, and compressed."""
     import pyarrow as pa
 
-    return pa.compress(ids.astype(kind).tobytes(), codec="zstd", asbytes=True) if len(ids) else b""
+    return pa.compress(ids.astype(kind, copy=False).tobytes(), codec="zstd", asbytes=True) if len(ids) else b""
 
 
 def unsqueezed(data: bytes, n: int, kind: str) -> np.ndarray:
@@ -351,6 +389,7 @@ def tokenize(source, end_id: int | None, kind: str):
                 got = np.bincount(ids, minlength=len(counts))
                 got[: len(counts)] += counts
                 counts = got
+                ids = ids.astype(kind)
                 rows = [squeezed(ids[a:b], kind) for a, b in zip(ends, ends[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(hi - lo, _IDS), pa.int32()), batch.column(0).slice(lo, hi - lo), pa.array(np.diff(ends), pa.int64()), pa.array(rows, pa.binary()),

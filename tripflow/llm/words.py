@@ -22,6 +22,8 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 U64 = np.uint64
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Bytes that belong to a word.
+SOLID = ~_SPACE
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: Odd base of the rolling polynomial and its inverse modulo 2**64.
@@ -147,7 +149,7 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray):
     offsets of each text's words."""
     n = len(data)
     solid = np.zeros(n + 2, dtype=bool)
-    solid[1:-1] = ~_SPACE[data]
+    solid[1:-1] = SOLID[data]
     edge = np.zeros(n + 1, dtype=bool)  # words end where a text ends
     edge[offsets] = True
     start = np.flatnonzero(solid[1:] & (~solid[:-1] | edge))
