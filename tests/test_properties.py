@@ -109,8 +109,10 @@ def test_stream_is_incremental_and_replay_safe(spark):
     bronze_stream.stream_bronze(spark, src, root, ck, LO, HI)
     assert total == (read("bronze").count(), read("quarantine").count())
     # Replaying batch 0 by hand replaces its own partitions instead of appending.
-    files = read("ledger").filter("load_id = 0").select(F.col("file_name").alias("path"))
-    bronze_stream.bronze_batch(spark, root, LO, HI)(files, 0)
+    first = bronze_stream.load_name(bronze_stream.stream_id(spark, ck), 0)
+    files = read("ledger").filter(F.col("load_id") == first).select(F.col("file_name").alias("path"))
+    assert files.count() > 0
+    bronze_stream.bronze_batch(spark, root, LO, HI, ck)(files, 0)
     assert total == (read("bronze").count(), read("quarantine").count())
 
 
@@ -158,11 +160,134 @@ def test_a_corrupt_file_is_set_aside(spark):
     failed = m.io.read("_failed_files").collect()
     assert len(failed) == 1 and "broken.parquet" in failed[0].file_name and failed[0].error
     rows = m.io.read("bronze").count()
+    # The next run tries it again, and finds it mended.
     assert rows > 0 and m.load_bronze(land, LO, HI) == 0
-    # Trying it again runs its load again, which replaces what that loaded.
-    m.retry_failed()
-    m.load_bronze(land, LO, HI)
-    assert m.io.read("_failed_files").count() == 1 and m.io.read("bronze").count() == rows
+    assert m.io.read("_failed_files").select("load_id").distinct().count() == 2
+    raw = fixtures.raw_trips(spark, SMALL).drop("source_file").filter(F.year("tpep_dropoff_datetime") == 1996).limit(7)
+    raw.coalesce(1).write.parquet(f"{root}/mended")
+    import glob
+    import shutil
+
+    shutil.copy(glob.glob(f"{root.removeprefix('file:')}/mended/part-*.parquet")[0], f"{land}/year=1996/broken.parquet")
+    assert m.load_bronze(land, LO, HI) == 1
+    assert m.io.read("bronze").count() == rows + raw.select(*bronze.DEDUP_KEYS).distinct().count()
+    assert m.load_bronze(land, LO, HI) == 0
+
+
+def test_a_file_with_broken_rows_is_set_aside(spark):
+    from tripflow.plans.medallion import Medallion, land_files
+
+    root = scratch_path(spark, "corrupt_rows")
+    land = land_files(fixtures.raw_trips(spark, SMALL).drop("source_file"), f"{root}/landing")
+    m = Medallion(spark, f"{root}/tables")
+    files = [r.file_name for r in landing.landed_files(spark, land).collect()]
+    victim = next(f for f in files if "year=1996" in f)
+    with open(victim.removeprefix("file:"), "r+b") as f:  # the footer stays whole
+        f.seek(8)
+        f.write(b"\xff" * 400)
+    crc = victim.removeprefix("file:").rpartition("/")
+    import os
+
+    if os.path.exists(f"{crc[0]}/.{crc[2]}.crc"):
+        os.remove(f"{crc[0]}/.{crc[2]}.crc")
+    assert m.load_bronze(land, LO, HI) == len(files) - 1
+    assert [r.file_name for r in m.io.read("_failed_files").collect()] == [victim]
+
+
+def test_loads_of_different_sources_stay_apart(spark):
+    from tripflow.plans.medallion import Medallion, land_files
+
+    root = scratch_path(spark, "mixed_test")
+    raw = fixtures.raw_trips(spark, SMALL).drop("source_file")
+    early = F.coalesce(F.year("tpep_dropoff_datetime") < 1997, F.lit(False))
+    lands = [land_files(raw.filter(c), f"{root}/landing_{k}") for k, c in enumerate((early, ~early))]
+    bronze_stream.stream_bronze(spark, lands[0], f"{root}/t", f"{root}/ck1", LO, HI)
+    m = Medallion(spark, f"{root}/t")
+    count = lambda: (m.io.read("bronze").count(), m.ledger.read().count(), m.ledger.read().select("file_name").distinct().count())
+    before = count()
+    assert before[0] > 0
+    assert m.load_bronze(lands[1], LO, HI) > 0
+    both = count()
+    assert both[0] > before[0] and both[1] == both[2] > before[1]
+    # The same folder by a new stream, and by a batch load: committed already.
+    bronze_stream.stream_bronze(spark, lands[0], f"{root}/t", f"{root}/ck2", LO, HI)
+    assert m.load_bronze(lands[0], LO, HI) == 0 and count() == both
+
+
+def test_only_changed_folders_are_listed(spark):
+    from tripflow.plans.medallion import Medallion, land_files
+    from tripflow.sources import loading
+    from tripflow.sources.storage import Storage
+
+    root = scratch_path(spark, "listing")
+    raw = fixtures.raw_trips(spark, SMALL).drop("source_file")
+    land = land_files(raw, f"{root}/landing")
+    store = Storage(spark)
+    files, marks, listed = store.changed(land, {}, settled_ms=-1)
+    folders = len({f.rpartition("/")[0] for f in files}) + 1
+    assert listed == folders == len(marks) and {f for f in files if f.endswith(".parquet")} == {r.file_name.replace("file:///", "file:/") for r in landing.landed_files(spark, land).collect()}
+    assert store.changed(land, marks, settled_ms=-1) == ([], marks, 0)
+    raw.limit(3).coalesce(1).write.mode("append").parquet(f"{land}/year=1996")
+    raw.limit(3).coalesce(1).write.parquet(f"{land}/year=new/month=1")
+    again, _, listed = store.changed(land, marks, settled_ms=-1)
+    assert listed == 4  # the root, year=1996, year=new, month=1
+    assert {f.rpartition("/")[0].rpartition("listing")[2].partition("/landing/")[2] for f in again} == {"year=1996", "year=new/month=1"}
+    # A crash between plan and marks: the next run lists again and plans nothing twice.
+    m = Medallion(spark, f"{root}/tables")
+    loading.plan_landing(m.io, land, 4)
+    m.io.overwrite(m.io.read("_landing_folders").limit(0), "_landing_folders", "landing")
+    n = landing.landed_files(spark, land).count()
+    assert len(loading.open_loads(m.io)) > 1
+    assert m.load_bronze(land, LO, HI, files_a_load=4) == n and m.load_bronze(land, LO, HI) == 0
+    assert m.ledger.read().count() == m.ledger.read().select("file_name").distinct().count() == n
+
+
+def test_footers_are_read_by_executors(spark, monkeypatch):
+    root = scratch_path(spark, "footers")
+    raw = fixtures.raw_trips(spark, SMALL).drop("source_file").limit(40)
+    for k in range(6):
+        raw.withColumn("passenger_count", F.col("passenger_count").cast("double" if k % 2 else "long")).coalesce(1).write.parquet(f"{root}/{k}")
+    files = [r.file_name for r in landing.landed_files(spark, root).collect()]
+    asked = []
+    real = landing._own_schema
+    monkeypatch.setattr(landing, "_own_schema", lambda s, p: asked.append(p) or real(s, p))
+    schemas, failed = landing.read_schemas(spark, files)
+    assert not failed and len(asked) == 2 and len(schemas) == 6
+    assert all(schemas[f]["passenger_count"].dataType.simpleString() == ("double" if int(f.split("/")[-2]) % 2 else "bigint") for f in files)
+
+
+def test_a_schema_that_is_half_written_is_not_seen(spark, monkeypatch):
+    from tripflow.sources.storage import Storage
+
+    io = tables.TableIO(spark, scratch_path(spark, "io_schema"))
+    df = spark.createDataFrame([(1, "a")], "x INT, y STRING")
+    io.overwrite(df, "t")
+    jobs = spark.sparkContext.statusTracker()
+    assert io.schema("t").names == ["x", "y"]
+
+    def crash(self, path, text):
+        raise OSError("lost")
+
+    with monkeypatch.context() as mp:
+        mp.setattr(Storage, "write_text", crash)
+        io.overwrite(df, "t")  # nothing to write: the schema is the same
+        with pytest.raises(OSError):
+            io.append(df.withColumn("z", F.lit(1)), "t")
+    assert io.read("t").columns == ["x", "y"] and io.read("t").count() == 1 and jobs is not None
+    io.append(df.withColumn("z", F.lit(1)), "t")
+    assert io.read("t").columns == ["x", "y", "z"] and io.read("t").filter("z IS NULL").count() == 1
+
+
+def test_row_counts_are_observed_not_read(spark):
+    from tripflow.plans.medallion import Medallion, land_files
+    from tripflow.sources import loading
+
+    root = scratch_path(spark, "observed")
+    land = land_files(fixtures.raw_trips(spark, SMALL).drop("source_file"), f"{root}/landing")
+    m = Medallion(spark, f"{root}/tables")
+    m.load_bronze(land, LO, HI, files_a_load=5)
+    got = {r.stage: r.row_count for r in loading.row_counts(m.io).collect()}
+    assert got["bronze"] == m.io.read("bronze").count() > 0 and got["quarantine"] == m.io.read("quarantine").count() > 0
 
 
 def test_tables_without_rows_and_with_fewer_partitions(spark):

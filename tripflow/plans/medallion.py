@@ -18,8 +18,7 @@ from pyspark.sql import functions as F
 from tripflow.operators import evaluate, forecast, gold, model, platinum, silver
 from tripflow.operators.bronze import DEDUP_KEYS
 from tripflow.session import ensure_conf
-from tripflow.sources import landing
-from tripflow.sources.loading import create_tables, load_files, plan_load
+from tripflow.sources.loading import committed, create_tables, open_loads, plan_landing, run_loads
 from tripflow.sources.tables import TableIO
 
 
@@ -37,24 +36,17 @@ class Medallion:
     def load_bronze(self, landing_path: str, lo: int, hi: int, files_a_load: int = 256) -> int:
         """Load landed files not yet in the ledger (S15) in loads of bounded
         size: schema-group read (S2), split and dedup, Bronze, quarantine,
-        files that failed, then the ledger. A load that was cut off is run
-        again first. Returns the number of files loaded."""
-        done = 0
-        while True:
-            landed = landing.landed_files(self.spark, landing_path)
-            load_id, files = plan_load(self.io, landed, files_a_load)
-            if not files:
-                return done
-            done += len(files) - len(load_files(self.io, files, load_id, lo, hi))
-
-    def retry_failed(self) -> None:
-        """Forget which files failed, so that the next load tries them."""
-        self.io.overwrite(self.io.read("_failed_files").limit(0), "_failed_files")
+        files that failed, then the ledger. Loads that were cut off are run
+        again first; files that failed in earlier runs are tried once more.
+        Returns the number of files loaded."""
+        done = run_loads(self.io, open_loads(self.io), lo, hi)
+        plan_landing(self.io, landing_path, files_a_load)
+        return done + run_loads(self.io, open_loads(self.io), lo, hi)
 
     # ------------------------------------------------------------ Silver
     def build_silver(self) -> str:
         """The whole table anew: years without rows any more go."""
-        trips = silver.silver_transform(self.io.read("bronze").drop("load_id"))
+        trips = silver.silver_transform(committed(self.io, "bronze").drop("load_id"))
         return self.io.overwrite(trips, "silver", partition_by="trip_year")
 
     def silver(self) -> DataFrame:

@@ -570,6 +570,7 @@ add("new_files", [T], f"SELECT * FROM ({FOLDERS}) f WHERE folder <> 'year=1992'"
 add("file_ledger", [T], f"SELECT folder, CAST(1 AS BIGINT) AS times_listed, true AS not_after_latest FROM ({FOLDERS}) f")
 ORACLE["stream_bronze"] = f"SELECT * EXCLUDE (source_file) FROM ({ORACLE['dedup_trips']}) d"
 ORACLE["stream_replay"] = ORACLE["stream_bronze"]
+ORACLE["mixed_loads"] = ORACLE["stream_bronze"]
 ORACLE["stream_quarantine"] = f"SELECT * EXCLUDE (source_file) FROM ({ORACLE['quarantine_table']}) d"
 
 # ------------------------------------------------------------- model: keys, and flags that must hold

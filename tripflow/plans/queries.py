@@ -1023,8 +1023,29 @@ def q_stream_quarantine(spark, sf):
 def q_stream_replay(spark, sf):
     """A batch that is run again replaces itself."""
     root, t = _streamed(spark, sf)
-    first = bronze_stream.read_table(spark, t["ledger"]).filter("load_id = 0").select(F.col("file_name").alias("path"))
-    bronze_stream.bronze_batch(spark, root, LO, HI)(first, 0)
+    checkpoint = f"{root}/_checkpoint"
+    load_id = bronze_stream.load_name(bronze_stream.stream_id(spark, checkpoint), 0)
+    first = bronze_stream.read_table(spark, t["ledger"]).filter(F.col("load_id") == load_id).select(F.col("file_name").alias("path"))
+    bronze_stream.bronze_batch(spark, root, LO, HI, checkpoint)(first, 0)
+    return _stream_rows(spark, t["bronze"]).drop("folder")
+
+
+def _land_halves(spark, sf) -> list:
+    """Fixture T landed in two places, by dropoff year."""
+    raw = fixtures.raw_trips(spark, sf).drop("source_file")
+    early = F.coalesce(F.year("tpep_dropoff_datetime") < 1997, F.lit(False))
+    return [land_files(raw.filter(c), scratch_path(spark, "landing")) for c in (early, ~early)]
+
+
+@register("mixed_loads")
+def q_mixed_loads(spark, sf):
+    """A stream, a batch load of another folder, and the stream started
+    anew, all on the same tables: nobody's rows go and none are there twice."""
+    root = scratch_path(spark, "mixed")
+    first, second = _land_halves(spark, sf)
+    t = bronze_stream.stream_bronze(spark, first, root, f"{root}/_checkpoint_1", LO, HI)
+    Medallion(spark, root).load_bronze(second, LO, HI)
+    bronze_stream.stream_bronze(spark, first, root, f"{root}/_checkpoint_2", LO, HI)
     return _stream_rows(spark, t["bronze"]).drop("folder")
 
 

@@ -3,13 +3,13 @@
 Monthly files drift in schema (a column spelled ``Airport_fee``, a count
 stored as DOUBLE). One read over mixed physical types fails, so
 ``read_landing_files`` reads each *schema group* once and aligns the groups
-by name. Loads hand it bounded lists of files; footers are read several at a
-time.
+by name. Loads hand it bounded lists of files. New files are found by listing
+only the folders that changed since they were last listed.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import re
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.operators.bronze import enforce_schema
+from tripflow.sources.storage import Storage
 
 # Landed file naming (``year=YYYY/yellow_tripdata_YYYY-MM.parquet``).
 LANDED_NAME = r"^yellow_tripdata_(.*)\.parquet$"
@@ -34,32 +35,65 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
     return _with_source(spark.read.option("mergeSchema", True).parquet(path))
 
 
-#: Files whose footers, or rows, are read at the same time.
-AT_ONCE = 16
-
-
-def each_file(paths: list[str], work) -> tuple[dict, dict[str, str]]:
-    """``work`` of every file: what it returned, and the first line of the
-    error where reading the file failed."""
-    def attempt(path):
-        try:
-            return path, work(path), None
-        except (PySparkException, Py4JJavaError) as e:
-            return path, None, (str(e).strip().splitlines() or [type(e).__name__])[0][:500]
-
-    with ThreadPoolExecutor(AT_ONCE) as pool:
-        done = list(pool.map(attempt, paths))
-    return {p: out for p, out, e in done if e is None}, {p: e for p, _, e in done if e is not None}
+#: Files whose footers one task reads.
+FILES_A_TASK = 32
+_FOOTERS = "file_name STRING, footer STRING, error STRING"
+
+
+def _footers(batches):
+    """Each file's physical schema, with what its writer noted, or the error.
+    ``error`` is empty where this worker knows no such storage."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    for batch in batches:
+        names, footers, errors = batch.column(0).to_pylist(), [], []
+        for name in names:
+            footer = error = None
+            try:
+                store, path = fs.FileSystem.from_uri(re.sub(r"^s3an?:", "s3:", name))
+            except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+                error = ""
+            else:
+                try:
+                    about = pq.read_metadata(path, filesystem=store)
+                    footer = f"{about.schema}{(about.metadata or {}).get(b'org.apache.spark.sql.parquet.row.metadata', b'')!r}"
+                    footer = footer[footer.index("\n"):]  # the first line has an address
+                except (pa.ArrowException, OSError) as e:
+                    error = f"{type(e).__name__}: {e}"[:500]
+            footers.append(footer)
+            errors.append(error)
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in (names, footers, errors)], names=["file_name", "footer", "error"])
+
+
+def _own_schema(spark: SparkSession, path: str):
+    try:
+        return spark.read.parquet(path).schema, None
+    except (PySparkException, Py4JJavaError) as e:
+        return None, (str(e).strip().splitlines() or [type(e).__name__])[0][:500]
 
 
 def read_schemas(spark: SparkSession, paths: list[str]) -> tuple[dict, dict[str, str]]:
-    """Each file's schema from its footer, and the files without one."""
-    return each_file(paths, lambda p: spark.read.parquet(p).schema)
-
-
-def unreadable(spark: SparkSession, paths: list[str]) -> dict[str, str]:
-    """Files whose rows can't be read through, with the error."""
-    return each_file(paths, lambda p: spark.read.parquet(p).write.format("noop").mode("overwrite").save())[1]
+    """Each file's schema from its footer, and the files without one, with the
+    error. Footers are read by the executors; the driver asks Spark for one file of
+    each distinct footer (and for files in a store that only Spark reads)."""
+    names = spark.createDataFrame([(p,) for p in paths], "file_name STRING")
+    read = names.repartition(max(1, -(-len(paths) // FILES_A_TASK))).mapInArrow(_footers, _FOOTERS).collect()
+    schemas, failed, of = {}, {}, {}
+    for r in read:
+        key = r.footer if r.footer is not None else r.file_name
+        if r.error:
+            failed[r.file_name] = r.error
+            continue
+        if key not in of:
+            of[key] = _own_schema(spark, r.file_name)
+        schema, error = of[key]
+        if schema is None:
+            failed[r.file_name] = error
+        else:
+            schemas[r.file_name] = schema
+    return schemas, failed
 
 
 def read_landing_files(spark: SparkSession, paths, schemas: dict | None = None) -> DataFrame:
@@ -96,6 +130,14 @@ def landed_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> Dat
     )
 
 
+def changed_files(spark: SparkSession, path: str, marks: dict[str, int]) -> tuple[list[str], dict[str, int], int]:
+    """Parquet files of the folders that changed since ``marks``, the new
+    marks, and how many folders were listed. A landing area grows by files and
+    folders; folders that nothing came to cost one look at their time."""
+    files, marks, listed = Storage(spark).changed(path, marks)
+    return [f for f in files if f.endswith(".parquet")], marks, listed
+
+
 def new_files(landed: DataFrame, ledger: DataFrame, col: str = "file_name") -> DataFrame:
     """Landed files not yet in the ledger."""
     return landed.join(ledger.select(col), on=col, how="left_anti")

@@ -3,7 +3,9 @@
 Parquet directories stand in for the managed tables (no transactional format is
 installed). A table's schema is kept beside the tables and grows with columns
 that later writes bring, so a read needs no footers and an empty table has its
-columns. A full overwrite replaces a table; an overwrite of partitions replaces
+columns. Each change of a schema is a new small file, renamed into place by the
+storage layer without a Spark job: a reader or a crash in between finds the one
+before. A full overwrite replaces a table; an overwrite of partitions replaces
 only those that the new rows have.
 
 Partitioned writes cluster rows by the partition column with the ``REBALANCE``
@@ -17,58 +19,56 @@ from __future__ import annotations
 
 import json
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampType
+
+from tripflow.sources.storage import Storage
 
 LEDGER_SCHEMA = StructType(
     [
         StructField("file_name", StringType(), True),
         StructField("processed_time", TimestampType(), True),
-        StructField("load_id", LongType(), True),
+        StructField("load_id", StringType(), True),
     ]
 )
 
 
-def missing(error: AnalysisException) -> bool:
-    return error.getCondition() == "PATH_NOT_FOUND"
-
-
 class TableIO:
     """Tables as Parquet directories under one root."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
+        self.storage = Storage(spark)
         self.root = root.rstrip("/")
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     # ------------------------------------------------------------ schemas
-    def _schema_path(self, name: str) -> str:
+    def _schema_folder(self, name: str) -> str:
         return f"{self.root}/_schemas/{name}"
 
+    def _schema(self, name: str) -> tuple[int, StructType | None]:
+        """The number of the last schema file (0: none) and what it says."""
+        files = [n for n in self.storage.names(self._schema_folder(name)) if n.endswith(".json")]
+        if not files:
+            return 0, None
+        return int(files[-1][1:-5]), StructType.fromJson(json.loads(self.storage.read_text(f"{self._schema_folder(name)}/{files[-1]}")))
+
     def schema(self, name: str) -> StructType | None:
         """The declared schema, or None of a table that nobody wrote."""
-        try:
-            line = self.spark.read.text(self._schema_path(name)).first()
-        except AnalysisException as e:
-            if not missing(e):
-                raise
-            return None
-        return StructType.fromJson(json.loads(line[0]))
+        return self._schema(name)[1]
 
     def declare(self, name: str, schema: StructType, replace: bool = False) -> None:
         """Record the columns of a table; new ones join those it has. Runs
         before the data are written: a column without data reads as NULL."""
-        known = None if replace else self.schema(name)
-        fields = list(known.fields) if known else []
+        version, known = self._schema(name)
+        fields = list(known.fields) if known and not replace else []
         there = {f.name for f in fields}
         fields += [StructField(f.name, f.dataType, True) for f in schema.fields if f.name not in there]
-        if known is None or len(fields) > len(known.fields):
-            line = json.dumps(StructType(fields).jsonValue())
-            self.spark.createDataFrame([(line,)], "value STRING").coalesce(1).write.mode("overwrite").text(self._schema_path(name))
+        if known is None or fields != known.fields:
+            self.storage.write_text(f"{self._schema_folder(name)}/v{version + 1:08d}.json", json.dumps(StructType(fields).jsonValue()))
 
     def create(self, name: str, schema: StructType) -> None:
         """An empty table, if there is none."""
@@ -94,11 +94,14 @@ class TableIO:
         w.parquet(self.path(name))
         return self.path(name)
 
-    def overwrite(self, df: DataFrame, name: str, partition_by=None, only_partitions: bool = False) -> str:
+    def overwrite(self, df: DataFrame, name: str, partition_by=None, only_partitions: bool = False, observe=None) -> str:
         """Replace the table, or (``only_partitions``) just the partitions
-        that ``df`` has rows for."""
+        that ``df`` has rows for. ``observe``: an Observation that gets ``n``, the
+        rows written, counted by the writing tasks themselves (tasks before the
+        last shuffle may run twice)."""
         self.declare(name, df.schema, replace=not only_partitions)
-        w = _cluster(df, partition_by).write.mode("overwrite")
+        rows = _cluster(df, partition_by)
+        w = (rows if observe is None else rows.observe(observe, F.count(F.lit(1)).alias("n"))).write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*_as_list(partition_by))
         w.option("partitionOverwriteMode", "dynamic" if only_partitions else "static").parquet(self.path(name))
@@ -151,9 +154,9 @@ class FileLedger:
     def read(self) -> DataFrame:
         return self.io.read(self.name)
 
-    def append(self, files: DataFrame, col: str = "file_name", load_id: int = 0) -> None:
-        """Record ``files`` (a DataFrame of names) as processed now."""
-        rows = files.select(F.col(col).alias("file_name"), F.current_timestamp().alias("processed_time"), F.lit(load_id).cast("long").alias("load_id"))
+    def append(self, files: DataFrame, col: str = "file_name", load_id: str = "0") -> None:
+        """Record ``files`` (a DataFrame of names) as processed now by a load."""
+        rows = files.select(F.col(col).alias("file_name"), F.current_timestamp().alias("processed_time"), F.lit(str(load_id)).alias("load_id"))
         self.io.overwrite(rows, self.name, partition_by="load_id", only_partitions=True)
 
     def latest(self) -> DataFrame:
