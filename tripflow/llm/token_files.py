@@ -208,14 +208,14 @@ def read_bytes(data, table: Table, slots: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 #: What a task remembers of the words it has met.
-REMEMBERED_WORDS = 500_000
+REMEMBERED_WORDS = 400_000
 REMEMBERED_BYTES = 1 << 24
 #: New words that go to the tokenizer as one text, and how a word's last id ends.
 GROUP = 256
 END = "</w>"
 #: Letters below are letters to everyone, and composed.
 LATIN = "\u0250"
-TEXT_BYTES = 1 << 23
+TEXT_BYTES = 1 << 22
 
 
 #: As many marks at a word's end are looked at.
