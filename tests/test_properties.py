@@ -349,7 +349,7 @@ def test_views_are_in_order(spark):
 def small_model(spark):
     series = inputs.demand_series(spark, SMALL).persist()
     train, test = evaluate.time_split(series, 7)
-    p = model.ModelParams(max_iter=4, max_depth=3)
+    p = model.ModelParams(max_rounds=4, num_leaves=8)
     tm = model.train_demand_model(train, test, p)
     path = scratch_path(spark, "test_model")
     model.save_model(tm, path)
@@ -370,10 +370,10 @@ def test_model_reload_scores_equal(spark, small_model):
     assert len(imp) == len(model.FEATURE_COLS) and abs(sum(r.importance for r in imp) - 1) < 1e-6
 
 
-def test_exported_trees_equal_model_transform(spark, small_model):
+def test_saved_trees_equal_the_scores(spark, small_model):
     _, _, test, tm, path = small_model
-    trees = forecast.export_trees(tm.model, path)
-    labels = {lbl: i for i, lbl in enumerate(tm.model.stages[0].labels)}
+    trees = model.load_model(path)
+    labels = {lbl: i for i, lbl in enumerate(trees.labels)}
     rows = model.score(tm.model, test).toPandas()
     x = rows[model.FEATURE_COLS].astype(float).to_numpy()
     x[:, 0] = [labels.get(str(z), len(labels)) for z in rows["pu_location_id"]]
@@ -392,8 +392,8 @@ def test_forecast_equals_plain_steps(spark, small_model):
     gap = hour == F.lit(last) - F.make_dt_interval(F.lit(0), F.lit(30))
     two = two.filter((F.col("pu_location_id") == zones[0]) | recent).withColumn("trip_count", F.when(~gap, F.col("trip_count")))
     fc = forecast.forecast(tm.model, path, two, hours=200).toPandas().sort_values(["pu_location_id", "datetime"])
-    trees = forecast.export_trees(tm.model, path)
-    labels = list(tm.model.stages[0].labels)
+    trees = model.load_model(path)
+    labels = trees.labels
     calendar = forecast.horizon_calendar(spark, forecast.forecast_start(two), 200)
     history = demand.with_series_ts(forecast.seed_rows(two)).select("pu_location_id", "datetime", "trip_count", *forecast.AVG_COLS).toPandas()
     for zone in zones:
@@ -412,20 +412,6 @@ def test_forecast_equals_plain_steps(spark, small_model):
             known.append(y)
 
 
-def test_rounds_and_cut(spark, small_model):
-    _, _, test, tm, _ = small_model
-    assert model.best_round([5, 4, 3, 4, 5, 6, 1], patience=3) == 3
-    assert model.best_round([5, 4, 3, 4, 5, 6, 1], patience=9) == 7
-    gbt = model.gbt_stage(tm.model)
-    short = model.cut_ensemble(gbt, 2)
-    assert short.getNumTrees == 2 and model.cut_ensemble(gbt, 99) is gbt
-    prep = tm.model.stages[:2]
-    x = prep[1].transform(prep[0].transform(test.withColumn("trip_count", F.col("trip_count").cast("double"))))
-    two = short.evaluateEachIteration(x, "squared")
-    assert abs(two[1] - gbt.evaluateEachIteration(x, "squared")[1]) < 1e-9
-    assert short.transform(x).columns[-1] == "raw_prediction"
-
-
 @pytest.mark.parametrize("leak_free", [False, True])
 def test_model_beats_last_week_on_busy_zones(spark, leak_free):
     """Counts in the hundreds with a daily shape, a trend and noise."""
@@ -443,13 +429,14 @@ def test_model_beats_last_week_on_busy_zones(spark, leak_free):
             rows.append((zone, t.date(), t.hour, max(0, int(level)), 10.0, 2.0, 1.5))
     base = spark.createDataFrame(rows, "pu_location_id BIGINT, trip_date DATE, pickup_hour INT, trip_count BIGINT, avg_fare DOUBLE, avg_distance DOUBLE, avg_passengers DOUBLE")
     series = platinum.add_lags(platinum.add_series_calendar(base))
-    params = model.ModelParams.leak_free(max_iter=60, max_depth=5, step_size=0.2, patience=20) if leak_free else model.ModelParams(max_iter=60, max_depth=5, step_size=0.2, patience=20)
+    how = {"learning_rate": 0.2, "patience": 10, "num_leaves": 31}
+    params = model.ModelParams.leak_free(**how) if leak_free else model.ModelParams(**how)
     if leak_free:
         series = model.add_lagged_averages(series)
     train, test = evaluate.time_split(series, 7)
     fit, valid = model.validation_split(train, 4) if leak_free else (train, test)
     tm = model.train_demand_model(fit, valid, params)
-    assert tm.best_iteration < params.max_iter == 60
+    assert len(tm.validation_loss) == tm.best_iteration + params.patience < params.max_rounds
     mine = evaluate.forecast_metrics(evaluate.prediction_frame(model.score(tm.model, test))).first()
     naive = evaluate.forecast_metrics(evaluate.prediction_frame(evaluate.seasonal_naive(test))).first()
     assert mine.mae < naive.mae and mine.rmse < naive.rmse
@@ -526,8 +513,8 @@ def test_medallion_end_to_end(spark):
     m2.build_silver()
     m2.build_platinum()
     assert m2.demand_series().count() > 0
-    m2.train_and_evaluate(7, model.ModelParams.leak_free(max_iter=2, max_depth=2))
-    trained, path = m2.train_and_evaluate(7, model.ModelParams(max_iter=3, max_depth=3))
+    m2.train_and_evaluate(7, model.ModelParams.leak_free(max_rounds=2, num_leaves=4))
+    trained, path = m2.train_and_evaluate(7, model.ModelParams(max_rounds=3, num_leaves=8))
     m2.build_forecast(trained, path, hours=48)
     assert m2.io.read("forecast").count() == 48 * m2.demand_series().select("pu_location_id").distinct().count()
 
@@ -546,7 +533,7 @@ def test_leak_free_model_trains_and_forecasts(spark):
     series = model.add_lagged_averages(inputs.demand_series(spark, SMALL))
     train, test = evaluate.time_split(series, 7)
     fit, valid = model.validation_split(train, 3)
-    p = model.ModelParams.leak_free(max_iter=3, max_depth=3)
+    p = model.ModelParams.leak_free(max_rounds=3, num_leaves=8)
     tm = model.train_demand_model(fit, valid, p)
     assert "avg_fare" not in model.model_features(tm.model)
     assert "avg_fare_lag_1h" in model.model_features(tm.model)

@@ -3,10 +3,8 @@
 Step t of the forecast needs the prediction of step t-1 (it feeds the lag
 features), so the horizon is sequential, but zones are independent. Zones are
 dealt to tasks; a task holds its zones' hours as the rows of one array, seed
-hours first, and advances all of them one hour at a time. An MLlib model cannot
-be called from a Python worker, so the fitted trees are exported once as small
-NumPy arrays (bounded by trees x 2^(depth+1) nodes) and shipped with the
-function, like the calendar of the horizon.
+hours first, and advances all of them one hour at a time. The saved trees are read
+once (bounded by trees x leaves) and broadcast, like the calendar of the horizon.
 
 A group holds ``ZONES_PER_TASK`` zones' seeds (at most ``seed_rows`` hours each)
 and emits ``hours`` rows for each, so its size is bounded by parameters, not by
@@ -15,16 +13,14 @@ data volume.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 import numpy as np
 import pandas as pd
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripflow.functions.columns import month_label
-from tripflow.operators.model import ZONE_INDEX, gbt_stage, model_features
+from tripflow.operators.boosting import Ensemble
+from tripflow.operators.model import ZONE_INDEX, load_model
 from tripflow.operators.platinum import LAGS, ZONE, add_series_calendar, one_hour, series_ts
 from tripflow.session import ship_package
 
@@ -39,85 +35,6 @@ ZONES_PER_TASK = 16
 AVG_COLS = ("avg_fare", "avg_distance", "avg_passengers")
 
 
-@dataclass
-class TreeArrays:
-    """A tree ensemble as padded node tables (trees x nodes)."""
-
-    feature: np.ndarray  # split feature index, -1 at leaves
-    threshold: np.ndarray  # continuous threshold
-    is_cat: np.ndarray  # categorical split?
-    cat_left: np.ndarray  # trees x nodes x categories, True = go left
-    left: np.ndarray
-    right: np.ndarray
-    value: np.ndarray  # node prediction
-    weight: np.ndarray  # tree weights
-    depth: int
-
-    def predict(self, x: np.ndarray) -> np.ndarray:
-        """Predictions of the rows of ``x``: all trees step down at once."""
-        rows, trees = np.arange(len(x))[:, None], np.arange(self.feature.shape[0])[None, :]
-        node = np.zeros((len(x), self.feature.shape[0]), dtype=np.int64)
-        for _ in range(self.depth + 1):
-            split = self.feature[trees, node]
-            inner = split >= 0
-            value = x[rows, np.where(inner, split, 0)]
-            category = np.clip(value.astype(np.int64), 0, self.cat_left.shape[2] - 1)
-            to_left = np.where(self.is_cat[trees, node], self.cat_left[trees, node, category], value <= self.threshold[trees, node])
-            child = np.where(to_left, self.left[trees, node], self.right[trees, node])
-            node = np.where(inner, child, node)
-        return self.value[trees, node] @ self.weight
-
-
-def export_trees(model: PipelineModel, path: str) -> TreeArrays:
-    """Read the saved ensemble's node table (small: one row per node).
-
-    Paths go through Spark's reader (Hadoop globbing), so the model may live
-    on any filesystem the cluster can read."""
-    spark = SparkSession.getActiveSession()
-    base = f"{path.rstrip('/')}/stages/*GBT*"
-    nodes = (
-        spark.read.parquet(f"{base}/data")
-        .select(
-            "treeID",
-            "nodeData.id",
-            "nodeData.prediction",
-            "nodeData.leftChild",
-            "nodeData.rightChild",
-            "nodeData.split.featureIndex",
-            "nodeData.split.leftCategoriesOrThreshold",
-            "nodeData.split.numCategories",
-        )
-        .toPandas()
-    )
-    weights = (
-        spark.read.parquet(f"{base}/treesMetadata").orderBy("_1").toPandas()["_3"].to_numpy()
-    )
-    n_trees = int(nodes["treeID"].max()) + 1
-    n_nodes = int(nodes["id"].max()) + 1
-    n_cats = max(2, int(nodes["numCategories"].max()) + 1)
-    feat = np.full((n_trees, n_nodes), -1, np.int64)
-    thr = np.zeros((n_trees, n_nodes))
-    is_cat = np.zeros((n_trees, n_nodes), bool)
-    cat_left = np.zeros((n_trees, n_nodes, n_cats), bool)
-    left = np.zeros((n_trees, n_nodes), np.int64)
-    right = np.zeros((n_trees, n_nodes), np.int64)
-    value = np.zeros((n_trees, n_nodes))
-    for r in nodes.itertuples(index=False):
-        t, i = int(r.treeID), int(r.id)
-        value[t, i] = r.prediction
-        left[t, i], right[t, i] = max(r.leftChild, 0), max(r.rightChild, 0)
-        if r.leftChild >= 0:
-            feat[t, i] = r.featureIndex
-            vals = list(r.leftCategoriesOrThreshold)
-            if r.numCategories >= 0:
-                is_cat[t, i] = True
-                cat_left[t, i, [int(v) for v in vals]] = True
-            else:
-                thr[t, i] = vals[0]
-    depth = gbt_stage(model).getMaxDepth()
-    return TreeArrays(feat, thr, is_cat, cat_left, left, right, value, weights, depth=depth)
-
-
 def seed_rows(series: DataFrame, n: int = SEED_ROWS) -> DataFrame:
     """Each zone's last ``n`` hours."""
     w = Window.partitionBy(ZONE).orderBy(F.col("trip_date").desc(), F.col("pickup_hour").desc())
@@ -150,7 +67,7 @@ def horizon_calendar(spark: SparkSession, start, hours: int) -> pd.DataFrame:
     return future_grid(one, start, hours).orderBy("datetime").drop(ZONE).toPandas()
 
 
-def make_forecaster(trees: TreeArrays, features: list, zone_labels: list, calendar: pd.DataFrame):
+def make_forecaster(trees: Ensemble, features: list, zone_labels: list, calendar: pd.DataFrame):
     """The function over one task's zones run by ``applyInPandas``.
 
     M8: a lag that the array doesn't hold, or holds as missing, is the last
@@ -207,8 +124,8 @@ FORECAST_SCHEMA = (
 
 
 def forecast(
-    model: PipelineModel,
-    model_path: str,
+    model: Ensemble,
+    model_path: str | None,
     series: DataFrame,
     hours: int = HORIZON_HOURS,
     seed: int = SEED_ROWS,
@@ -216,13 +133,13 @@ def forecast(
     """M7: recursive hourly forecast for every zone, with the lags and means
     each hour was predicted from.
 
-    The driver reads the exported trees, the number of zones and the calendar
-    of the horizon (``hours`` rows).
+    The driver reads the saved trees (``model_path``; ``model`` where it is None),
+    the number of zones and the calendar of the horizon (``hours`` rows).
     """
     spark = series.sparkSession
-    trees = export_trees(model, model_path)
+    trees = load_model(model_path) if model_path else model
     calendar = horizon_calendar(spark, forecast_start(series), hours)
-    fn = make_forecaster(trees, model_features(model), list(model.stages[0].labels), calendar)
+    fn = make_forecaster(trees, trees.features, trees.labels, calendar)
     tasks = max(1, -(-series.select(ZONE).distinct().count() // ZONES_PER_TASK))
     seeds = seed_rows(series, seed).select(
         ZONE, "trip_date", "pickup_hour", "trip_count", *AVG_COLS,

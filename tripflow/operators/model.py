@@ -1,30 +1,25 @@
 """Global demand model: one gradient-boosted tree ensemble for all zones.
 
-MLlib's ``GBTRegressor`` trains distributed over the feature rows; the zone
-id enters as a categorical feature through ``StringIndexer`` metadata, so the
-trees split on zone sets instead of a one-hot explosion.
-
-Differences from the single-machine trainer this replaces (stated, not
-hidden): MLlib grows depth-wise trees (depth 7 ~ 127 leaves) and has no L1/L2
-leaf penalty. Trees fit the squared error, whose leaves are the residual means,
-so a round moves a prediction by a share of what is missing, whatever the size
-of the counts. All rounds up to the bound are grown; the validation loss of each
-is read off, the best round before ``patience`` rounds without a better one is
-chosen, and the fitted ensemble is cut there.
+``boosting`` grows the trees over the feature rows, leaf-wise for the absolute
+error, with the settings of the single-machine trainer that this replaces; the zone
+is a categorical feature, so trees split on sets of zones instead of a one-hot
+explosion. Growing stops ``patience`` rounds after the best on the validation rows,
+and the ensemble is cut there.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.ml import PipelineModel
+import pandas as pd
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.functions.columns import clip_nonneg
+from tripflow.operators import boosting
 from tripflow.operators.platinum import ZONE
+from tripflow.session import ship_package
 
 # The model's feature list (zone first, categorical) and target.
 FEATURE_COLS = [
@@ -52,21 +47,9 @@ ZONE_INDEX = "zone_index"
 
 
 @dataclass
-class ModelParams:
-    """Boosting settings. ``max_iter`` bounds the rounds (each is a handful of
-    distributed jobs); ``patience`` is how many rounds without a better
-    validation loss end the search for the best one."""
-
-    max_iter: int = 100
-    patience: int = 50
-    step_size: float = 0.1
-    max_depth: int = 7
-    min_instances_per_node: int = 20
-    subsampling_rate: float = 0.8
-    feature_subset: str = "0.8"
-    seed: int = 42
-    loss: str = "squared"
-    early_stop: bool = True
+class ModelParams(boosting.Settings):
+    """Boosting settings and the model's features."""
+
     features: list = field(default_factory=lambda: list(FEATURE_COLS))
 
     @classmethod
@@ -109,52 +92,21 @@ def feature_pipeline(features=None) -> list:
     return [indexer, assembler]
 
 
-def best_round(losses: list, patience: int) -> int:
-    """The round (from 1) with the lowest loss before ``patience`` rounds
-    without a lower one."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
-
-
-def cut_ensemble(gbt: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
-    """The first ``rounds`` trees of a fitted ensemble, as a model."""
-    if rounds >= gbt.getNumTrees:
-        return gbt
-    sc, java = SparkSession.active().sparkContext, gbt._java_obj
-    jvm, new_array = sc._jvm, sc._gateway.new_array
-    trees = new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
-    weights = new_array(jvm.double, rounds)
-    for i in range(rounds):
-        trees[i], weights[i] = java.trees()[i], java.treeWeights()[i]
-    short = jvm.org.apache.spark.ml.regression.GBTRegressionModel(java.uid(), trees, weights, java.numFeatures())
-    return gbt._copyValues(GBTRegressionModel(java.copyValues(short, java.extractParamMap())))
-
-
-def _regressor(p: ModelParams, max_bins: int, iters: int) -> GBTRegressor:
-    return GBTRegressor(
-        featuresCol="features",
-        labelCol=TARGET,
-        predictionCol="raw_prediction",
-        lossType=p.loss,
-        maxIter=iters,
-        stepSize=p.step_size,
-        maxDepth=p.max_depth,
-        minInstancesPerNode=p.min_instances_per_node,
-        subsamplingRate=p.subsampling_rate,
-        featureSubsetStrategy=p.feature_subset,
-        maxBins=max_bins,
-        seed=p.seed,
-    )
+def zone_number(labels: list[str]) -> Column:
+    """A zone's place among ``labels``; their number for a zone not there."""
+    place = F.array_position(F.array(*[F.lit(x) for x in labels]).cast("array<string>"), F.col(ZONE).cast("string"))
+    return F.when(place > 0, place - 1).otherwise(len(labels)).cast("double")
+
+
+def numbered(df: DataFrame, labels: list[str], features: list[str]) -> DataFrame:
+    """The features as the model reads them, the zone as its number."""
+    own = [zone_number(labels).alias(ZONE_INDEX) if c == ZONE else F.col(c).cast("double") for c in features]
+    return df.select(*own, TARGET)
 
 
 @dataclass
 class TrainedModel:
-    model: PipelineModel
+    model: boosting.Ensemble
     best_iteration: int
     validation_loss: list
     features: list
@@ -163,47 +115,38 @@ class TrainedModel:
 def train_demand_model(
     train: DataFrame, valid: DataFrame | None = None, params: ModelParams | None = None
 ) -> TrainedModel:
-    """M3: fit indexer + assembler + GBT on ``train`` and cut the ensemble at
-    the best round on ``valid``."""
+    """M3: boosting on ``train`` until ``patience`` rounds after the best on
+    ``valid``; the ensemble is cut at the best."""
     p = params or ModelParams()
-    train = train.withColumn(TARGET, F.col(TARGET).cast("double"))
-    stages = feature_pipeline(p.features)
-    indexer_model = stages[0].fit(train)
-    # maxBins must cover every zone category (labels + the unseen bucket).
-    max_bins = max(32, len(indexer_model.labels) + 1)
-    prep = PipelineModel([indexer_model, stages[1]])
-    # Boosting runs a job for each tree level: few, even partitions.
-    train_x = prep.transform(train).select("features", TARGET).hint("rebalance").persist()
-    try:
-        gbt = _regressor(p, max_bins, p.max_iter).fit(train_x)
-    finally:
-        train_x.unpersist()
-    losses: list = []
-    best = p.max_iter
-    if valid is not None and p.early_stop:
-        valid_x = prep.transform(valid.withColumn(TARGET, F.col(TARGET).cast("double")))
-        losses = list(gbt.evaluateEachIteration(valid_x, p.loss))
-        best = best_round(losses, p.patience)
-        gbt = cut_ensemble(gbt, best)
-    return TrainedModel(PipelineModel([indexer_model, stages[1], gbt]), best, losses, p.features)
-
-
-def score(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """M4: predictions clipped at zero."""
-    out = model.transform(df.withColumn(TARGET, F.col(TARGET).cast("double")))
-    return out.withColumn("prediction", clip_nonneg("raw_prediction")).drop(
-        "raw_prediction", "features", ZONE_INDEX
-    ).withColumn(TARGET, F.col(TARGET).cast("long"))
-
-
-def gbt_stage(model: PipelineModel) -> GBTRegressionModel:
-    return model.stages[-1]
+    if p.features[0] != ZONE:
+        raise ValueError("the zone is the first feature")
+    zone = F.col(ZONE).cast("string")
+    # One label a zone, not a trip.
+    labels = sorted(r[0] for r in train.where(zone.isNotNull()).select(zone).distinct().collect())
+    sides = [None if df is None else numbered(df, labels, p.features) for df in (train, valid)]
+    names = assembled_inputs(p.features)
+    model, losses = boosting.fit(sides[0], sides[1], names, TARGET, labels, p)
+    model.features = list(p.features)
+    return TrainedModel(model, model.rounds, losses, p.features)
+
+
+def score(model: boosting.Ensemble, df: DataFrame) -> DataFrame:
+    """M4: predictions clipped at zero, beside the input's columns."""
+    ship_package(df.sparkSession)
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def predict(*columns: pd.Series) -> pd.Series:
+        x = pd.concat(columns, axis=1).to_numpy(dtype=float)
+        return pd.Series(shared.value.predict(x))
+
+    inputs = [zone_number(model.labels) if c == ZONE else F.col(c).cast("double") for c in model.features]
+    return df.withColumn("prediction", clip_nonneg(predict(*inputs)))
 
 
 def feature_importance(trained: TrainedModel, spark) -> DataFrame:
-    """M5: MLlib's normalised split-gain importances with feature names,
-    descending."""
-    imp = gbt_stage(trained.model).featureImportances.toArray().tolist()
+    """M5: each feature's share of the gain of all splits, descending."""
+    imp = trained.model.importance().tolist()
     rows = list(zip(trained.features, [float(x) for x in imp]))
     return spark.createDataFrame(rows, "feature STRING, importance DOUBLE").orderBy(
         F.col("importance").desc(), "feature"
@@ -211,16 +154,14 @@ def feature_importance(trained: TrainedModel, spark) -> DataFrame:
 
 
 def save_model(trained: TrainedModel, path: str) -> str:
-    """M6: the pipeline (indexer, assembler with the feature list, trees)."""
-    trained.model.write().overwrite().save(path)
-    return path
+    """M6: the trees with the feature list and the zones."""
+    return trained.model.save(SparkSession.active(), path)
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str) -> boosting.Ensemble:
+    return boosting.Ensemble.load(SparkSession.active(), path)
 
 
-def model_features(model: PipelineModel) -> list[str]:
-    """The feature list stored with a saved pipeline (zone name restored)."""
-    cols = model.stages[1].getInputCols()
-    return [ZONE if c == ZONE_INDEX else c for c in cols]
+def model_features(model: boosting.Ensemble) -> list[str]:
+    """The feature list stored with a saved model."""
+    return list(model.features)

@@ -579,9 +579,9 @@ ZONE_NUMBER = "ZN AS (SELECT z, CAST(row_number() OVER (ORDER BY z) - 1 AS DOUBL
 F_COLS = ", ".join("zone_index AS f_pu_location_id" if f == "pu_location_id" else f"CAST({f} AS DOUBLE) AS f_{f}" for f in FEATURES)
 add("feature_pipeline", [*DS_CTES, DST, TRAIN, ZONE_NUMBER], "SELECT pu_location_id, trip_date, pickup_hour, zone_index, "
     f"{F_COLS} FROM TRAIN JOIN ZN ON z = CAST(pu_location_id AS VARCHAR)", ("zone_index", *(f"f_{f}" for f in FEATURES)))
-add("train_demand_model", [], "SELECT CAST(i AS INTEGER) AS iteration, true AS not_better_than_chosen, true AS cut_at_chosen FROM range(1, 101) r(i)")
-add("score", EVAL, "SELECT pu_location_id, trip_date, pickup_hour, trip_count, true AS not_negative FROM TEST")
-add("feature_importance", [], f"SELECT feature, true AS not_negative, true AS sums_to_one FROM (VALUES {NAMES}) v(feature)")
+add("train_demand_model", [], "SELECT true AS stopped_by_patience, true AS below_bound, true AS none_is_better, true AS cut_at_best, true AS better_than_any_constant")
+add("score", EVAL, "SELECT pu_location_id, trip_date, pickup_hour, trip_count, true AS not_negative, true AS better_than_any_constant FROM TEST")
+add("feature_importance", [], f"SELECT feature, true AS not_negative, true AS sums_to_one, true AS effect_agrees FROM (VALUES {NAMES}) v(feature)")
 add("save_load_model", EVAL, "SELECT pu_location_id, trip_date, pickup_hour, true AS same FROM TEST")
 ORACLE["forecast"] = f"SELECT pu_location_id, datetime, true AS not_negative, true AS lags_match, true AS model_agrees FROM ({ORACLE['future_grid']}) g"
 ORACLE["forecast_weekly"] = ("SELECT pu_location_id, CAST(date_trunc('week', datetime) AS DATE) AS week_start, count(*) AS hours, "

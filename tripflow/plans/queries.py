@@ -716,45 +716,62 @@ def q_feature_pipeline(spark, sf):
 
 @register("train_demand_model")
 def q_train_demand_model(spark, sf):
-    """M3: the rounds, that none that patience allows is better than the chosen
-    one, and that the ensemble ends there."""
+    """M3: that training ended by patience and not by the bound, that no round is
+    better than the chosen one, that the ensemble ends there, and that no constant
+    would have done as well on the hold-out."""
     tm, _ = trained_model(spark, sf)
     p = model.ModelParams()
     losses = [float(v) for v in tm.validation_loss]
-    rows = [(i + 1, v) for i, v in enumerate(losses)]
-    df = spark.createDataFrame(rows, "iteration INT, validation_loss DOUBLE")
-    n_trees = model.gbt_stage(tm.model).getNumTrees
-    worse = F.col("iteration") > tm.best_iteration + p.patience
-    best = F.lit(losses[tm.best_iteration - 1])
-    return df.select(
-        "iteration",
-        ((F.col("validation_loss") >= best) | worse).alias("not_better_than_chosen"),
-        F.lit(n_trees == tm.best_iteration).alias("cut_at_chosen"),
+    test = _split(spark, sf)[1]
+    middle = test.select(F.percentile("trip_count", F.lit(0.5))).scalar()
+    constant = test.agg(F.avg(F.abs(F.col("trip_count") - middle)).alias("constant_error"))
+    best = losses[tm.best_iteration - 1]
+    return constant.select(
+        F.lit(len(losses) == tm.best_iteration + p.patience).alias("stopped_by_patience"),
+        F.lit(len(losses) < p.max_rounds).alias("below_bound"),
+        F.lit(all(v >= best - p.tolerance * losses[0] for v in losses)).alias("none_is_better"),
+        F.lit(tm.model.rounds == tm.best_iteration).alias("cut_at_best"),
+        (F.col("constant_error") > best).alias("better_than_any_constant"),
     )
 
 
 @register("score")
 def q_score(spark, sf):
-    """M4: hold-out predictions, clipped at zero."""
+    """M4: hold-out predictions, clipped at zero, and that their error is below
+    that of the best constant (the median of the hold-out itself)."""
     tm, _ = trained_model(spark, sf)
-    out = model.score(tm.model, _split(spark, sf)[1])
-    return out.select(*platinum.SERIES_KEYS, "trip_count", (F.col("prediction") >= 0).alias("not_negative"))
+    test = _split(spark, sf)[1]
+    out = model.score(tm.model, test)
+    middle = test.select(F.percentile("trip_count", F.lit(0.5))).scalar()
+    off = lambda x: F.avg(F.abs(F.col("trip_count") - x))
+    better = out.agg((off(F.col("prediction")) < off(middle)).alias("b")).scalar()
+    return out.select(*platinum.SERIES_KEYS, "trip_count", (F.col("prediction") >= 0).alias("not_negative"), better.alias("better_than_any_constant"))
 
 
 @register("feature_importance")
 def q_feature_importance(spark, sf):
-    """M5: every feature, its place among the importances, and their sum."""
+    """M5: every feature, that the shares add up, and that a feature moves a
+    prediction when it is taken away if its share is large, and never if it has
+    none."""
     tm, _ = trained_model(spark, sf)
+    test = written(model.score(tm.model, _split(spark, sf)[1]).withColumnRenamed("prediction", "whole"), "scored")
     imp = model.feature_importance(tm, spark)
+    moved = []
+    for c in tm.features:
+        without = model.score(tm.model, test.withColumn(c, F.lit(None).cast(test.schema[c].dataType)))
+        moved.append(without.select(F.lit(c).alias("feature"), (F.col("prediction") != F.col("whole")).alias("m")))
+    effect = reduce(lambda a, b: a.union(b), moved).groupBy("feature").agg(F.max("m").alias("moves"))
     total = imp.select(F.sum("importance")).scalar()
-    return imp.select("feature", (F.col("importance") >= 0).alias("not_negative"),
-                      (F.abs(total - 1) < 1e-9).alias("sums_to_one"))
+    share = F.col("importance")
+    return imp.join(effect, "feature").select(
+        "feature", (share >= 0).alias("not_negative"), (F.abs(total - 1) < 1e-9).alias("sums_to_one"),
+        (F.when(share > 0.05, F.col("moves")).when(share == 0, ~F.col("moves")).otherwise(True)).alias("effect_agrees"))
 
 
 @register("save_load_model")
 def q_save_load_model(spark, sf):
-    """M6: the reloaded pipeline scores the hold-out; ``same`` compares
-    with the in-memory model."""
+    """M6: the reloaded model scores the hold-out; ``same`` compares with the
+    in-memory model."""
     tm, path = trained_model(spark, sf)
     test = _split(spark, sf)[1]
     a = model.score(tm.model, test).select(*platinum.SERIES_KEYS, F.col("prediction").alias("p1"))
