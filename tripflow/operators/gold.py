@@ -245,3 +245,32 @@ def split_facts(agg: DataFrame) -> dict:
         name: agg.filter(F.col("gid") == _gid(keys)).select(*keys, *FACT_MEASURES[name])
         for name, keys in FACT_KEYS.items()
     }
+
+
+# ------------------------------------------------------------ additive state
+# What the facts need, as sums: they add up over any split of the trips.
+SUMMED = ("total_amount", "trip_distance", "fare_per_mile", "passenger_count", "airport_fee", "congestion_surcharge", "cbd_congestion_fee")
+AVERAGED = {"avg_trip_value": "total_amount", "avg_distance": "trip_distance", "avg_fare_per_mile": "fare_per_mile", "avg_passengers": "passenger_count"}
+TOTALLED = {
+    "total_revenue": "total_amount", "total_distance": "trip_distance", "total_airport_fee": "airport_fee",
+    "total_congestion_fee": "congestion_surcharge", "total_cbd_fee": "cbd_congestion_fee",
+}
+
+
+def fact_state(trips: DataFrame, load: str = "load_id") -> DataFrame:
+    """The six facts of each load as sums and counts, in one pass: rows
+    (load, keys, gid). States of different loads add up to the facts of all."""
+    keys = [load, *_ALL_KEYS]
+    sets = [[F.col(k) for k in (load, *own)] for own in FACT_KEYS.values()]
+    sums = [f(c).alias(f"{n}_{c}") for c in SUMMED for n, f in (("sum", F.sum), ("n", F.count))]
+    return add_distance_bucket(trips).groupingSets(sets, *keys).agg(F.grouping_id(*keys).alias("gid"), _trips(), *sums)
+
+
+def merge_facts(state: DataFrame) -> DataFrame:
+    """``fact_grouping_sets`` of all trips, from the states of their loads."""
+    added = state.groupBy(*_ALL_KEYS, "gid").agg(*[F.sum(c).alias(c) for c in ("total_trips", *(f"{n}_{c}" for c in SUMMED for n in ("sum", "n")))])
+    mean = lambda c: F.try_divide(F.col(f"sum_{c}"), F.col(f"n_{c}"))
+    return added.select(
+        *_ALL_KEYS, "gid", "total_trips",
+        *[F.col(f"sum_{c}").alias(name) for name, c in TOTALLED.items()], *[mean(c).alias(name) for name, c in AVERAGED.items()],
+    )

@@ -226,3 +226,34 @@ def order_series(series: DataFrame) -> DataFrame:
     """K5: zone-clustered, time-ordered within each partition. A global sort
     is left to the final output, if one is wanted at all."""
     return series.repartition(ZONE).sortWithinPartitions(ZONE, "trip_date", "pickup_hour")
+
+
+# ------------------------------------------------------------ additive state
+HOURLY_MEANS = {"avg_fare": "fare_amount", "avg_distance": "trip_distance", "avg_passengers": "passenger_count"}
+
+
+def hourly_state(trips: DataFrame, load: str = "load_id", ts: str = "pickup_datetime") -> DataFrame:
+    """A16 of each load as sums and counts, which add up over loads."""
+    sums = [f(c).alias(f"{n}_{c}") for c in HOURLY_MEANS.values() for n, f in (("sum", F.sum), ("n", F.count))]
+    return trips.groupBy(load, ZONE, F.to_date(ts).alias("trip_date"), "pickup_hour").agg(F.count(F.lit(1)).alias("trip_count"), *sums)
+
+
+def merge_hourly(state: DataFrame) -> DataFrame:
+    """``hourly_demand`` of all trips, from the states of their loads."""
+    names = [f"{n}_{c}" for c in HOURLY_MEANS.values() for n in ("sum", "n")]
+    added = state.groupBy(*SERIES_KEYS).agg(*[F.sum(c).alias(c) for c in ("trip_count", *names)])
+    return added.select(*SERIES_KEYS, "trip_count", *[F.try_divide(F.col(f"sum_{c}"), F.col(f"n_{c}")).alias(name) for name, c in HOURLY_MEANS.items()])
+
+
+def series_of(hourly: DataFrame, p: float = TOP_ZONE_PERCENTILE, lags=LAGS, since=None) -> DataFrame:
+    """The feature table from an hourly aggregate. ``since`` (a timestamp column):
+    only the hours from then on, computed from as many hours before as the longest
+    lag reaches back."""
+    zones = select_top_zones(zone_totals(hourly, count_col="trip_count"), p).select(ZONE)
+    bounds, actual = hourly_bounds(hourly), hourly
+    if since is not None:
+        first = since - F.make_dt_interval(F.lit(0), F.lit(max(lags)))
+        bounds = bounds.select(F.greatest("start", first).alias("start"), "end")
+        actual = hourly.where(series_ts() >= first)
+    series = add_lags(add_series_calendar(densify(hour_zone_grid(zones, bounds), actual)), lags)
+    return series if since is None else series.where(series_ts() >= since)

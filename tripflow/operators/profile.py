@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.types import BooleanType, IntegralType, NumericType, StringType
 
 
 def row_counts(**stages: DataFrame) -> DataFrame:
@@ -70,3 +70,43 @@ def profile_distinct(df: DataFrame, rsd: float = 0.05, cols=None) -> DataFrame:
         ]
     )
     return wide.select(F.inline(rows))
+
+
+# ------------------------------------------------------------ stored sketches
+#: Buckets of a distinct-count sketch, as a power of two: a relative standard
+#: error of about 1.04 / sqrt(2 ** 12), 1.6 %.
+HLL_BITS = 12
+DISTINCT_ERROR = 1.04 / 2 ** (HLL_BITS / 2)
+#: Size of a quantile sketch, and its normalised rank error at 99 % confidence.
+KLL_K = 400
+RANK_ERROR = 0.0068
+QUARTILES = (0.25, 0.5, 0.75)
+
+
+def sketch_state(df: DataFrame, load: str = "load_id", cols=None) -> DataFrame:
+    """A3/A4 of each load: one row (load, column, rows, distinct, quantiles) a
+    column, in one pass. ``distinct`` is a HyperLogLog sketch, ``quantiles`` a KLL
+    sketch of a number column without its NULLs and NaNs; both merge over loads."""
+    cols = [c for c in df.columns if c != load] if cols is None else list(cols)
+    aggs, rows = [], []
+    for k, c in enumerate(cols):
+        kind = df.schema[c].dataType
+        number = isinstance(kind, NumericType)
+        own = F.col(c) if isinstance(kind, (IntegralType, StringType)) else F.col(c).cast("string")
+        if isinstance(kind, IntegralType):
+            own = own.cast("long")
+        real = F.col(c).cast("double")
+        sketch = F.kll_sketch_agg_double(F.when(~F.isnan(real), real), KLL_K) if number and not isinstance(kind, BooleanType) else F.lit(None).cast("binary")
+        parts = [F.count(c).alias("rows"), F.hll_sketch_agg(own, HLL_BITS).alias("distinct"), (F.first(sketch) if not number else sketch).alias("quantiles")]
+        aggs.append(F.struct(F.lit(c).alias("column"), *parts).alias(f"c{k}"))
+        rows.append(F.col(f"c{k}"))
+    return df.groupBy(load).agg(*aggs).select(load, F.inline(F.array(*rows)))
+
+
+def merge_sketches(state: DataFrame, shares=QUARTILES) -> DataFrame:
+    """``column``, ``rows``, ``approx_distinct`` and ``quantiles`` (NULL where the
+    column has no numbers) over all loads of the state: no row is read again."""
+    merged = state.groupBy("column").agg(F.sum("rows").alias("rows"), F.hll_union_agg("distinct").alias("d"), F.kll_merge_agg_double("quantiles").alias("q"))
+    wanted = F.array(*[F.lit(float(s)) for s in shares])
+    some = F.col("q").isNotNull() & (F.kll_sketch_get_n_double("q") > 0)
+    return merged.select("column", "rows", F.hll_sketch_estimate("d").alias("approx_distinct"), F.when(some, F.kll_sketch_get_quantile_double("q", wanted)).alias("quantiles"))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tripflow.operators import evaluate, forecast, gold, model, platinum, silver
 from tripflow.operators.bronze import DEDUP_KEYS
+from tripflow.plans.live import Live
 from tripflow.session import ensure_conf
 from tripflow.sources.loading import committed, create_tables, open_loads, plan_landing, run_loads
 from tripflow.sources.tables import TableIO
@@ -31,6 +32,7 @@ class Medallion:
         ensure_conf(self.spark)
         self.io = TableIO(self.spark, self.root)
         self.ledger = create_tables(self.io)
+        self.live = Live(self.io)
 
     # ------------------------------------------------------------ Bronze
     def load_bronze(self, landing_path: str, lo: int, hi: int, files_a_load: int = 256) -> int:

@@ -599,6 +599,13 @@ def all_facts(source: str) -> str:
 
 ORACLE["fact_grouping_sets"] = with_ctes(ST_CTES, all_facts("ST"))
 ORACLE["medallion_gold"] = with_ctes([*BRONZE_CTES, *silver_ctes("SB", "DEDUP")], all_facts("SB"))
+ORACLE["live_facts"] = ORACLE["medallion_gold"]
+ORACLE["live_series"] = ORACLE["demand_series"]
+add("live_silver", [*BRONZE_CTES, *silver_ctes("SB", "DEDUP")], f"SELECT {SILVER_COLS} FROM SB", SILVER_DOUBLES)
+add("live_row_counts", BRONZE_CTES, "SELECT 'bronze' AS stage, count(*) AS row_count FROM DEDUP UNION ALL SELECT 'quarantine', count(*) FROM BAD")
+add("live_profile", BRONZE_CTES, " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count({c}) AS rows, count(DISTINCT {c}) AS distinct_values, true AS same_rows, true AS estimate_ok, "
+    "true AS quartiles_ok, true AS has_quartiles FROM DEDUP" for c in DECLARED_COLUMNS if c != "source_file"))
 add("drop", [T, TT], "SELECT * EXCLUDE (source_file) FROM TT", T_DOUBLES)
 add("payment_value_weighted", HIST, "SELECT payment_name, "
     f"{DIV('sum(total_revenue)', 'sum(total_trips)')} AS avg_trip_value FROM EP "

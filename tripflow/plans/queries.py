@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from tripflow.functions.columns import clip_nonneg
 from tripflow.functions.output import round_doubles
@@ -29,9 +30,10 @@ from tripflow.operators import (
     silver,
 )
 from tripflow.plans import inputs
+from tripflow.plans.live import Live
 from tripflow.plans.medallion import Medallion, land_files
 from tripflow.session import scratch_path, written
-from tripflow.sources import fixtures, landing, tables
+from tripflow.sources import fixtures, landing, loading, tables
 from tripflow.streaming import bronze_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1135,3 +1137,77 @@ def q_medallion_gold(spark, sf):
     m.build_silver()
     names = m.build_gold(fixtures.raw_zone_lookup(spark, sf))
     return _all_facts({name: m.fact(name) for name in names})
+
+
+# --------------------------------------------------------------- layers kept load by load
+def _three_loads(spark, sf, after) -> Medallion:
+    """T landed in three parts by dropoff year; ``after`` each load."""
+    root = scratch_path(spark, "live")
+    raw = fixtures.raw_trips(spark, sf).drop("source_file")
+    y = F.coalesce(F.year("tpep_dropoff_datetime"), F.lit(0))
+    m = Medallion(spark, f"{root}/tables")
+    for k, part in enumerate((y < 1997, (y == 1997) | (y == 1999), (y == 1998) | (y > 1999))):
+        land_files(raw.filter(part), f"{root}/landing/{k}")
+        m.load_bronze(f"{root}/landing", LO, HI)
+        after(m)
+    return m
+
+
+@register("live_silver")
+def q_live_silver(spark, sf):
+    """Silver after three loads, each of which rewrote the years it touched."""
+    m = _three_loads(spark, sf, lambda m: m.live.refresh_silver())
+    return m.silver().select(*SILVER_COLUMNS)
+
+
+@register("live_facts")
+def q_live_facts(spark, sf):
+    """A5-A10 after three loads, from the sums of each."""
+    return _all_facts(_three_loads(spark, sf, lambda m: m.live.refresh_facts()).live.facts())
+
+
+@register("live_row_counts")
+def q_live_row_counts(spark, sf):
+    """A1 as observed while three loads were written."""
+    return loading.row_counts(_three_loads(spark, sf, lambda m: None).io)
+
+
+@register("live_profile")
+def q_live_profile(spark, sf):
+    """A3/A4 of Bronze after three loads, merged from stored sketches: the exact
+    counts, and that the estimates keep within their bounds (three standard errors;
+    for each quartile, the sketch's rank error)."""
+    m = _three_loads(spark, sf, lambda m: m.live.refresh_profile())
+    columns = [f.name for f in bronze.TRIP_SCHEMA.fields]
+    got = m.live.profile().where(F.col("column").isin(columns))
+    rows = m.io.read("bronze")
+    numbers = [f.name for f in bronze.TRIP_SCHEMA.fields if isinstance(f.dataType, NumericType)]
+    cut = {r.column: r.quantiles for r in got.collect() if r.quantiles is not None}
+    aggs = []
+    for c in columns:
+        n = F.count(c)
+        sides = [F.lit(True)]
+        for share, q in zip(profile.QUARTILES, cut.get(c, [])):
+            below, upto = (F.sum(x.cast("long")) for x in (F.col(c).cast("double") < q, F.col(c).cast("double") <= q))
+            sides += [below <= n * (share + profile.RANK_ERROR) + 1, upto >= n * (share - profile.RANK_ERROR) - 1]
+        ok = reduce(lambda a, b: a & F.coalesce(b, F.lit(True)), sides)
+        aggs.append(F.struct(F.lit(c).alias("column"), n.alias("rows"), F.count_distinct(c).alias("distinct_values"), ok.alias("quartiles_ok"), (F.lit(c in cut) == ((n > 0) & F.lit(c in numbers))).alias("has_quartiles")).alias(f"c_{c}"))
+    exact = rows.agg(*aggs).select(F.inline(F.array(*[F.col(f"c_{c}") for c in columns])))
+    near = F.abs(F.col("approx_distinct") - F.col("distinct_values")) <= F.greatest(F.lit(1.0), 3 * profile.DISTINCT_ERROR * F.col("distinct_values"))
+    return got.select("column", F.col("rows").alias("sketched"), "approx_distinct").join(exact, "column").select(
+        "column", "rows", "distinct_values", (F.col("sketched") == F.col("rows")).alias("same_rows"), near.alias("estimate_ok"), "quartiles_ok", "has_quartiles")
+
+
+@register("live_series")
+def q_live_series(spark, sf):
+    """A11-A16, J5-J7, W1 after four loads of H by pickup time: merged hours, the
+    series rewritten from the first month that changed."""
+    trips = _sh(spark, sf)
+    io = _io(spark, "live_series")
+    loading.create_tables(io)
+    live = Live(io)
+    day = F.datediff(F.to_date("pickup_datetime"), trips.select(F.min(F.to_date("pickup_datetime"))).scalar())
+    for k, part in enumerate((day < 9, (day >= 9) & (day < 17), (day >= 17) & (F.col("pickup_hour") < 20), (day >= 17) & (F.col("pickup_hour") >= 20))):
+        loading.ledger_of(io).append(spark.createDataFrame([(f"part-{k}",)], "file_name STRING"), load_id=f"part-{k}")
+        live.refresh_series(lambda loads, part=part: trips.where(part).withColumn("load_id", F.lit(loads[0])))
+    return live.series()
