@@ -350,3 +350,51 @@ def test_neighbours_of_few_and_none(spark):
     df = spark.createDataFrame([(20, [1.0, 0.0]), (1, [0.5, 0.5])], "vec_id long, embedding array<float>")
     assert list(map(tuple, nearest.neighbours(df, F.col("vec_id") % 20 == 0).collect())) == [(20, 1, 1, 0.5)]
     assert nearest.neighbours(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_products_are_only_across_groups(spark, monkeypatch):
+    """Near copies, and one row that meets all of them and links with none: as many
+    rows are multiplied as there are copies, however many signatures they share."""
+    monkeypatch.setattr(jaccard_join, "SQUARE", 16)
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(4000)}" for _ in range(300)]
+
+    def changed(k):
+        out = list(base)
+        for at in range(5, 5 + 40 * k, 40):
+            out[at] = f"x{rng.randrange(10 ** 9)}"
+        return " ".join(out)
+
+    seen = {}
+    real = jaccard_join.written
+
+    def count(df, name):
+        out = real(df, name)
+        seen[name] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard_join, "written", count)
+    for t in (60, 180):
+        rows = [(k, changed(1)) for k in range(t)] + [(1000, changed(6))]
+        got = {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.join_groups(frame(spark, rows)).collect()}
+        assert got == set(plain_groups(rows, 3, 90)) and len({c for _, _, c in got}) == 2
+        assert 0 < seen["join_squares"] <= 2 * t + 2 * t // 16 + 16
+
+
+@pytest.mark.parametrize(("many", "hubs"), [(0, 0), (16, 0), (2, 4)])
+def test_blocks_and_squares_lose_no_link(spark, monkeypatch, many, hubs):
+    monkeypatch.setattr(jaccard_join, "MANY", many)
+    monkeypatch.setattr(jaccard_join, "HUB_ROUNDS", hubs)
+    monkeypatch.setattr(jaccard_join, "SQUARE", 3)
+    monkeypatch.setattr(jaccard_join, "SQUARE_GRAMS", 700)
+    rng = random.Random(12)
+    rows = odd_rows()
+    for family in range(6):
+        text = prose(rng, rng.randrange(60, 220)).split(" ")
+        for _ in range(9):
+            own = list(text)
+            for _ in range(rng.randrange(0, 7)):
+                own[rng.randrange(len(own))] = f"z{rng.randrange(99)}"
+            rows.append((100 + len(rows), " ".join(own)))
+    got = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.join_groups(frame(spark, rows)).collect())
+    assert got == Counter(plain_groups(rows, 3, 90))

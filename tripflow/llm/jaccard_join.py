@@ -13,9 +13,14 @@ is lost, whatever the data.
 
 Equal rows are one row (a class) from the start. In a large group of similar
 rows each is first set against the one that shares most signatures with all;
-what that connects needs no further pairs. Rows that meet across groups are
-multiplied by squares of ``SQUARE`` rows, each of which returns the groups that
-its links form, never its pairs.
+what that connects needs no further pairs, and the rest is set against the best of
+another group, as long as that connects anything (``HUB_ROUNDS`` at most). Only rows
+of different groups are multiplied then: two groups that share a signature are one
+block, into which each of their rows that meet goes once, however many signatures
+they share. Where more than ``MANY`` groups share a signature, the rows of the
+signature are multiplied by squares instead; signatures with the same rows are one.
+Blocks and squares hold at most ``SQUARE`` rows and ``SQUARE_GRAMS`` n-grams a side
+(or one longer row), and return links, never all pairs.
 
 Defined results: NULL or empty text, or one without words, has the empty set
 and links with nothing; a text of fewer words than n is one n-gram; rows that
@@ -280,48 +285,67 @@ def _open(p: int):
     return run
 
 
-#: Rows of one block of a product, and columns that it takes at a time.
+#: Rounds of setting rows against the best of another group.
+HUB_ROUNDS = 4
+#: A signature of more groups than this is multiplied by squares.
+MANY = 16
+#: Rows of one side of a product, their n-grams, and columns taken at a time.
 SQUARE = 1024
+SQUARE_GRAMS = 1 << 21
 COLUMNS = 4096
 
 
-def overlaps(rows: list[np.ndarray]) -> np.ndarray:
-    """Product of the rows' 0/1 matrix with itself, some columns at a time.
-    Columns that one row has, or all have, need no product; the diagonal is of
-    no use."""
-    n = len(rows)
-    key, row = np.concatenate(rows), np.repeat(np.arange(n), list(map(len, rows)))
-    _, column, times = np.unique(key, return_inverse=True, return_counts=True)
-    product = np.full((n, n), float((times == n).sum()), dtype=np.float32)
-    use = (times > 1) & (times < n)
+def overlaps(rows: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
+    """Product of two lists of rows' 0/1 matrices, some columns at a time. Columns
+    that only one side has need no product."""
+    key = np.concatenate([*rows, *others])
+    row = np.repeat(np.arange(len(rows) + len(others)), [len(x) for x in (*rows, *others)])
+    _, column = np.unique(key, return_inverse=True)
+    left = row < len(rows)
+    both = np.bincount(column[left], minlength=1)
+    other = np.bincount(column[~left], minlength=1)
+    width = max(len(both), len(other))
+    use = (np.pad(both, (0, width - len(both))) > 0) & (np.pad(other, (0, width - len(other))) > 0)
     number = np.cumsum(use) - 1
     keep = use[column]
     row, column = row[keep], number[column[keep]]
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
-    for first in range(0, int(use.sum()), COLUMNS):
+    product = np.zeros((len(rows), len(others)), dtype=np.float32)
+    total = int(use.sum())
+    for first in range(0, total, COLUMNS):
         a, b = np.searchsorted(column, [first, first + COLUMNS])
-        part = np.zeros((n, min(COLUMNS, int(use.sum()) - first)), dtype=np.float32)
+        part = np.zeros((len(rows) + len(others), min(COLUMNS, total - first)), dtype=np.float32)
         part[row[a:b], column[a:b] - first] = 1
-        product += part @ part.T
+        product += part[: len(rows)] @ part[len(rows):].T
     return product
 
 
+def linked_pairs(rows: list[np.ndarray], others: list[np.ndarray], p: int) -> np.ndarray:
+    """Which rows reach p % with which others."""
+    sizes, more = (np.array(list(map(len, x)), dtype=np.float64) for x in (rows, others))
+    both = overlaps(rows, others).astype(np.float64)
+    return 100 * both >= p * (sizes[:, None] + more - both)
+
+
 def _square(p: int):
-    """Multiplies a block of rows; the groups that its links form, as links of
-    each row with the smallest of its group."""
+    """Multiplies the rows (node, side, grams) of a block or square; its links as
+    links of each row with the smallest of its group. Rows of side 0 and 1 are
+    multiplied with each other, rows of side 2 with all of theirs."""
     def run(table):
         import pyarrow as pa
 
-        node = table.column("node").to_numpy()
-        rows = [np.frombuffer(x, np.uint64) for x in table.column("grams").to_pylist()]
-        size = np.array(list(map(len, rows)), dtype=np.float64)
-        both = overlaps(rows).astype(np.float64)
-        linked = 100 * both >= p * (size[:, None] + size - both)
-        np.fill_diagonal(linked, True)
+        node, side = table.column("node").to_numpy(), table.column("side").to_numpy()
+        grams = [np.frombuffer(x, np.uint64) for x in table.column("grams").to_pylist()]
+        left, right = (np.flatnonzero(side != s) for s in (1, 0))
+        linked = linked_pairs([grams[k] for k in left], [grams[k] for k in right], p)
         first = node.copy()
         while True:
-            low = np.where(linked, first, np.iinfo(np.int64).max).min(axis=1)
+            low = first.copy()
+            a = np.where(linked, first[right][None, :], np.iinfo(np.int64).max)
+            low[left] = np.minimum(low[left], a.min(axis=1, initial=np.iinfo(np.int64).max))
+            b = np.where(linked, low[left][:, None], np.iinfo(np.int64).max)
+            low[right] = np.minimum(low[right], b.min(axis=0, initial=np.iinfo(np.int64).max))
             if (low == first).all():
                 break
             first = low
@@ -357,15 +381,74 @@ def sets_of(ids: DataFrame, docs: DataFrame, n: int) -> DataFrame:
     return written(found.mapInArrow(_sets(n), "_id long, grams binary"), "join_sets")
 
 
-def product(pairs: DataFrame, docs: DataFrame, n: int, p: int) -> DataFrame:
-    """``pairs`` (a, b) whose documents (_id, _text) reach p %."""
-    sets = sets_of(pairs.select(F.col("a").alias("_asked")).union(pairs.select("b")), docs, n)
+def product(pairs: DataFrame, sets: DataFrame, p: int) -> DataFrame:
+    """``pairs`` (a, b) whose sets (_id, grams) reach p %."""
     left = sets.select(F.col("_id").alias("a"), F.col("grams").alias("ga"))
     right = sets.select(F.col("_id").alias("b"), F.col("grams").alias("gb"))
     rows = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").select("a", "b", "ga", "gb")
     return rows.mapInArrow(_multiply(p), "a long, b long, linked boolean").where("linked").select("a", "b").distinct()
 
 
+def grouped(rows: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """``rows`` with ``g``, the group of ``node`` so far (itself if in none)."""
+    if groups is None:
+        return rows.withColumn("g", F.col("node"))
+    own = rows.join(groups.withColumnRenamed("id", "node").hint("merge"), "node", "left")
+    return own.withColumn("g", F.coalesce("component", "node")).drop("component")
+
+
+def across(shared: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """The rows of signatures that several groups share, and how many those are."""
+    rows = grouped(shared, groups)
+    several = rows.select("sig", "g").distinct().groupBy("sig").agg(F.count("*").alias("groups")).where("groups > 1")
+    return rows.join(several.hint("merge"), "sig")
+
+
+def hub_pairs(rows: DataFrame, tried: DataFrame | None) -> DataFrame:
+    """(a, b): every row with the one that shares most with all among those that
+    it meets outside its group and wasn't set against, best by the signatures they
+    share."""
+    hub = rows.groupBy("sig").agg(F.max(F.struct("weight", (-F.col("node")).alias("m"), "g")).alias("h"))
+    meets = rows.join(hub.select("sig", (-F.col("h.m")).alias("hub"), F.col("h.g").alias("hub_g")).hint("merge"), "sig").where("g <> hub_g")
+    met = meets.groupBy("node", "hub").agg(F.count("*").alias("c")).select("node", "hub", "c", F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
+    if tried is not None:
+        met = met.join(tried.hint("merge"), ["a", "b"], "left_anti")
+    best = met.groupBy("node").agg(F.max(F.struct("c", (-F.col("hub")).alias("m"), "a", "b")).alias("h"))
+    return best.select("h.a", "h.b").distinct()
+
+
+def tiles(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` (keys, side, node, n) with ``mine``, the tile of its side, and
+    ``n_tiles`` of the other side (of the same one for side 2)."""
+    size = rows.groupBy(*keys, "side").agg(F.greatest(F.ceil(F.count("*") / SQUARE), F.ceil(F.sum("n") / SQUARE_GRAMS)).cast("long").alias("parts"))
+    other = size.select(*keys, F.when(F.col("side") < 2, 1 - F.col("side")).otherwise(2).alias("side"), F.col("parts").alias("n_tiles"))
+    out = rows.join(size.hint("merge"), [*keys, "side"]).join(other.hint("merge"), [*keys, "side"])
+    return out.withColumn("mine", F.pmod(F.xxhash64("node", F.lit(7)), F.col("parts"))).withColumn("_t", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_tiles") - 1)))
+
+
+def blocks_of(rows: DataFrame) -> DataFrame:
+    """Blocks of two groups: each row once for each group that it meets."""
+    few = rows.where(F.col("groups") <= MANY)
+    met = few.select("sig", F.col("g").alias("h")).distinct()
+    pairs = few.join(met.hint("merge"), "sig").where("g <> h").select("node", "n", F.least("g", "h").alias("lo"), F.greatest("g", "h").alias("hi"), (F.col("g") > F.col("h")).cast("int").alias("side")).distinct()
+    tiled = tiles(pairs, ["lo", "hi"])
+    i, j = F.when(F.col("side") == 0, F.col("mine")).otherwise(F.col("_t")), F.when(F.col("side") == 0, F.col("_t")).otherwise(F.col("mine"))
+    return tiled.select(F.col("lo").alias("k1"), F.col("hi").alias("k2"), i.alias("i"), j.alias("j"), "side", "node")
+
+
+def squares_of(rows: DataFrame) -> DataFrame:
+    """Squares of the rows of signatures that many groups share; of signatures
+    with the same rows only one."""
+    many = rows.where(F.col("groups") > MANY)
+    same = many.groupBy("sig").agg(F.count("*").alias("c"), *[F.sum(F.xxhash64("node", F.lit(k)).cast("decimal(38,0)")).alias(f"h{k}") for k in (1, 2)])
+    one = same.groupBy("c", "h1", "h2").agg(F.min("sig").alias("sig")).select("sig")
+    tiled = tiles(many.join(one.hint("merge"), "sig", "left_semi").select("sig", F.lit(2).alias("side"), "node", "n"), ["sig"])
+    low, high = F.least("mine", "_t"), F.greatest("mine", "_t")
+    # A row in a square of two tiles is on the side of its tile.
+    side = F.when(low == high, 2).otherwise((F.col("mine") == high).cast("int"))
+    return tiled.select(F.col("sig").alias("k1"), F.lit(-1).cast("long").alias("k2"), low.alias("i"), high.alias("j"), side.alias("side"), "node")
+
+
 def join_groups(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, ``n_shingles`` and ``component_id`` (smallest id reachable by
     links) of every row. ``id_col`` is an integer."""
@@ -387,35 +470,31 @@ def join_groups(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "d
     found = written(found, "join_signatures")
     times = found.groupBy("sig").agg(F.count("*").alias("times")).where("times > 1")
     shared = written(found.join(times.hint("merge"), "sig"), "join_shared")
-    # Every row against the one that shares most with all, among those it meets.
+    # Every set that may be multiplied, once.
+    sets = sets_of(shared.select(F.col("node").alias("_asked")), rows, n)
     weight = shared.groupBy("node").agg(F.sum("times").alias("weight"))
-    hub = shared.join(weight.hint("merge"), "node").groupBy("sig").agg(F.max(F.struct("weight", (-F.col("node")).alias("m"))).alias("h"))
-    meets = shared.join(hub.select("sig", (-F.col("h.m")).alias("hub")).hint("merge"), "sig").where("hub <> node")
-    best = meets.groupBy("node", "hub").agg(F.count("*").alias("c")).groupBy("node").agg(F.max(F.struct("c", (-F.col("hub")).alias("m"))).alias("h"))
-    tried = written(
-        best.select(F.least("node", -F.col("h.m")).alias("a"), F.greatest("node", -F.col("h.m")).alias("b")).distinct(), "join_tried"
-    )
-    links = written(product(tried, rows, n, percent), "join_links")
-    near = connected(links)
-    # What meets across the groups so far, square by square of a signature's rows.
-    label = shared.join(near.withColumnRenamed("id", "node").hint("merge"), "node", "left").withColumn("g", F.coalesce("component", "node"))
-    several = label.groupBy("sig").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo <> hi").select("sig")
-    sides = F.ceil(F.col("times") / SQUARE).cast("long")
-    mine = F.pmod(F.xxhash64("node"), sides)
-    squares = written(
-        label.join(several.hint("merge"), "sig").withColumn("mine", mine)
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), sides - 1)))
-        .select("sig", "node", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j")),
-        "join_squares",
-    )
-    sets = sets_of(squares.select(F.col("node").alias("_asked")), rows, n).withColumnRenamed("_id", "node")
-    more = written(
-        squares.join(sets.hint("merge"), "node").groupBy("sig", "i", "j").applyInArrow(_square(percent), "a long, b long").distinct(), "join_more"
-    )
+    sized = shared.join(weight.hint("merge"), "node").join(sets.select(F.col("_id").alias("node"), F.floor(F.octet_length("grams") / 8).alias("n")).hint("merge"), "node")
+    sized = written(sized, "join_sized")
+    links, near, tried = None, None, None
+    for _ in range(HUB_ROUNDS):
+        # Every row against the one that shares most with all, among those it meets.
+        pairs = written(hub_pairs(across(sized, near), tried), "join_tried")
+        found = written(product(pairs, sets, percent), "join_links")
+        some = found.limit(1).count() > 0
+        links, tried = (found, pairs) if links is None else (links.union(found), tried.union(pairs))
+        if not some:
+            break
+        near = connected(links)
+    # What meets across the groups so far.
+    rest = written(across(sized, near), "join_across")
+    squares = written(blocks_of(rest).union(squares_of(rest)), "join_squares")
+    with_sets = squares.join(sets.withColumnRenamed("_id", "node").hint("merge"), "node").select("k1", "k2", "i", "j", "side", "node", "grams")
+    more = written(with_sets.groupBy("k1", "k2", "i", "j").applyInArrow(_square(percent), "a long, b long").distinct(), "join_more")
     # Documents that repeat an id tie their classes together.
     ties = of_id.where("id <> node").select(F.col("node").alias("a"), F.col("id").alias("b"))
     repeated = members.where("n > 0").groupBy("id").agg(F.count("*").alias("c")).where("c > 1 AND id IS NOT NULL").select(F.col("id").alias("b"))
-    final = connected(links.union(more).union(ties.join(repeated, "b", "left_semi")))
+    links = more if links is None else links.union(more)
+    final = connected(links.union(ties.join(repeated, "b", "left_semi")))
     return (
         members.join(classes.hint("merge"), ["n", "f1", "f2"], "left")
         .join(final.withColumnRenamed("id", "node").hint("merge"), "node", "left")
