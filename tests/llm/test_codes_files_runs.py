@@ -217,7 +217,9 @@ def test_op12_equals_the_library(spark):
 
 def test_memory_of_words_can_be_small(monkeypatch):
     monkeypatch.setattr(token_files, "REMEMBERED_WORDS", 20)
-    tokens = token_files.Tokens(open(vocabulary(), encoding="utf-8").read())
+    source = open(vocabulary(), encoding="utf-8").read()
+    tokens = token_files.Tokens(source, token_files.simple_spec(source))
+    assert tokens.simple is not None and token_files.Tokens(source).simple is None
     rng = random.Random(6)
     import pyarrow as pa
 

@@ -398,3 +398,36 @@ def test_blocks_and_squares_lose_no_link(spark, monkeypatch, many, hubs):
             rows.append((100 + len(rows), " ".join(own)))
     got = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.join_groups(frame(spark, rows)).collect())
     assert got == Counter(plain_groups(rows, 3, 90))
+
+
+def test_rows_of_one_id_and_text_stay_with_their_source(spark):
+    rng = random.Random(14)
+    text = prose(rng, 640)
+    rows = [(1, text, "x"), (1, text, "y"), *((k, prose(rng, 500), rng.choice("xy")) for k in range(10, 30))]
+    df = frame(spark, rows)
+    m = mixing.mix(df)
+    want = Counter()
+    for r in mixing.taken(m).collect():
+        want[r["_id"], r["source"]] += r["taken"]
+        assert (r["first_shard"] is None) == (r["last_shard"] is None) == (r["taken"] == 0)
+    got = Counter()
+    for r in mixing.mixed_documents(df, m).collect():
+        got[r["doc_id"], r["source"]] += len(words(r["text"]))
+    assert +got == +want and got[1, "x"] and got[1, "y"]
+
+
+def test_the_dealt_slots_decide(spark):
+    m = mixing.mix(frame(spark, [(k, prose(random.Random(k), 900), "ab"[k % 2]) for k in range(40)]))
+    plan = mixing.taken(m)._jdf.queryExecution().optimizedPlan().toString()
+    assert "shard" in plan and "place" in plan
+    slots, spans, size = m.slots.toPandas(), m.spans.toPandas(), {}
+    for s, block in zip(slots["s"], slots["block"], strict=True):
+        for r in spans[(spans["s"] == s) & (spans["block"] == block)].itertuples():
+            size[r._1] = size.get(r._1, 0) + r.to_word - r.from_word
+    assert {r["_id"]: r["taken"] for r in mixing.taken(m).collect() if r["taken"]} == size
+
+
+def test_other_columns_of_any_kind_are_kept(spark):
+    df = frame(spark, [(1, "a b c d e f g h i j k l m n o p"), (1, "a b c d e f g h i j k l m n o p")]).withColumn("tags", F.create_map(F.lit("k"), F.col("doc_id")))
+    out = mixing.mixed_documents(df, mixing.mix(df)).collect()
+    assert out and all(r["tags"] == {"k": 1} for r in out)

@@ -60,8 +60,9 @@ class Mix:
     spans: DataFrame
 
     def takes(self) -> DataFrame:
-        """Spans joined with how often the mix uses their block."""
-        used = self.slots.groupBy("s", "block").agg(F.count("*").alias("times"))
+        """Spans joined with how often the shards' slots use their block, and the
+        first and last shard that do."""
+        used = self.slots.groupBy("s", "block").agg(F.count("place").alias("times"), F.min("shard").alias("first_shard"), F.max("shard").alias("last_shard"))
         # Both sides grow with the words, whatever the planner makes of them.
         return self.spans.join(used.hint("merge"), ["s", "block"])
 
@@ -148,11 +149,16 @@ def deal(sources: DataFrame, seed: int, shard_slots: int = SHARD_SLOTS) -> DataF
     )
 
 
+def row_key(text: Column, source: Column) -> Column:
+    """Tells rows that share an id apart by text and source."""
+    return F.xxhash64(text, text.isNull(), source, source.isNull())
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         block_words: int = BLOCK_WORDS, seed: int = 17) -> Mix:
     sized = written(
         docs.select(
-            F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_th"), F.col(source_col).alias("source"),
+            F.col(id_col).alias("_id"), row_key(F.col(text_col), F.col(source_col)).alias("_th"), F.col(source_col).alias("source"),
             F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD_PATTERN)), F.lit(0)).cast("long").alias("size"),
         ),
         "mix_sizes",
@@ -172,32 +178,43 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def taken(m: Mix) -> DataFrame:
-    """Every document with the number of its words that the mix takes."""
+    """Every document with the number of its words that the mix takes, and the
+    first and last output shard that has some (NULL if none has)."""
+    shards = {"first_shard": F.min, "last_shard": F.max}
     counts = (
         m.takes().groupBy("s", "start", "_id", "_th")
-        .agg(F.sum((F.col("to_word") - F.col("from_word")) * F.col("times")).alias("taken"))
-        .select("s", "start", F.col("_id").alias("_id2"), "taken")
+        .agg(F.sum((F.col("to_word") - F.col("from_word")) * F.col("times")).alias("taken"), *[f(c).alias(c) for c, f in shards.items()])
+        .select("s", "start", F.col("_id").alias("_id2"), "taken", *shards)
     )
     d = m.documents
     full = d.where("size > 0").join(counts.hint("merge"), (d["s"] == counts["s"]) & (d["start"] == counts["start"]) & d["_id"].eqNullSafe(counts["_id2"]), "left")
     fields = [d[c] for c in ("_id", "source", "size", "source_size", "target")]
-    return full.select(*fields, F.coalesce(counts["taken"], F.lit(0).cast("long")).alias("taken")).unionByName(
-        d.where("size = 0").select(*fields, F.lit(0).cast("long").alias("taken"))
+    none = [F.lit(None).cast("long").alias(c) for c in shards]
+    return full.select(*fields, F.coalesce(counts["taken"], F.lit(0).cast("long")).alias("taken"), *shards).unionByName(
+        d.where("size = 0").select(*fields, F.lit(0).cast("long").alias("taken"), *none)
     )
 
 
-def mixed_documents(docs: DataFrame, m: Mix, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def first_row(columns: list[str], same: tuple[str, ...], row: str = "_row") -> Column:
+    """Of rows that agree in ``same`` the one whose other columns come first as
+    JSON (whatever their kinds), so that reruns agree."""
+    others = [F.col(f"{row}.`{c}`") for c in columns if c not in same]
+    return F.min_by(row, F.to_json(F.struct(F.lit(0).alias("_"), *others))).alias(row)
+
+
+def mixed_documents(docs: DataFrame, m: Mix, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mix as documents: the columns of ``docs``, one row for each time
     words of a document are used, with the text of those words and the white
-    space after them. Rows that repeat an id and text are put together."""
+    space after them. Rows that repeat an id, text and source are put together,
+    with the other columns of the row whose others come first as JSON."""
     lent = (
         m.takes().groupBy(F.col("_id").alias("_id2"), F.col("_th").alias("_th2"))
         .agg(F.sort_array(F.collect_list(F.struct("from_word", "to_word", "start", "times"))).alias("_lent"))
     )
     rows = (
         docs.select(F.struct("*").alias("_row"))
-        .select("_row", F.col(f"_row.{id_col}").alias("_id"), F.xxhash64(F.col(f"_row.{text_col}")).alias("_th"))
-        .dropDuplicates(["_id", "_th"])
+        .select("_row", F.col(f"_row.{id_col}").alias("_id"), row_key(F.col(f"_row.{text_col}"), F.col(f"_row.{source_col}")).alias("_th"))
+        .groupBy("_id", "_th").agg(first_row(docs.columns, (id_col, text_col, source_col)))
     )
     joined = rows.join(lent.hint("merge"), rows["_id"].eqNullSafe(lent["_id2"]) & (rows["_th"] == lent["_th2"]))
     body = F.regexp_replace(f"_row.{text_col}", f"^{WS_CLASS}+", "")

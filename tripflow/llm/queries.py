@@ -52,7 +52,7 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.taken(mixing.mix(documents(spark, sf_dir)))
-    return out.select(F.col("_id").alias("doc_id"), "source", "size", "source_size", "target", "taken")
+    return out.select(F.col("_id").alias("doc_id"), "source", "size", "source_size", "target", "taken", "first_shard", "last_shard")
 
 
 def digest(text: Column) -> Column:

@@ -30,7 +30,7 @@ import json
 import os
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 from pyspark import TaskContext
@@ -266,14 +266,15 @@ class Tokens:
     The ids of all words met lie in one array; ``known`` has each word's number
     there. Pieces of text that hold a special token are left as they are."""
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, simple: str | None = None):
+        """``simple``: what ``simple_spec`` makes of the file."""
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(source)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.simple = Tokenizer.from_str(simple_spec(source)) if simple_spec(source) else None
+        self.simple = Tokenizer.from_str(simple) if simple else None
         self.special = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         names = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(names.values()) + 1, dtype=bool)
@@ -305,7 +306,9 @@ class Tokens:
         count = np.fromiter(map(len, coded), np.int64, len(coded))
         return np.fromiter(chain.from_iterable(coded), np.uint32, int(count.sum())), count
 
-    def learn(self, words: list[bytes]) -> None:
+    def learn(self, words: list[bytes]) -> np.ndarray:
+        """Encodes new words; their numbers."""
+        first = len(self.count)
         texts = [w.decode() for w in words]
         easy = [self.simple is not None and t.isalpha() and max(t) < LATIN and t.islower() for t in texts]
         order, found = [], []
@@ -313,11 +316,14 @@ class Tokens:
             own = [k for k, e in enumerate(easy) if e == simple]
             order += own
             found += [self.each([texts[k] for k in own[a: a + GROUP]], simple) for a in range(0, len(own), GROUP)]
-        self.known.update(zip([words[k] for k in order], range(len(self.count), len(self.count) + len(words)), strict=True))
+        self.known.update(zip([words[k] for k in order], range(first, first + len(words)), strict=True))
         self.ids = np.concatenate([self.ids, *(f[0] for f in found)])
         self.count = np.concatenate([self.count, *(f[1] for f in found)])
         self.hits = np.append(self.hits, np.zeros(len(words), np.int64))
         self.letters += sum(map(len, words))
+        number = np.empty(len(words), dtype=np.int64)
+        number[order] = np.arange(first, first + len(words))
+        return number
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of some texts, and each text's offsets."""
@@ -337,12 +343,14 @@ class Tokens:
         upto = np.concatenate([[0], np.cumsum(size)])
         buffers = [None, pa.py_buffer(upto.astype(np.int64)), pa.py_buffer(data[SOLID[data]])]
         coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), buffers).dictionary_encode()
-        met = coded.dictionary.to_pylist()
+        met = coded.dictionary.to_numpy(zero_copy_only=False)
         if len(self.known) > REMEMBERED_WORDS or self.letters > REMEMBERED_BYTES:
             self.forget()
-        if new := [w for w in met if w not in self.known]:
-            self.learn(new)
-        number = np.fromiter(map(self.known.__getitem__, met), np.int64, len(met))[coded.indices.to_numpy()]
+        number = np.fromiter(map(self.known.get, met, repeat(-1)), np.int64, len(met))
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            number[new] = self.learn(met[new].tolist())
+        number = number[coded.indices.to_numpy()]
         self.hits += np.bincount(number, minlength=len(self.hits))
         first, counts = (np.cumsum(self.count) - self.count)[number], self.count[number]
         return self.ids[spread(first, counts)], np.concatenate([[0], np.cumsum(counts)])[by_text]
@@ -373,11 +381,11 @@ def tokenize(source, end_id: int | None, kind: str):
     def run(batches) -> Iterator:
         import pyarrow as pa
 
-        text = source.value
+        text, simple = source.value
         key = hash(text)
         if key not in _TOKENS:
             _TOKENS.clear()
-            _TOKENS[key] = Tokens(text)
+            _TOKENS[key] = Tokens(text, simple)
         tokens, counts = _TOKENS[key], np.zeros(0, dtype=np.int64)
         names, kinds = ["kind", "_id", "n", "ids"], [pa.int32(), pa.int64(), pa.int64(), pa.binary()]
         for batch in batches:
@@ -453,7 +461,7 @@ def write_files(docs: DataFrame, vocabulary: str, folder: str, end_id: int | Non
     with open(vocabulary, encoding="utf-8") as f:
         text = f.read()
     last = max([*Tokenizer.from_str(text).get_vocab().values(), end_id or 0])
-    kind, source = "<u2" if last < 1 << 16 else "<u4", spark.sparkContext.broadcast(text)
+    kind, source = "<u2" if last < 1 << 16 else "<u4", spark.sparkContext.broadcast((text, simple_spec(text)))
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     coded = written(rows.mapInArrow(tokenize(source, end_id, kind), _CODED), "token_ids")
     counts = coded.where(F.col("kind") == _COUNTS).select("ids").mapInArrow(_unpack, "token long, count long")
