@@ -239,3 +239,34 @@ def test_descent_separates():
     assert all(np.sign(w[r].sum()) == v for r, v in zip(rows, y, strict=True))
 
 
+
+
+@pytest.mark.parametrize(("source", "text"), [
+    ("<table><tr><td rowspan=2>A<td>B<tr><td>C<tr><td>D<td>E</table>", "A  B\n   C\nD  E"),
+    ("<table><tr><td>a<td rowspan=0>long<td>c<tr><td>d<td>e<tr><td>f</table>", "a  long  c\nd        e\nf"),
+    ("<table><tr><td rowspan=2 colspan=2>A<td>B<tr><td>C<tr><td>xx<td>yy<td>D</table>", "A       B\n        C\nxx  yy  D"),
+    ("<table><tr><td>" + "x" * 59 + "<td>B<tr><td>s<td>C</table>", "x" * 59 + "  B\ns" + " " * 60 + "C"),
+    ("<table><tr><td>" + "word " * 20 + "<td>B<tr><td>s<td>C</table>", "word " * 14 + " B\n" + ("word " * 6).strip() + "\ns" + " " * 70 + "C"),
+    ("<table><tr><td>" + "y" * 100 + "<td>B<tr><td>s<td>C</table>", "y" * 100 + "  B\ns  C"),
+    ("<details><summary>S</summary>body<p>more<details open>in</details></details>after", "S\nafter"),
+    ("<details open><summary>S</summary>body</details>", "S\nbody"),
+    ("<details>text<summary>S<b>s</b></summary><summary>T</summary></details>", "Ss"),
+])
+def test_spans_wide_cells_and_details(source, text):
+    assert html_text.render(source) == text
+
+
+@pytest.mark.parametrize("unit", [("<b>", "</tr>"), ("<b>", "<td>"), ("<table>", "</td>"), ("<p>", "<li>"), ("<td>", "</table>")])
+def test_time_of_a_page_grows_with_its_length(unit):
+    import time
+
+    start = time.process_time()
+    html_text.render(unit[0] * 32000 + unit[1] * 32000)
+    assert time.process_time() - start < 10
+
+
+def test_wrapping_loses_no_word():
+    rng = random.Random(3)
+    cells = [" ".join("w" * rng.randrange(1, 90) for _ in range(rng.randrange(0, 60))) for _ in range(40)]
+    page = "<table>" + "".join(("<tr>" if k % 4 == 0 else "") + f"<td>{c}" for k, c in enumerate(cells)) + "</table>"
+    assert sorted(html_text.render(page).split()) == sorted(" ".join(cells).split())

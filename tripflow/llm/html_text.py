@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -85,8 +86,9 @@ HIDES = re.compile(r"display\s*:\s*none")
 FADES = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)")
 SPACE = re.compile(r"[ \t\n\f\r]+")
 OPEN, CLOSE, TEXT = 1, 2, 3
-#: A cell that is longer doesn't widen its column.
-WIDEST = 40
+#: Longer lines of a cell are broken between words; a longer word doesn't widen
+#: its column.
+WRAP = 72
 
 
 def attributes(source: str) -> dict[str, str]:
@@ -103,8 +105,13 @@ def tree(source: str) -> Iterator[tuple[int, str, dict]]:
     modes: list[str] = []  # svg or math, where an open element's inside is that
     foreign: dict[str, int] = {}  # open elements of SVG and MathML, by name
     count: list[dict[str, int]] = [{}]  # open elements by name, for each scope
+    places: dict[str, list[int]] = {}  # where open elements are, by name
+    scopes: list[int] = []  # where open scopes are
 
     def opened(name: str, mode: str = "") -> None:
+        places.setdefault(name, []).append(len(stack))
+        if name in SCOPES:
+            scopes.append(len(stack))
         stack.append(name)
         modes.append(mode)
         if " " in name:
@@ -118,34 +125,34 @@ def tree(source: str) -> Iterator[tuple[int, str, dict]]:
         while len(stack) > k:
             name = stack.pop()
             modes.pop()
+            places[name].pop()
             if " " in name:
                 foreign[name.partition(" ")[2]] -= 1
             if name in SCOPES:
+                scopes.pop()
                 count.pop()
             count[-1][name] -= 1
             yield CLOSE, name, {}
 
     def innermost(name: str) -> int:
-        """Place of the element that an end tag closes, or -1."""
-        reaching = name in REACHING
-        if not reaching and not count[-1].get(name):
+        """Place of the element that an end tag closes, or -1: the last of its
+        name, unless a table (for what reaches) or a scope was opened after it."""
+        own = places.get(name)
+        if not own:
             return -1
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k] == name:
-                return k
-            if stack[k] == "table" if reaching else stack[k] in SCOPES:
-                return -1
-        return -1
+        wall = places.get("table") if name in REACHING else scopes
+        return own[-1] if not wall or own[-1] >= wall[-1] else -1
 
     def outermost(names: frozenset, bounds: frozenset) -> int:
         """Place of the outermost of ``names`` this side of ``bounds``, or -1."""
+        wall = max((own[-1] for b in bounds if (own := places.get(b))), default=-1)
         found = -1
         if names & REACHING or any(count[-1].get(n) for n in names):
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k] in bounds:
-                    break
-                if stack[k] in names:
-                    found = k
+            for n in names:
+                own = places.get(n, ())
+                k = bisect_right(own, wall)
+                if k < len(own) and (found < 0 or own[k] < found):
+                    found = own[k]
         return found
 
     def text(s: str) -> Iterator[tuple[int, str, dict]]:
@@ -283,19 +290,54 @@ class Flow:
         self.gap = max(self.gap, margin)
 
 
-def aligned(rows: list[list[tuple[list[str], int]]]) -> Iterator[str]:
-    """Lines of a table: a cell starts where its column starts in every row."""
+def wrapped(lines: list[str]) -> list[str]:
+    """Long lines broken between words; what is laid out already stays."""
+    out = []
+    for line in lines:
+        if len(line) <= WRAP or "  " in line.strip():
+            out.append(line)
+            continue
+        lead = line[: len(line) - len(line.lstrip())]
+        now = lead
+        for word in line.split():
+            if now != lead and len(now) + 1 + len(word) > WRAP:
+                out.append(now)
+                now = lead
+            now += word if now == lead else " " + word
+        out.append(now)
+    return out
+
+
+#: Lines of a cell, and the columns and rows that it spans.
+Cell = tuple[list[str], int, int]
+
+
+def aligned(rows: list[list[Cell]]) -> Iterator[str]:
+    """Lines of a table: a cell starts where its column starts in every row; the
+    columns that a cell of a row above still spans are left out."""
     widths: dict[int, int] = {}
+    placed: list[list[tuple[int, list[str], int]]] = []
+    taken: dict[int, int] = {}  # rows that a column is still spanned for
     for row in rows:
-        column = 0
-        for lines, span in row:
+        column, own, now = 0, [], {}
+        for lines, span, down in row:
+            while taken.get(column, 0):
+                column += 1
+            lines = wrapped(lines)
+            own.append((column, lines, span))
             if span == 1:
-                widths[column] = max(widths.get(column, 0), *(len(x) for x in lines if len(x) <= WIDEST), 0, 0)
+                widths[column] = max(widths.get(column, 0), *(len(x) for x in lines if len(x) <= WRAP), 0, 0)
+            if down > 1:
+                now |= dict.fromkeys(range(column, column + span), down)
             column += span
-    for row in rows:
-        for k in range(max([len(lines) for lines, _ in row], default=0)):
+        taken = {c: n - 1 for c, n in (taken | now).items() if n > 1}
+        placed.append(own)
+    for row in placed:
+        for k in range(max([len(lines) for _, lines, _ in row], default=0)):
             out, column, due = "", 0, 0
-            for lines, span in row:
+            for at, lines, span in row:
+                due += sum(widths.get(c, 0) + 2 for c in range(column, at))
+                column = at
                 part = lines[k] if k < len(lines) else ""
                 if part:
                     out = out.ljust(due) if len(out) < due or not out else out + "  "
@@ -328,17 +370,18 @@ def render(source: str) -> str:
     """All visible text of a page, laid out."""
     flows, hidden, faded, kept = [Flow()], 0, [False], 0
     lists: list[list] = []  # kind and number of each open list
-    tables: list[list[list[tuple[list[str], int]]]] = []
-    cells: list[tuple[str, int]] = []
+    tables: list[list[list[Cell]]] = []
+    cells: list[tuple[int, int]] = []
     selects: list[Select] = []
     options: list[dict] = []
     drawn = [True]  # does text show here? In an SVG only inside text elements
     parts = [0]  # elements so far in each open element
+    folded, summed = [False], [False]  # closed details, with a summary so far?
     undo: list[tuple] = []
     for what, name, attrs in tree(source):
         flow = flows[-1]
         if what == TEXT:
-            if not hidden and not faded[-1] and drawn[-1]:
+            if not hidden and not faded[-1] and drawn[-1] and not folded[-1]:
                 (flow.keep if kept else flow.text)(name)
             continue
         if what == OPEN:
@@ -347,6 +390,9 @@ def render(source: str) -> str:
             if name == "option" and selects and not selects[-1].all:
                 dark = False  # a closed drop-down shows its choice all the same
             around = undo[-1][0] if undo else ""
+            if folded[-1]:  # of a closed details only its first summary shows
+                dark = dark or name != "summary" or summed[-1]
+                summed[-1] = summed[-1] or name == "summary"
             if " " in name:
                 dark = dark or attrs.get("display") == "none" or (around in FIRST_SHOWS and parts[-1] > 0)
                 drawn.append(name in ("svg text", "svg foreignobject") or (name != "svg svg" and drawn[-1]))
@@ -354,6 +400,8 @@ def render(source: str) -> str:
                 drawn.append(drawn[-1])
             parts[-1] += 1
             parts.append(0)
+            folded.append(name == "details" and "open" not in attrs)
+            summed.append(False)
             undo.append((name, dark))
             hidden += dark
             fade = FADES.search(style) if style else None
@@ -391,7 +439,8 @@ def render(source: str) -> str:
             elif name in ("td", "th") and tables:
                 if not tables[-1]:
                     tables[-1].append([])
-                cells.append((name, max(1, min(1000, _count(attrs.get("colspan"), 1)))))
+                down = _count(attrs.get("rowspan"), 1)
+                cells.append((max(1, min(1000, _count(attrs.get("colspan"), 1))), min(65534, down) if down > 0 else 1 if down < 0 else 65534))
                 flows.append(Flow())
             elif name in MARGINS:
                 flow.block(0 if name in ("ul", "ol", "menu") and lists else MARGINS[name])
@@ -412,6 +461,8 @@ def render(source: str) -> str:
         faded.pop()
         drawn.pop()
         parts.pop()
+        folded.pop()
+        summed.pop()
         if hidden:
             hidden -= dark
             continue
@@ -437,9 +488,8 @@ def render(source: str) -> str:
             flow.block(0)
         elif name in ("td", "th") and tables and cells:
             flow.end_line()
-            _, span = cells.pop()
             flows.pop()
-            tables[-1][-1].append((flow.lines, span))
+            tables[-1][-1].append((flow.lines, *cells.pop()))
         elif name == "table" and tables:
             flow.end_line()
             rows = tables.pop()
