@@ -23,12 +23,16 @@ def _with_text(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep. NULL and empty texts have no words and
+    go; every row is judged on its own, so repeated rows and ids, NULL ids too, stay
+    or go alike; no documents give none."""
     return quality_rules.keep_good(docs)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without the lines of windows that occur earlier."""
+    """Every document, without the lines of windows that occur earlier (by id,
+    then text: of repeated rows the first keeps its lines). A NULL text stays NULL,
+    an empty one empty; rows without an id stay; no documents give none."""
     return _with_text(line_dedup.dedup_lines(docs), docs.columns)
 
 
@@ -43,19 +47,24 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     ids = rows.select("_key", F.col("_row.doc_id").alias("_doc")).distinct()
     member = groups.select("_key", "component_id").distinct().join(ids.hint("merge"), "_key")
     first = member.groupBy("component_id").agg(F.min(F.struct("_doc", "_key")).alias("m")).select("m._key")
-    # Of rows of one id and text the least, so that reruns agree.
-    known = rows.join(first.hint("merge"), "_key", "left_semi").groupBy("_key").agg(F.min("_row").alias("_row")).select("_row.*")
+    kept = mixing.first_row(docs.columns, ("doc_id", "text"))
+    known = rows.join(first.hint("merge"), "_key", "left_semi").groupBy("_key").agg(kept).select("_row.*")
     return known.unionByName(docs.where("doc_id IS NULL"))
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: a row for each time words of a document are used, with those
-    words. A document of a source that is used in part may have no row."""
+    words. A document of a source that is used in part may have no row, and
+    neither has one without words (NULL, empty or white space). A NULL source is a
+    source; rows of one id, text and source are put together; no documents give
+    none."""
     return _with_text(mixing.mixed_documents(docs, mixing.mix(docs)), docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text of the mix, and a digest of their decoding."""
+    """Token ids of every text of the mix, and a digest of their decoding. A NULL
+    or empty text has no ids; one row a row, repeated or without an id; no documents
+    give none."""
     coded = bpe.encode_documents(docs, vocabulary())
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", digest(F.col("decoded")).alias("decoded_sha256"))
 
