@@ -38,6 +38,29 @@ def enrich_vendor(fact: DataFrame, dim: DataFrame) -> DataFrame:
     return fact.join(F.broadcast(dim), on="vendor_id", how="left")
 
 
+def enrich_rate_code(trips: DataFrame, dim: DataFrame) -> DataFrame:
+    """S5's rate names beside Silver's rate codes (fixed dictionary table of seven
+    rows, broadcast)."""
+    return trips.join(F.broadcast(dim.withColumnRenamed("rate_code_id", "ratecode_id")), on="ratecode_id", how="left")
+
+
+def enrich_store_flag(trips: DataFrame, dim: DataFrame) -> DataFrame:
+    """S5's descriptions of the store-and-forward flag (two rows, broadcast)."""
+    return trips.join(F.broadcast(dim), on="store_and_fwd_flag", how="left")
+
+
+def rate_summary(trips: DataFrame, rates: DataFrame, flags: DataFrame) -> DataFrame:
+    """Trips, revenue and mean fare of each year by rate and by how the record
+    was sent. Grouped by code first, so that the dictionaries meet a few rows."""
+    keys = ("trip_year", "ratecode_id", "store_and_fwd_flag")
+    totals = trips.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("total_trips"), F.sum("total_amount").alias("total_revenue"), F.avg("fare_amount").alias("avg_fare")
+    )
+    return enrich_store_flag(enrich_rate_code(totals, rates), flags).select(
+        "trip_year", "ratecode_id", "rate_name", "store_flag_desc", "total_trips", "total_revenue", "avg_fare"
+    )
+
+
 def enrich_location(fact: DataFrame, dim: DataFrame) -> DataFrame:
     """The zone lookup joins on differently named keys. No hint: the
     lookup is a file whose size the planner knows, so it broadcasts it when

@@ -597,6 +597,11 @@ def all_facts(source: str) -> str:
         for k, (sql, doubles) in FACT_SQL.items())
 
 
+RATES = "(1, 'Standard'), (2, 'JFK'), (3, 'Newark'), (4, 'Nassau/Westchester'), (5, 'Negotiated fare'), (6, 'Group ride'), (99, 'Unknown')"
+add("rate_summary", ST_CTES, f"""SELECT trip_year, ratecode_id, rate_name, store_flag_desc, count(*) AS total_trips, sum(total_amount) AS total_revenue, avg(fare_amount) AS avg_fare
+FROM ST LEFT JOIN (VALUES {RATES}) r(code, rate_name) ON ratecode_id = code
+LEFT JOIN (VALUES ('Y', 'Stored and forwarded'), ('N', 'Sent directly')) f(flag, store_flag_desc) ON store_and_fwd_flag = flag
+GROUP BY ALL""", ("total_revenue", "avg_fare"))
 ORACLE["fact_grouping_sets"] = with_ctes(ST_CTES, all_facts("ST"))
 ORACLE["medallion_gold"] = with_ctes([*BRONZE_CTES, *silver_ctes("SB", "DEDUP")], all_facts("SB"))
 ORACLE["live_facts"] = ORACLE["medallion_gold"]

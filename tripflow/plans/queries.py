@@ -1121,6 +1121,12 @@ def _all_facts(facts: dict):
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
 
 
+@register("rate_summary")
+def q_rate_summary(spark, sf):
+    """The rate code and store flag dictionaries beside Silver."""
+    return history.rate_summary(inputs.silver_trips(spark, sf), gold.dim_rate_code(spark), gold.dim_store_forward_flag(spark))
+
+
 @register("fact_grouping_sets")
 def q_fact_grouping_sets(spark, sf):
     """The six facts from one GROUPING SETS pass."""

@@ -16,8 +16,9 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tripflow.operators.bronze import enforce_schema
+from tripflow.operators.bronze import TRIP_SCHEMA, enforce_schema
 from tripflow.sources.storage import Storage
 
 # Landed file naming (``year=YYYY/yellow_tripdata_YYYY-MM.parquet``).
@@ -29,10 +30,15 @@ def _with_source(df: DataFrame) -> DataFrame:
     return df.withColumn("source_file", F.col("_metadata.file_path"))
 
 
-def read_landing(spark: SparkSession, path: str) -> DataFrame:
-    """Every landed file as one dataset (schemas merged), with the file
-    each row came from."""
-    return _with_source(spark.read.option("mergeSchema", True).parquet(path))
+def read_landing(spark: SparkSession, path: str, schema: StructType | None = TRIP_SCHEMA) -> DataFrame:
+    """Every landed file as one dataset, with the file each row came from.
+
+    Read with the declared schema, whatever the number of files: no footer is
+    opened before the scan, a column that a file lacks is NULL. Without a schema
+    those of all files are merged, which opens every footer. Files whose types
+    conflict are for ``read_landing_files``."""
+    reader = spark.read.option("mergeSchema", True) if schema is None else spark.read.schema(schema)
+    return _with_source(reader.parquet(path))
 
 
 #: Files whose footers one task reads.
