@@ -333,14 +333,17 @@ def plain_neighbours(rows, k, ask):
     return out
 
 
-def test_neighbours_equal_plain(spark, monkeypatch):
+@pytest.mark.parametrize("side_bytes", [512, 4096, 16 << 20])  # 8, 64 and all vectors a side
+def test_neighbours_equal_plain(spark, monkeypatch, side_bytes):
     monkeypatch.setattr(nearest, "TILE_ROWS", 32)
+    monkeypatch.setattr(nearest, "SIDE_BYTES", side_bytes)
     rng = np.random.default_rng(2)
     as32 = lambda v: [float(np.float32(x)) for x in v]
     rows = [(k, as32(rng.normal(size=8))) for k in range(260)]
     rows += [(300 + k, rows[40][1]) for k in range(60)]  # a common vector
     rows += [(5, rows[5][1]), (6, as32(rng.normal(size=8))), (400, [0.0] * 8), (401, None), (402, []), (403, [1.0, None] + [0.0] * 6)]
     rows += [(404, [float("nan")] * 8), (420, [float("inf")] * 8), (None, rows[1][1]), (405, [1.0, 2.0]), (440, [3.0, 1.0])]
+    rows += [(7, as32(rng.normal(size=8))) for _ in range(100)]  # a common id
     df = spark.createDataFrame([(i, v, "x", 1, "y") for i, v in rows], "vec_id long, embedding array<float>, tile string, label int, _v string")
     got = Counter(map(tuple, nearest.neighbours(df, F.col("vec_id") % 20 == 0, k=7).select("query_id", "rank", "vec_id", "score").collect()))
     assert got == plain_neighbours(rows, 7, lambda q: q % 20 == 0)

@@ -1,18 +1,22 @@
 """Nearest neighbours by a block matrix join.
 
-Vectors are packed into tiles of about ``TILE_ROWS`` rows, each row also as int8
-with a scale of its own. A tile of queries meets every tile of candidates: the
-int8 product and the norms of both rounding errors bound each inner product, and
-a pair whose upper bound is below the k-th best lower bound is out. Survivors are
-computed in double precision from the original vectors and merged into a heap of
-k for each query; heaps of different tasks merge by rank. Nothing is approximate
-about the result: the bounds never drop a true neighbour.
+Vectors are packed into tiles of about ``TILE_ROWS`` rows, tiles into sides of about
+``SIDE_BYTES``. A side of queries meets a side of candidates in one task, tile by
+tile: each row is rounded to int8 with a scale of its own, once a task; the int8
+product and the norms of both rounding errors bound each inner product, and a pair
+whose upper bound is below the k-th best lower bound is out. Survivors are computed
+in double precision from the original vectors and merged into the k best of each
+query (sorted runs of k, which serve as heaps); those of different tasks merge by
+rank. Nothing is approximate about the result: the bounds never drop a true
+neighbour. Each side is sent once for each side it meets, so wide sides keep down
+what moves; the product of two tiles is what bounds memory.
 
 Defined results: vectors that are NULL, empty, all zero or hold a NULL or
 non-finite component take no part, nor do rows without an id; vectors meet only
-vectors of their length; of rows that repeat an id the first vector in byte
-order counts; equal scores rank by the smaller id; fewer candidates than k give
-fewer rows; an empty table gives an empty table; other columns are ignored.
+vectors of their length; of rows that repeat an id the smallest vector of each
+length counts, by the order of components; equal scores rank by the smaller id;
+fewer candidates than k give fewer rows; an empty table gives an empty table; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,9 +29,9 @@ from pyspark.sql.window import Window
 from tripflow.session import ship_package
 
 TILE_ROWS = 1024
-#: Candidate tiles that one task sets against a tile of queries.
-TILES_A_TASK = 4
-_TILE = "dim int, tile long, ids binary, vectors binary"
+#: Vectors, as doubles, of the queries and of the candidates of one task.
+SIDE_BYTES = 16 << 20
+_TILE = "dim int, side long, ids binary, vectors binary"
 
 
 def usable(vector: Column) -> Column:
@@ -35,10 +39,8 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0)
 
 
-def tiles(rows: DataFrame) -> DataFrame:
-    """Rows (_id, _v) packed by a hash of the id."""
-    total = rows.count()
-    n = max(1, -(-total // TILE_ROWS))
+def tiles(rows: DataFrame, n_tiles: int, n_sides: int) -> DataFrame:
+    """Rows (dim, _id, _v) packed by a hash of the id; tiles are dealt to sides."""
 
     def pack(table):
         import pyarrow as pa
@@ -46,19 +48,12 @@ def tiles(rows: DataFrame) -> DataFrame:
         ids = table.column("_id").to_numpy()
         dim = table.column("dim")[0].as_py()
         flat = table.column("_v").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        vectors = flat.astype(np.float64).reshape(len(ids), dim)
-        order = np.lexsort([*vectors.T[::-1], ids])
-        ids, vectors = ids[order], vectors[order]
-        first = np.append(True, ids[1:] != ids[:-1])
         return pa.table({
-            "dim": pa.array([dim], pa.int32()), "tile": table.column("tile").slice(0, 1),
-            "ids": [ids[first].tobytes()], "vectors": [vectors[first].tobytes()],
+            "dim": pa.array([dim], pa.int32()), "side": pa.array([table.column("tile")[0].as_py() % n_sides], pa.int64()),
+            "ids": [ids.tobytes()], "vectors": [flat.astype(np.float64).tobytes()],
         })
 
-    return (
-        rows.withColumn("dim", F.size("_v")).withColumn("tile", F.pmod(F.xxhash64("_id"), F.lit(n)))
-        .groupBy("dim", "tile").applyInArrow(pack, _TILE)
-    )
+    return rows.withColumn("tile", F.pmod(F.xxhash64("_id"), F.lit(n_tiles))).groupBy("dim", "tile").applyInArrow(pack, _TILE)
 
 
 class Tile:
@@ -107,40 +102,42 @@ def neighbours(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str =
     """``query_id``, ``rank`` (from 1), ``vec_id`` and ``score`` of each query's
     k nearest rows by inner product. ``is_query`` is over ``id_col``."""
     ship_package(vectors.sparkSession)
-    rows = (
+    known = (
         vectors.where(usable(F.col(vector_col)) & F.col(id_col).isNotNull())
         .select(F.col(id_col).cast("long").alias("_id"), F.col(vector_col).cast("array<double>").alias("_v"), is_query.alias("_q"))
+        .withColumn("dim", F.size("_v"))
     )
-    asked = tiles(rows.where("_q").select("_id", "_v"))
-    there = tiles(rows.select("_id", "_v"))
-    n_groups = max(1, -(-rows.count() // (TILE_ROWS * TILES_A_TASK)))
-    n_asked = max(1, -(-rows.where("_q").count() // TILE_ROWS))
+    asks = F.coalesce(F.col("_q").cast("int"), F.lit(0))
+    size = known.agg(F.count("*"), F.sum("dim"), F.sum(asks), F.sum(asks * F.col("dim"))).first()
+    n_tiles, n_asked_tiles = (max(1, -(-(rows or 0) // TILE_ROWS)) for rows in (size[0], size[2]))
+    n_sides, n_asked = (max(1, -(-(numbers or 0) * 8 // SIDE_BYTES)) for numbers in (size[1], size[3]))
+    # Combined before the shuffle, so rows of one id never gather in a task.
+    rows = known.groupBy("dim", "_id").agg(F.min("_v").alias("_v"), F.max("_q").alias("_q"))
     sequence = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
-    left = asked.withColumn("part", sequence(n_groups))
-    right = there.withColumn("part", F.col("tile") % n_groups).withColumn("asked", sequence(n_asked))
+    left = tiles(rows.where("_q").drop("_q"), n_asked_tiles, n_asked).withColumnRenamed("side", "asked").withColumn("part", sequence(n_sides))
+    right = tiles(rows.drop("_q"), n_tiles, n_sides).withColumnRenamed("side", "part").withColumn("asked", sequence(n_asked))
 
     def meet(ours, theirs):
         import pyarrow as pa
 
-        out = []
-        for row in ours.to_pylist():
-            q = Tile(row["dim"], row["ids"], row["vectors"])
-            found = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-            floor = np.full(len(q.ids), -np.inf)
-            for i in range(theirs.num_rows):
-                c = Tile(row["dim"], theirs.column("ids")[i].as_py(), theirs.column("vectors")[i].as_py())
-                at, to = survivors(q, c, floor, k)
+        queries = [Tile(row["dim"], row["ids"], row["vectors"]) for row in ours.to_pylist()]
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)) for _ in queries]
+        floor = [np.full(len(q.ids), -np.inf) for q in queries]
+        for i in range(theirs.num_rows if queries else 0):
+            c = Tile(theirs.column("dim")[i].as_py(), theirs.column("ids")[i].as_py(), theirs.column("vectors")[i].as_py())
+            for j, q in enumerate(queries):
+                at, to = survivors(q, c, floor[j], k)
                 new = at, c.ids[to], exact_scores(q, c, at, to)
-                found = best(*(np.concatenate(x) for x in zip(found, new, strict=True)), k)
-                ends = np.searchsorted(found[0], np.arange(len(q.ids)), side="right")
-                full = np.bincount(found[0], minlength=len(q.ids)) >= k
-                floor[full] = found[2][ends[full] - 1]
-            out.append(pa.table({"query_id": q.ids[found[0]], "vec_id": found[1], "score": found[2]}))
+                found[j] = best(*(np.concatenate(x) for x in zip(found[j], new, strict=True)), k)
+                ends = np.searchsorted(found[j][0], np.arange(len(q.ids)), side="right")
+                full = np.bincount(found[j][0], minlength=len(q.ids)) >= k
+                floor[j][full] = found[j][2][ends[full] - 1]
+        out = [pa.table({"query_id": q.ids[f[0]], "vec_id": f[1], "score": f[2]}) for q, f in zip(queries, found, strict=True)]
         empty = pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         return pa.concat_tables([*out, empty])
 
     heaps = (
-        left.groupBy("dim", "tile", "part")
+        left.groupBy("dim", "asked", "part")
         .cogroup(right.groupBy("dim", "asked", "part"))
         .applyInArrow(meet, "query_id long, vec_id long, score double")
     )
