@@ -34,6 +34,8 @@ from tripflow.llm.words import U64, mix, pieces, text_buffer, word_hashes, writt
 from tripflow.session import ship_package
 
 BLOCK_BYTES = 10 << 20
+#: Tasks that the deleted blocks are dealt to, at most (a task takes many in turn).
+MOST_TASKS = 20_000
 KEY_BITS = 48
 END, START = U64(0x5851F42D4C957F2D), U64(0x14057B7EF767814F)
 BUCKETS = 48
@@ -258,9 +260,11 @@ def score_documents(docs: DataFrame, fold: Column, id_col: str = "doc_id", text_
     answers = written(sent.groupBy("shard").applyInArrow(_answer, _ANSWER), "lm_counts")
     sizes = answers.where("block < 0").agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("v", "kept_v", "n", "kept_n"))).first()
     held = answers.where((F.col("block") >= blocks[0]) & (F.col("block") < blocks[0] + blocks[1])).select("block", "shard", "kept_words", "kept_pairs")
+    # Packed blocks are small on the wire but not to work on: tasks go by their number.
+    tasks = min(blocks[1], MOST_TASKS)
     cells = (
-        dealt.where(F.col("fold") == DELETED).select("block", "_text").groupBy("block")
-        .cogroup(held.groupBy("block")).applyInArrow(_events(sizes["kept_n"]), "b long, c2 long, c1 long, times long, two double, one double")
+        dealt.where(F.col("fold") == DELETED).select("block", "_text").repartition(tasks, "block").groupBy("block")
+        .cogroup(held.repartition(tasks, "block").groupBy("block")).applyInArrow(_events(sizes["kept_n"]), "b long, c2 long, c1 long, times long, two double, one double")
         .groupBy("b", "c2", "c1").agg(*(F.sum(c).alias(c) for c in ("times", "two", "one"))).toPandas()  # cells, not tokens
     )
     model = Model(mixture(cells, sizes["kept_v"]), sizes["n"], sizes["v"])
