@@ -101,9 +101,15 @@ class Medallion:
         return self.io.overwrite(fc, "forecast")
 
 
+#: Rows that one task writes as landed files.
+ROWS_A_TASK = 1 << 20
+
+
 def land_files(df: DataFrame, path: str, files: int = 8, year_col: str = "tpep_dropoff_datetime") -> str:
     """Write trip rows as landed files, one folder per year; copies of a trip
-    land in one file."""
-    dealt = df.repartition(files, *DEDUP_KEYS)
+    land in one file. The number of tasks (``files`` at least) grows with the rows,
+    and each takes a range of times, so it writes few folders."""
+    tasks = max(files, -(-df.count() // ROWS_A_TASK))
+    dealt = df.repartitionByRange(tasks, year_col, *(k for k in DEDUP_KEYS if k != year_col))
     dealt.withColumn("year", F.year(year_col)).write.partitionBy("year").parquet(path)
     return path
