@@ -107,8 +107,10 @@ def read_landing_files(spark: SparkSession, paths, schemas: dict | None = None)
 
     Files are grouped by their own schema; each group is one scan with that
     schema, normalised and typed to the declared one, and the groups are
-    aligned by column name. A file without a readable footer raises
-    ``ValueError``; ``read_schemas`` tells beforehand.
+    aligned by column name. A scan takes as many files as there are cores, so that
+    Spark packs no more than about one file into a task, however many there are.
+    A file without a readable footer raises ``ValueError``; ``read_schemas`` tells
+    beforehand.
     """
     paths = list(paths)
     if not paths:
@@ -120,7 +122,9 @@ def read_landing_files(spark: SparkSession, paths, schemas: dict | None = None)
     groups: dict[str, list[str]] = {}
     for p in paths:
         groups.setdefault(schemas[p].json(), []).append(p)
-    parts = [enforce_schema(_with_source(spark.read.schema(schemas[ps[0]]).parquet(*ps))) for ps in groups.values()]
+    most = spark.sparkContext.defaultParallelism
+    scans = [ps[k: k + most] for ps in groups.values() for k in range(0, len(ps), most)]
+    parts = [enforce_schema(_with_source(spark.read.schema(schemas[ps[0]]).parquet(*ps))) for ps in scans]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
