@@ -15,6 +15,7 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
+    TimestampNTZType,
     TimestampType,
 )
 
@@ -149,7 +150,10 @@ def dedup_trips(
     a key holding millions of copies costs one row per map task, not one
     giant window partition in a single task.
     """
-    group = list(keys) + ([within] if within else [])
+    # Times first: rows are sorted by the first key's value, and compared by the
+    # others only where it is equal.
+    times = [k for k in keys if isinstance(df.schema[k].dataType, (TimestampType, TimestampNTZType))]
+    group = times + [k for k in keys if k not in times] + ([within] if within else [])
     rest = [c for c in df.columns if c not in group]
     if not rest:
         return df.dropDuplicates(group)

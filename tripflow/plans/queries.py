@@ -1040,12 +1040,13 @@ def q_stream_quarantine(spark, sf):
 
 @register("stream_replay")
 def q_stream_replay(spark, sf):
-    """A batch that is run again replaces itself."""
+    """Batches that are run again replace themselves."""
     root, t = _streamed(spark, sf)
     checkpoint = f"{root}/_checkpoint"
-    load_id = bronze_stream.load_name(bronze_stream.stream_id(spark, checkpoint), 0)
-    first = bronze_stream.read_table(spark, t["ledger"]).filter(F.col("load_id") == load_id).select(F.col("file_name").alias("path"))
-    bronze_stream.bronze_batch(spark, root, LO, HI, checkpoint)(first, 0)
+    ledger, again = bronze_stream.read_table(spark, t["ledger"]), bronze_stream.bronze_batch(spark, root, LO, HI, checkpoint)
+    for k in range(ledger.select("load_id").distinct().count()):
+        load_id = bronze_stream.load_name(bronze_stream.stream_id(spark, checkpoint), k)
+        again(ledger.filter(F.col("load_id") == load_id).select(F.col("file_name").alias("path")), k)
     return _stream_rows(spark, t["bronze"]).drop("folder")
 
 
