@@ -1109,8 +1109,7 @@ def q_profile_distinct(spark, sf):
     relative standard deviations."""
     typed = inputs.typed_trips(spark, sf)
     rsd = 0.05
-    exact = typed.agg(*[F.count_distinct(F.col(c)).alias(c) for c in typed.columns])
-    rows = exact.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("distinct_values")) for c in typed.columns])))
+    rows = profile.exact_distinct(typed)
     near = F.abs(F.col("approx_distinct") - F.col("distinct_values")) <= F.greatest(F.lit(1.0), 3 * rsd * F.col("distinct_values"))
     return rows.join(profile.profile_distinct(typed, rsd), "column").select("column", "distinct_values", near.alias("estimate_ok"))
 
@@ -1198,10 +1197,10 @@ def q_live_profile(spark, sf):
             below, upto = (F.sum(x.cast("long")) for x in (F.col(c).cast("double") < q, F.col(c).cast("double") <= q))
             sides += [below <= n * (share + profile.RANK_ERROR) + 1, upto >= n * (share - profile.RANK_ERROR) - 1]
         ok = reduce(lambda a, b: a & F.coalesce(b, F.lit(True)), sides)
-        aggs.append(F.struct(F.lit(c).alias("column"), n.alias("rows"), F.count_distinct(c).alias("distinct_values"), ok.alias("quartiles_ok"), (F.lit(c in cut) == ((n > 0) & F.lit(c in numbers))).alias("has_quartiles")).alias(f"c_{c}"))
+        aggs.append(F.struct(F.lit(c).alias("column"), n.alias("rows"), ok.alias("quartiles_ok"), (F.lit(c in cut) == ((n > 0) & F.lit(c in numbers))).alias("has_quartiles")).alias(f"c_{c}"))
     exact = rows.agg(*aggs).select(F.inline(F.array(*[F.col(f"c_{c}") for c in columns])))
     near = F.abs(F.col("approx_distinct") - F.col("distinct_values")) <= F.greatest(F.lit(1.0), 3 * profile.DISTINCT_ERROR * F.col("distinct_values"))
-    return got.select("column", F.col("rows").alias("sketched"), "approx_distinct").join(exact, "column").select(
+    return got.select("column", F.col("rows").alias("sketched"), "approx_distinct").join(exact, "column").join(profile.exact_distinct(rows, columns), "column").select(
         "column", "rows", "distinct_values", (F.col("sketched") == F.col("rows")).alias("same_rows"), near.alias("estimate_ok"), "quartiles_ok", "has_quartiles")
 
 
