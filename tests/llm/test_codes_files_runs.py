@@ -229,6 +229,42 @@ def test_memory_of_words_can_be_small(monkeypatch):
         assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:], strict=False)] == [plain_ids(t)[:-1] for t in texts]
 
 
+def test_new_and_known_words_cost_no_calls_each():
+    import sys
+
+    import pyarrow as pa
+
+    source = open(vocabulary(), encoding="utf-8").read()
+    rng = random.Random(8)
+    letters = lambda: "".join(rng.choice("etaoinshr") for _ in range(9))
+    tokens, many = token_files.Tokens(source, token_files.simple_spec(source)), sorted({letters() for _ in range(20000)})
+    for texts in ([" ".join(many[k::50]).capitalize() + "." for k in range(50)], [" ".join(many)]):
+        data, calls = text_buffer(pa.array(texts)), Counter()
+        sys.setprofile(lambda _, event, __: calls.update([event]))
+        try:
+            ids, ends = tokens.encode(*data)
+        finally:
+            sys.setprofile(None)
+        assert calls["call"] + calls["c_call"] < len(many) / 4
+        assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:], strict=False)] == [plain_ids(t)[:-1] for t in texts]
+
+
+def test_words_are_looked_up_over_many_pieces(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(token_files, "TEXT_BYTES", 300)
+    monkeypatch.setattr(token_files, "LOOKED_UP_BYTES", 1000)
+    monkeypatch.setattr(token_files, "REMEMBERED_WORDS", 50)
+    source = open(vocabulary(), encoding="utf-8").read()
+    rng = random.Random(9)
+    texts = ["", " \t ", *(prose(rng, 40) + rng.choice([" Élève, straße.", " ǅ ſ ŉ ª", " <|ENDOFTEXT|>x", "", "..."]) for _ in range(60)), "\n", "", prose(rng, 900)]
+    for spec in (token_files.simple_spec(source), None):
+        tokens = token_files.Tokens(source, spec)
+        for some in (texts, texts[::-1], [], [""], ["", " "]):
+            ids, ends = tokens.encode(*text_buffer(pa.array(some, pa.string())))
+            assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:], strict=False)] == [plain_ids(t)[:-1] for t in some]
+
+
 # ------------------------------------------------------------ periodic runs
 
 

@@ -30,15 +30,15 @@ import json
 import os
 import zlib
 from collections.abc import Iterator
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripflow.llm.bpe import spread
-from tripflow.llm.words import SOLID, lowered, pieces, shuffles_dropped, text_buffer, word_bounds, written
+from tripflow.llm.bpe import byte_letters, spread
+from tripflow.llm.words import SOLID, pieces, shuffles_dropped, text_buffer, word_bounds, written
 from tripflow.session import ship_package
 
 LANES = 256
@@ -215,7 +215,12 @@ GROUP = 256
 END = "</w>"
 #: Letters below are letters to everyone, and composed.
 LATIN = "\u0250"
-TEXT_BYTES = 1 << 22
+#: Texts are cut into words in pieces of as many bytes, and as many have their words
+#: looked up together: the words met are hashed again each time.
+TEXT_BYTES = 1 << 20
+LOOKED_UP_BYTES = 1 << 23
+_BLANKS = np.flatnonzero(~SOLID).astype(np.uint8).tobytes()
+_LETTERS = {k: c for k, c in enumerate(byte_letters()) if k != 0x20}
 
 
 #: As many marks at a word's end are looked at.
@@ -228,16 +233,17 @@ _KIND[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = _PLAIN
 
 def simple_spec(source: str) -> str | None:
     """The tokenizer file for words of small Latin letters, which its normalizer
-    leaves as they are and its pattern leaves whole, so neither is needed; None if
+    leaves as they are and its pattern leaves whole, so neither is needed; nor are
+    byte letters, which the words come in (those of a to z are themselves). None if
     the file is of another kind."""
     spec = json.loads(source)
     steps = lambda part, name: [x["type"] for x in (spec[part] or {}).get(name, [])]
     if steps("normalizer", "normalizers") != ["NFC", "Replace", "Lowercase"] or steps("pre_tokenizer", "pretokenizers") != ["Split", "ByteLevel"]:
         return None
     split, letters = spec["pre_tokenizer"]["pretokenizers"]
-    if r"[\p{L}]+" not in split["pattern"].get("Regex", "").split("|"):
+    if r"[\p{L}]+" not in split["pattern"].get("Regex", "").split("|") or letters.get("add_prefix_space", True) or letters.get("use_regex", True):
         return None
-    spec |= {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, letters]}}
+    spec |= {"normalizer": None, "added_tokens": [], "pre_tokenizer": {"type": "WhitespaceSplit"}}
     return json.dumps(spec)
 
 
@@ -263,12 +269,14 @@ class Tokens:
     """Ids of texts by a ``tokenizers`` file whose pre-tokens hold no white space:
     words between blanks are encoded once, in lower case, as the tokenizer makes
     them, and without the marks behind them, which are a pre-token of their own.
-    The ids of all words met lie in one array; ``known`` has each word's number
-    there. Pieces of text that hold a special token are left as they are."""
+    All words met lie in one Arrow array, ``known``, and their ids in another;
+    a word's number is its place in the first. Pieces of text that hold a special
+    token are left as they are."""
 
     def __init__(self, source: str, simple: str | None = None):
         """``simple``: what ``simple_spec`` makes of the file."""
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import pyarrow as pa
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(source)
@@ -279,81 +287,108 @@ class Tokens:
         names = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(names.values()) + 1, dtype=bool)
         self.ends[[i for name, i in names.items() if name.endswith(END)]] = True
-        self.known: dict[bytes, int] = {}
-        self.ids, self.count, self.hits = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.letters = 0
+        self.known = pa.array([], pa.large_binary())
+        self.ids, self.letters = np.zeros(0, np.uint32), 0
+        self.first, self.count, self.hits = (np.zeros(0, np.int32) for _ in range(3))
 
     def forget(self) -> None:
         """Keeps the words that were met more than once, the more the longer."""
-        stay = self.hits > 1
-        old = np.flatnonzero(stay)
-        self.ids, self.count = self.ids[spread((np.cumsum(self.count) - self.count)[old], self.count[old])], self.count[old]
-        self.hits = self.hits[old] // 2
-        number = np.cumsum(stay) - 1
-        self.known = {w: int(number[k]) for w, k in self.known.items() if stay[k]}
-        self.letters = sum(map(len, self.known))
-
-    def each(self, words: list[str], simple: bool) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the words, flat, and how many each has. Simple words go to the
-        tokenizer as one text: as many word ends as words tell them apart."""
-        if simple:
-            text = self.simple.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids
-            flat = np.array(text, dtype=np.uint32)
-            last = np.flatnonzero(self.ends[flat])
-            if len(last) == len(words) and last[-1] == len(flat) - 1:
-                return flat, np.diff(last, prepend=-1)
+        old = np.flatnonzero(self.hits > 1)
+        self.known, self.hits, self.count = self.known.take(old), self.hits[old] // 2, self.count[old]
+        self.ids, self.first = self.ids[spread(self.first[old], self.count)], np.cumsum(self.count, dtype=np.int32) - self.count
+        self.letters = len(text_buffer(self.known)[0])
+
+    def each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, flat, and how many each has."""
         coded = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         count = np.fromiter(map(len, coded), np.int64, len(coded))
         return np.fromiter(chain.from_iterable(coded), np.uint32, int(count.sum())), count
 
-    def learn(self, words: list[bytes]) -> np.ndarray:
-        """Encodes new words; their numbers."""
-        first = len(self.count)
-        texts = [w.decode() for w in words]
-        easy = [self.simple is not None and t.isalpha() and max(t) < LATIN and t.islower() for t in texts]
-        order, found = [], []
-        for simple in (True, False):
-            own = [k for k, e in enumerate(easy) if e == simple]
-            order += own
-            found += [self.each([texts[k] for k in own[a: a + GROUP]], simple) for a in range(0, len(own), GROUP)]
-        self.known.update(zip([words[k] for k in order], range(first, first + len(words)), strict=True))
-        self.ids = np.concatenate([self.ids, *(f[0] for f in found)])
-        self.count = np.concatenate([self.count, *(f[1] for f in found)])
-        self.hits = np.append(self.hits, np.zeros(len(words), np.int64))
-        self.letters += sum(map(len, words))
-        number = np.empty(len(words), dtype=np.int64)
-        number[order] = np.arange(first, first + len(words))
-        return number
+    def together(self, text: str, n: int) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of the ``n`` simple words of a text, and how many each has; None if
+        not as many word ends as words tell them apart."""
+        flat = np.array(self.simple.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint32)
+        last = np.flatnonzero(self.ends[flat])
+        return (flat, np.diff(last, prepend=-1)) if len(last) == n and last[-1] == len(flat) - 1 else None
 
-    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Flat ids of some texts, and each text's offsets."""
+    def learn(self, words) -> None:
+        """Encodes new words (an Arrow array), which get the next numbers. Words of
+        a to z are never looked at one by one."""
+        import pyarrow as pa
+
+        data, offsets = text_buffer(words)
+        small = np.logical_and.reduceat((data >= 0x61) & (data <= 0x7A), offsets[:-1]) & (self.simple is not None)
+        order, found = [np.flatnonzero(small)], []
+        data, offsets = text_buffer(words.filter(pa.array(small)))
+        spaced = np.insert(data, offsets[1:], 0x20).tobytes().decode()
+        at = offsets + np.arange(len(offsets))
+        for a in range(0, len(at) - 1, GROUP):
+            b = min(a + GROUP, len(at) - 1)
+            text = spaced[at[a]: at[b] - 1]
+            found.append(self.together(text, b - a) or self.each(text.split(" ")))
+        rest = np.flatnonzero(~small)
+        texts = [w.decode() for w in words.take(rest).to_pylist()]
+        easy = np.array([self.simple is not None and t.isalpha() and max(t) < LATIN and t.islower() for t in texts], dtype=bool)
+        for simple in (True, False):
+            own = np.flatnonzero(easy == simple)
+            order.append(rest[own])
+            for a in range(0, len(own), GROUP):
+                some = [texts[k] for k in own[a: a + GROUP]]
+                letters = " ".join(some).encode().decode("latin-1").translate(_LETTERS)
+                found.append((simple and self.together(letters, len(some))) or self.each(some))
+        order, flat = np.concatenate(order), [f[0] for f in found]
+        count = np.concatenate([f[1] for f in found])
+        first, counts = np.empty((2, len(order)), np.int32)
+        first[order], counts[order] = len(self.ids) + np.cumsum(count) - count, count
+        self.ids, self.first, self.count = np.concatenate([self.ids, *flat]), np.append(self.first, first), np.append(self.count, counts)
+        self.hits = np.append(self.hits, np.zeros(len(order), np.int32))
+
+    def cut(self, data: np.ndarray, offsets: np.ndarray):
+        """The words of some texts, an Arrow array, and each text's offsets in it."""
         import pyarrow as pa
 
-        low = lowered(data)
-        whole = low.tobytes()
         start, end, by_text = word_bounds(data, offsets)
-        if not len(start):
-            return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
-        if not any(t in whole for t in self.special):
-            data = low
+        whole = data.tobytes()
+        low = whole.lower()  # A-Z alone
+        if len(start) and not any(t in low for t in self.special):
+            whole, data = low, np.frombuffer(low, np.uint8)
             cut, last = marks_behind(data, start, end)
             start, end = np.insert(start, cut + 1, last), np.insert(end, cut, last)
             by_text = by_text + np.searchsorted(cut, by_text)
-        size = end - start
-        upto = np.concatenate([[0], np.cumsum(size)])
-        buffers = [None, pa.py_buffer(upto.astype(np.int64)), pa.py_buffer(data[SOLID[data]])]
-        coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), buffers).dictionary_encode()
-        met = coded.dictionary.to_numpy(zero_copy_only=False)
+        upto = np.concatenate([[0], np.cumsum(end - start)])
+        buffers = [None, pa.py_buffer(upto.astype(np.int64)), pa.py_buffer(whole.translate(None, _BLANKS))]
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), buffers), by_text
+
+    def numbers(self, words: list) -> list[np.ndarray]:
+        """The numbers of the words of each array; new words are encoded."""
+        import pyarrow as pa
+
         if len(self.known) > REMEMBERED_WORDS or self.letters > REMEMBERED_BYTES:
             self.forget()
-        number = np.fromiter(map(self.known.get, met, repeat(-1)), np.int64, len(met))
-        new = np.flatnonzero(number < 0)
-        if len(new):
-            number[new] = self.learn(met[new].tolist())
-        number = number[coded.indices.to_numpy()]
-        self.hits += np.bincount(number, minlength=len(self.hits))
-        first, counts = (np.cumsum(self.count) - self.count)[number], self.count[number]
-        return self.ids[spread(first, counts)], np.concatenate([[0], np.cumsum(counts)])[by_text]
+        # Known words come first, so they keep their numbers; new ones get the next.
+        old, ends = len(self.known), np.cumsum([len(w) for w in words])
+        coded = pa.chunked_array([self.known, *words]).dictionary_encode().chunks  # without empty ones
+        if coded and len(met := coded[0].dictionary) > old:
+            self.learn(met.slice(old))
+            self.known, self.letters = met, int(text_buffer(met)[1][-1])
+        number = np.concatenate([np.zeros(0, np.int32), *(c.indices.to_numpy() for c in coded)])[old:]
+        return np.split(number, ends[:-1])
+
+    def parts(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """Ranges of texts, flat ids of each, and its texts' offsets in them."""
+        for first, last in pieces(offsets, LOOKED_UP_BYTES):
+            ranges = [(first + lo, first + hi) for lo, hi in pieces(offsets[first: last + 1], TEXT_BYTES)]
+            cut = [self.cut(data[offsets[lo]: offsets[hi]], offsets[lo: hi + 1] - offsets[lo]) for lo, hi in ranges]
+            for (lo, hi), number, (_, by_text) in zip(ranges, self.numbers([c[0] for c in cut]), cut, strict=True):
+                self.hits += np.bincount(number, minlength=len(self.hits)).astype(np.int32)
+                counts = self.count[number]
+                yield lo, hi, self.ids[spread(self.first[number], counts)], np.concatenate([[0], np.cumsum(counts)])[by_text]
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of some texts, and each text's offsets."""
+        parts = list(self.parts(data, offsets))
+        sizes = [np.zeros(1, np.int64), *(np.diff(ends) for _, _, _, ends in parts)]
+        return np.concatenate([np.zeros(0, np.uint32), *(p[2] for p in parts)]), np.cumsum(np.concatenate(sizes))
 
 
 _TOKENS: dict[int, Tokens] = {}
@@ -390,8 +425,7 @@ def tokenize(source, end_id: int | None, kind: str):
         names, kinds = ["kind", "_id", "n", "ids"], [pa.int32(), pa.int64(), pa.int64(), pa.binary()]
         for batch in batches:
             data, offsets = text_buffer(batch.column(1))
-            for lo, hi in pieces(offsets, TEXT_BYTES):
-                ids, ends = tokens.encode(data[offsets[lo]: offsets[hi]], offsets[lo: hi + 1] - offsets[lo])
+            for lo, hi, ids, ends in tokens.parts(data, offsets):
                 if end_id is not None:
                     ids, ends = np.insert(ids, ends[1:], np.uint32(end_id)), ends + np.arange(len(ends))
                 got = np.bincount(ids, minlength=len(counts))
